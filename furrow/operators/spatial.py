@@ -140,7 +140,7 @@ def nearest_site(points: DataFrame, sites: DataFrame, site_id: str, point_id: st
             F.floor(F.col("_ny") / 4).cast("int").alias("_cy"), F.floor(F.col("_nx") / 4).cast("int").alias("_cx"), "_ny", "_nx")
 
     open_cells = points.select(point_id, F.col(lat).alias("_py"), F.col(lon).alias("_px")).where(
-        F.col(lat).isNotNull() & F.col(lon).isNotNull()).select("*", F.lit(0).alias("_cy"), F.lit(0).alias("_cx"))
+        F.col(lat).isNotNull() & F.col(lon).isNotNull())
     best = W.partitionBy(point_id)
     for level in range(1, depth + 1):
         size = extent / 4 ** level
@@ -149,10 +149,15 @@ def nearest_site(points: DataFrame, sites: DataFrame, site_id: str, point_id: st
         dx = F.greatest(x1 - F.col("_px"), F.lit(0.0), F.col("_px") - (x1 + size))
         fy = F.greatest(F.abs(F.col("_py") - y1), F.abs(F.col("_py") - (y1 + size)))
         fx = F.greatest(F.abs(F.col("_px") - x1), F.abs(F.col("_px") - (x1 + size)))
-        step = open_cells.join(occupied(level), ["_cy", "_cx"])
+        if level == 1:
+            step = open_cells.select("*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("_ny")).select(
+                "*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("_nx"))
+            step = step.join(occupied(1).select("_ny", "_nx"), ["_ny", "_nx"], "left_semi")
+        else:
+            step = open_cells.join(occupied(level), ["_cy", "_cx"])
         step = step.withColumn("_near", dy * dy + dx * dx).withColumn("_far", fy * fy + fx * fx)
         open_cells = (
-            step.withColumn("_reach", F.min("_far").over(best)).where(F.col("_near") <= F.col("_reach"))
+            step.withColumn("_reach", F.min("_far").over(best)).where(F.col("_near") <= F.col("_reach") * (1 + 1e-12))
             .select(point_id, "_py", "_px", F.col("_ny").alias("_cy"), F.col("_nx").alias("_cx"))
         )
     cy, cx = cell(depth)
