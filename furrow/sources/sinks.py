@@ -33,8 +33,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
-    """Replace exactly the partitions present in ``df``."""
-    (df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+    """Replace exactly the partitions present in ``df``; AQE sizes the files and splits large ones."""
+    (df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
 
 
 def _staged(df: DataFrame) -> DataFrame:
