@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from furrow.functions import scalar as S
+from furrow.operators.sets import keep_last
 from furrow.session import scratch_path
 from furrow.sources.sinks import upsert
 
@@ -82,18 +83,25 @@ def freshness(stream: DataFrame, region: str = "region") -> DataFrame:
     return stream.groupBy(region).agg(F.max("event_time").cast("date").alias("max_obs_date"))
 
 
-def run_to_files(result: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a stream over all available input and return its output as a batch frame."""
+def run_to_files(result: DataFrame, name: str, mode: str = "append", keys: tuple[str, ...] = ()) -> DataFrame:
+    """Run a stream over all available input and return its output as a batch frame.
+
+    Complete mode leaves the last state; update mode keeps each key's last version.
+    """
     spark = result.sparkSession
     out, checkpoint = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+
+    def write(batch: DataFrame, i: int) -> None:
+        target = out if mode == "complete" else f"{out}/batch={i}"
+        batch.write.mode("overwrite").parquet(target)
+
+    writer = result.writeStream.option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True)
     if mode == "append":
-        query = (result.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-                 .outputMode("append").trigger(availableNow=True).start())
+        query = writer.format("parquet").option("path", out).start()
     else:
-        def write(batch: DataFrame, i: int) -> None:
-            batch.write.mode("overwrite").parquet(f"{out}/batch={i:08d}")
-
-        query = (result.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-                 .outputMode(mode).trigger(availableNow=True).start())
+        query = writer.foreachBatch(write).start()
     query.awaitTermination()
+    if mode == "update":
+        versions = spark.read.option("basePath", out).parquet(out)
+        return keep_last(versions, keys, [F.desc("batch")]).select(*result.columns)
     return spark.read.schema(result.schema).parquet(out)
