@@ -29,6 +29,7 @@ def query(name: str, sql: str | None = None, uses: tuple[str, ...] = (), rounded
 
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
+        run.__module_of__ = fn.__module__
         QUERIES[name] = run
         if sql is not None:
             body = sql
