@@ -118,10 +118,10 @@ def far_from(points: DataFrame, sites: DataFrame, radius: float, lat: str = "lat
 
 def nearest_site(points: DataFrame, sites: DataFrame, site_id: str, point_id: str = "point_id",
                  lat: str = "lat", lon: str = "lon", site_lat: str = "latitude", site_lon: str = "longitude",
-                 depth: int = 6, extent: float = 512.0) -> DataFrame:
+                 depth: int = 4, fan: int = 8, extent: float = 512.0) -> DataFrame:
     """Exact nearest site of every point; ties go to the smallest id.
 
-    Branch and bound down a grid tree: each level splits a cell 4 x 4 and keeps, per point, only
+    Branch and bound down a grid tree: each level splits a cell ``fan`` x ``fan`` and keeps, per point, only
     the occupied cells that could still hold the nearest site (nearest corner no farther than the
     best farthest corner). The open cells per point stay few at every level, sites packed into one
     place are reached only by points that need them, and each step is an equality join on the cell.
@@ -131,27 +131,27 @@ def nearest_site(points: DataFrame, sites: DataFrame, site_id: str, point_id: st
     half = extent / 2
 
     def cell(level: int):
-        size = extent / 4 ** level
+        size = extent / fan ** level
         return (F.floor((F.col("_sy") + half) / size).cast("int"), F.floor((F.col("_sx") + half) / size).cast("int"))
 
     def occupied(level: int) -> DataFrame:
         cy, cx = cell(level)
         return s.select(cy.alias("_ny"), cx.alias("_nx")).distinct().select(
-            F.floor(F.col("_ny") / 4).cast("int").alias("_cy"), F.floor(F.col("_nx") / 4).cast("int").alias("_cx"), "_ny", "_nx")
+            F.floor(F.col("_ny") / fan).cast("int").alias("_cy"), F.floor(F.col("_nx") / fan).cast("int").alias("_cx"), "_ny", "_nx")
 
     open_cells = points.select(point_id, F.col(lat).alias("_py"), F.col(lon).alias("_px")).where(
         F.col(lat).isNotNull() & F.col(lon).isNotNull())
     best = W.partitionBy(point_id)
     for level in range(1, depth + 1):
-        size = extent / 4 ** level
+        size = extent / fan ** level
         y1, x1 = F.col("_ny") * size - half, F.col("_nx") * size - half
         dy = F.greatest(y1 - F.col("_py"), F.lit(0.0), F.col("_py") - (y1 + size))
         dx = F.greatest(x1 - F.col("_px"), F.lit(0.0), F.col("_px") - (x1 + size))
         fy = F.greatest(F.abs(F.col("_py") - y1), F.abs(F.col("_py") - (y1 + size)))
         fx = F.greatest(F.abs(F.col("_px") - x1), F.abs(F.col("_px") - (x1 + size)))
         if level == 1:
-            step = open_cells.select("*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("_ny")).select(
-                "*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("_nx"))
+            step = open_cells.select("*", F.explode(F.sequence(F.lit(0), F.lit(fan - 1))).alias("_ny")).select(
+                "*", F.explode(F.sequence(F.lit(0), F.lit(fan - 1))).alias("_nx"))
             step = step.join(occupied(1).select("_ny", "_nx"), ["_ny", "_nx"], "left_semi")
         else:
             step = open_cells.join(occupied(level), ["_cy", "_cx"])

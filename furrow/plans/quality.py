@@ -21,7 +21,7 @@ def normalise_raw(raw: DataFrame, variables: dict[str, str] | None = None, day:
     """
     variables = variables or {"R": "rainfall", "N": "min_temp", "X": "max_temp"}
     rows = raw.where(F.col(f"`{day}`").rlike(DAY_PATTERN))
-    cols = [S.norm_station_id("station_id").alias("station_id"), F.to_date(F.substring(f"`{day}`", 1, 10)).alias("date")]
+    cols = [S.norm_station_id("station_id").alias("station_id"), F.try_to_timestamp(F.substring(f"`{day}`", 1, 10), F.lit("yyyy-MM-dd")).cast("date").alias("date")]
     for letter, name in variables.items():
         value, quality = P.VENDOR_COLUMNS[letter]
         if value in raw.columns:

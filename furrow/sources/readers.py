@@ -104,8 +104,9 @@ def off_grid(rows: DataFrame, target_year: int) -> DataFrame:
     return base.join(rows.where(F.col("year") == target_year).select("cell_id"), "cell_id", "left_anti")
 
 
-def read_regions(spark: SparkSession, path: str, code: str = "sa2_code", name: str = "sa2_name") -> tuple[DataFrame, DataFrame]:
-    """GeoJSON feature collection(s) to attributes and polygon edges.
+def read_regions(spark: SparkSession, path: str, code: str = "sa2_code", name: str = "sa2_name",
+                 multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """GeoJSON feature collections, one per file or one per line, to attributes and polygon edges.
 
     Polygon and MultiPolygon coordinates are kept as text until their depth is known. Rings are
     numbered across parts; ring 0 of the first part is the exterior used for centroids.
@@ -116,7 +117,7 @@ def read_regions(spark: SparkSession, path: str, code: str = "sa2_code", name: s
             T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])),
     ])
     doc = T.StructType([T.StructField("features", T.ArrayType(feature))])
-    feats = spark.read.schema(doc).json(path, multiLine=True).select(F.explode("features").alias("f")).where(
+    feats = spark.read.schema(doc).json(path, multiLine=multi_line).select(F.explode("features").alias("f")).where(
         F.col("f.geometry.type").isNotNull())
     feats = feats.select(F.col("f.properties").alias("p"), F.col("f.geometry.type").alias("kind"),
                          F.col("f.geometry.coordinates").alias("c"))

@@ -531,7 +531,7 @@ def _(spark, sf):
 
 
 @query("c18_universe_by_crops", """
-    SELECT sa2_code, crop, count(area_ha) AS n_known FROM regions, (VALUES ('building'), ('machinery'), ('millet')) AS v(crop) LEFT JOIN (SELECT sa2_code, crop, area_ha FROM crop_context) USING (sa2_code, crop) GROUP BY 1, 2""",
+    SELECT sa2_code, crop, count(area_ha) AS n_known FROM (SELECT sa2_code, unnest(['building', 'machinery', 'millet']) AS crop FROM regions) LEFT JOIN (SELECT sa2_code, crop, area_ha FROM crop_context) USING (sa2_code, crop) GROUP BY 1, 2""",
        ("regions", "crop_context"))
 def _(spark, sf):
     crops = F.array(*[F.lit(c) for c in ("building", "machinery", "millet")])
