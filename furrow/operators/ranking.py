@@ -38,11 +38,12 @@ def pairwise_rank(target: DataFrame, baseline: DataFrame, keys: Sequence[str], v
 
 def _rank_columns(df: DataFrame, value: str, arr: str) -> DataFrame:
     return (
-        df.withColumn("n_hist_years", F.size(arr))
-        .withColumn("below", R.count_below(arr, value))
-        .withColumn("percentile_rank", R.percentile_rank("below", "n_hist_years"))
-        .withColumn("decile", R.decile_rank("below", "n_hist_years"))
-        .withColumn("decile_decimal", R.decile_score("below", "n_hist_years"))
+        df.withColumns({"n_hist_years": F.size(arr), "below": R.count_below(arr, value)})
+        .withColumns({
+            "percentile_rank": R.percentile_rank("below", "n_hist_years"),
+            "decile": R.decile_rank("below", "n_hist_years"),
+            "decile_decimal": R.decile_score("below", "n_hist_years"),
+        })
         .drop(arr)
     )
 
@@ -69,14 +70,12 @@ def rank_target(series: DataFrame, keys: Sequence[str], target_year: int | Colum
         F.array_sort(F.collect_list(F.when(in_base, v))).alias("_base"),
         *carry,
     ).where(F.col(value).isNotNull() & (F.size("_base") >= max(min_years, 1)))
-    agg = (
-        agg.withColumn("hist_median", R.sorted_quantile("_base", 0.5))
-        .withColumn("hist_mean", R.array_mean("_base"))
-    )
-    for name, p in probs:
-        agg = agg.withColumn(f"hist_{name}", R.sorted_quantile("_base", p))
-    agg = agg.withColumn("pct_of_median", S.pct_of_median(value, "hist_median", median_floor))
-    agg = agg.withColumn("anomaly", F.col(value) - F.col("hist_median"))
+    agg = agg.withColumns({
+        "hist_median": R.sorted_quantile("_base", 0.5), "hist_mean": R.array_mean("_base"),
+        **{f"hist_{name}": R.sorted_quantile("_base", p) for name, p in probs},
+    })
+    agg = agg.withColumns({"pct_of_median": S.pct_of_median(value, "hist_median", median_floor),
+                           "anomaly": F.col(value) - F.col("hist_median")})
     return _rank_columns(agg, value, "_base")
 
 
@@ -164,25 +163,30 @@ def weighted_deciles(history: DataFrame, weights: DataFrame, on: Sequence[str] =
     usable = weights.where(F.col(weight).isNotNull())
     universe = usable.groupBy(*scope).agg(F.sum(weight).alias("universe_area"), F.count(F.lit(1)).alias("n_universe"))
     rows = history.join(usable.select(*dict.fromkeys([*on, *scope]), weight), list(dict.fromkeys([*on, *scope])))
-    has = F.col(value).isNotNull()
     key = [*scope, "month"]
-    month = rows.groupBy(*key, "year").agg(
-        F.sum(F.when(has, F.col(value) * F.col(weight))).alias("_vw"),
-        F.sum(F.when(has, F.col(weight))).alias("weighting_area"),
+    # one row per region and month with its years as an array: built once, read by both branches below
+    per_region = rows.groupBy(*key, region, F.col(weight).alias("_w")).agg(F.collect_list(F.struct(
+        "year", F.col(value).alias("v"), F.coalesce("is_partial_month", F.lit(False)).alias("p"))).alias("_years"))
+    years = per_region.select(*key, region, "_w", F.explode("_years").alias("y"))
+    v, w = F.col("y.v"), F.col("_w")
+    has = v.isNotNull()
+    month = years.groupBy(*key, F.col("y.year").alias("year")).agg(
+        F.sum(F.when(has, v * w)).alias("_vw"),
+        F.sum(F.when(has, w)).alias("weighting_area"),
         F.count_if(has).alias("n_weighted"),
         F.count_if(~has).alias("n_missing"),
-        F.max(F.coalesce("is_partial_month", F.lit(False))).alias("is_partial_month"),
+        F.max("y.p").alias("is_partial_month"),
         F.bit_xor(F.when(has, F.xxhash64(region))).alias("_f1"),
         F.bit_xor(F.when(has, F.xxhash64(F.lit("set"), region))).alias("_f2"),
     ).withColumn("rainfall_mm_wt", F.col("_vw") / F.nullif("weighting_area", F.lit(0.0)))
     mask = [*key, "n_weighted", "_f1", "_f2"]
-    sets = month.where("n_weighted > 0").groupBy(*mask).agg(F.min("year").alias("year"))
-    members = rows.where(has).join(sets, [*key, "year"]).select(*mask, region, F.col(weight).alias("_w"))
-    usable_years = rows.where(has & ~F.coalesce("is_partial_month", F.lit(False))).select(*key, region, "year", value)
+    sets = month.where("n_weighted > 0").groupBy(*mask).agg(F.min("year").alias("_example"))
+    # a region belongs to a set when it has data in the set's example year
+    in_set = F.exists("_years", lambda y: (y["year"] == F.col("_example")) & y["v"].isNotNull())
+    members = per_region.join(sets, key).where(in_set).select(*mask, "_w", F.explode("_years").alias("y"))
     totals = (
-        members.join(usable_years, [*key, region])
-        .groupBy(*mask, "year")
-        .agg((F.sum(F.col(value) * F.col("_w")) / F.nullif(F.sum("_w"), F.lit(0.0))).alias("_total"))
+        members.where(has & ~F.col("y.p")).groupBy(*mask, F.col("y.year").alias("year"))
+        .agg((F.sum(v * w) / F.nullif(F.sum(w), F.lit(0.0))).alias("_total"))
         .where(F.col("_total").isNotNull())
     )
     baselines = totals.groupBy(*mask).agg(F.array_sort(F.collect_list(F.struct("_total", "year"))).alias("_pairs"))

@@ -41,13 +41,14 @@ def rolling_totals(obs: DataFrame, days: Iterable[int] = (3, 7, 14), station: st
     """
     days = sorted(days)
     base = W.partitionBy(station, "_block").orderBy("_day")
-    out = _with_time_blocks(obs, date, days[-1] - 1, block_days)
+    totals = []
     for n in days:
         w = base.rangeBetween(-(n - 1), 0)
         gate = F.count(value).over(w) >= (min_periods if min_periods is not None else n * (min_valid or 0.0))
         if min_periods is None and min_rows:
             gate = gate & (F.count(F.lit(1)).over(w) >= n)
-        out = out.withColumn(f"total_{n}d", F.when(gate, F.sum(value).over(w)))
+        totals.append(F.when(gate, F.sum(value).over(w)).alias(f"total_{n}d"))
+    out = _with_time_blocks(obs, date, days[-1] - 1, block_days).select("*", *totals)
     return out.where(~F.col("_halo")).drop("_day", "_block", "_halo")
 
 
@@ -94,15 +95,11 @@ def _season_windows(obs: DataFrame, station: str, date: str, value: str) -> Data
     base = W.partitionBy(station, "season_year").orderBy("_day")
     w7, w14 = base.rangeBetween(-6, 0), base.rangeBetween(-13, 0)
     v = F.col(value)
-    return (
-        obs.withColumn("season_year", F.year(date)).withColumn("_day", F.unix_date(date))
-        .withColumn("_month", month)
-        .withColumn("_sow7", F.when(in_sowing, F.sum(F.when(in_sowing, v)).over(w7)))
-        .withColumn("_dry7", F.when(in_season & (F.count(F.when(in_season, v)).over(w7) >= 7),
-                                    F.sum(F.when(in_season, v)).over(w7)))
-        .withColumn("_dry14", F.when(in_season & (F.count(F.when(in_season, v)).over(w14) >= 14),
-                                     F.sum(F.when(in_season, v)).over(w14)))
-    )
+    days = obs.select("*", F.year(date).alias("season_year"), F.unix_date(date).alias("_day"), month.alias("_month"),
+                      F.when(in_sowing, v).alias("_sow"), F.when(in_season, v).alias("_inn"))
+    full7 = F.when(in_season & (F.count("_inn").over(w7) >= 7), F.sum("_inn").over(w7))
+    full14 = F.when(in_season & (F.count("_inn").over(w14) >= 14), F.sum("_inn").over(w14))
+    return days.select("*", F.when(in_sowing, F.sum("_sow").over(w7)).alias("_sow7"), full7.alias("_dry7"), full14.alias("_dry14"))
 
 
 def _break_columns(date: str, value: str) -> list:
@@ -112,12 +109,18 @@ def _break_columns(date: str, value: str) -> list:
     return [F.min(day).alias("autumn_break_date"), F.min_by("_sow7", day).alias("autumn_break_7d_mm")]
 
 
+def _dry7():
+    return F.col("_dry7") < P.DRY_SPELL_7D_MM
+
+
+def _dry14():
+    return F.col("_dry14") < P.DRY_SPELL_14D_MM
+
+
 def _dry_columns(value: str) -> list:
     seen = F.count(F.when(F.col("_month").between(4, 10), F.col(value))) > 0
-    return [
-        F.when(seen, F.count_if(F.col("_dry7") < P.DRY_SPELL_7D_MM).cast("double")).alias("dry_spell_days_7d_lt_5mm"),
-        F.when(seen, F.count_if(F.col("_dry14") < P.DRY_SPELL_14D_MM).cast("double")).alias("dry_spell_days_14d_lt_10mm"),
-    ]
+    return [F.when(seen, F.count_if(_dry7()).cast("double")).alias("dry_spell_days_7d_lt_5mm"),
+            F.when(seen, F.count_if(_dry14()).cast("double")).alias("dry_spell_days_14d_lt_10mm")]
 
 
 def _break_status():
@@ -151,19 +154,27 @@ def season_features(obs: DataFrame, min_coverage: float = 0.8, station: str = "s
         .withColumn(value, F.when(F.coalesce(F.col(quality), F.lit(0)) != P.MISSING_CODE, S.clean_number(value)))
     )
     rows = _season_windows(clean, station, date, value)
+    code = F.coalesce(F.col(quality), F.lit(P.MISSING_CODE))
+    # months first: few aggregates over the daily rows, the wide ones over twelve rows per season;
+    # both steps stay on the (station, season) partitioning of the windows
+    by_month = rows.groupBy(station, "season_year", "_month").agg(
+        F.sum(value).alias("_s"), F.count(value).alias("_v"), F.count(F.lit(1)).alias("_n"),
+        *_break_columns(date, value), F.count_if(_dry7()).alias("_d7"), F.count_if(_dry14()).alias("_d14"),
+        F.count(quality).alias("_nq"), F.sum(S.quality_confidence(code)).alias("_score"), F.max(date).alias("_last"),
+    )
     per_month = []
     for m in range(1, 13):
         here = F.col("_month") == m
-        per_month += [
-            F.sum(F.when(here, F.col(value))).alias(f"_s{m}"),
-            F.count(F.when(here, F.col(value))).alias(f"_v{m}"),
-            F.count_if(here).alias(f"_n{m}"),
-        ]
-    code = F.coalesce(F.col(quality), F.lit(P.MISSING_CODE))
-    agg = rows.groupBy(station, "season_year").agg(
-        *per_month, *_break_columns(date, value), *_dry_columns(value),
-        F.count(quality).alias("_nq"), F.avg(S.quality_confidence(code)).alias("_score"),
-        F.count(F.lit(1)).alias("_rows"), F.max(date).alias("_last"),
+        per_month += [F.max(F.when(here, F.col(c))).alias(f"{c}{m}") for c in ("_s", "_v", "_n")]
+    in_season = F.col("_month").between(4, 10)
+    seen = F.coalesce(F.sum(F.when(in_season, F.col("_v"))), F.lit(0)) > 0
+    agg = by_month.groupBy(station, "season_year").agg(
+        *per_month, F.min("autumn_break_date").alias("autumn_break_date"),
+        F.min_by("autumn_break_7d_mm", "autumn_break_date").alias("autumn_break_7d_mm"),
+        F.when(seen, F.sum("_d7").cast("double")).alias("dry_spell_days_7d_lt_5mm"),
+        F.when(seen, F.sum("_d14").cast("double")).alias("dry_spell_days_14d_lt_10mm"),
+        F.sum("_nq").alias("_nq"), (F.sum("_score") / F.sum("_n")).alias("_score"),
+        F.sum("_n").alias("_rows"), F.max("_last").alias("_last"),
     )
 
     def over(prefix, lo, hi):

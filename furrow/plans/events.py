@@ -17,6 +17,9 @@ COLUMNS = (
 )
 
 
+QUALITIES = ("min_temp_quality", "max_temp_quality", "rainfall_quality")
+
+
 def with_stage(obs: DataFrame, calendar: str = "dates") -> DataFrame:
     """Attach the crop stage and its flags; pure expressions on the date, no join."""
     stage = S.crop_stage("date", calendar)
@@ -32,7 +35,7 @@ def _event(event_type: str, severity, value, threshold, stage, quality: str, *,
     return F.struct(
         F.lit(event_type).alias("event_type"), typed(severity, "string").alias("severity"),
         typed(value, "double").alias("value"), typed(threshold, "double").alias("threshold"),
-        typed(stage, "string").alias("crop_stage"), S.quality_confidence(quality).alias("confidence"),
+        typed(stage, "string").alias("crop_stage"), F.col(f"_conf_{quality}").alias("confidence"),
         F.col(quality).cast("int").alias("data_quality"), typed(window, "int").alias("accumulation_window"),
         typed(role, "string").alias("rainfall_role"), typed(crop, "string").alias("crop_type"),
         typed(multiplier, "double").alias("phenology_risk_multiplier"),
@@ -41,7 +44,7 @@ def _event(event_type: str, severity, value, threshold, stage, quality: str, *,
     )
 
 
-def _frost(always: bool) -> Column:
+def _frost() -> Column:
     temp = F.col("min_temp")
     severity = S.frost_severity(temp, "crop_stage")
     active = S.flowering_active("date")
@@ -49,16 +52,14 @@ def _frost(always: bool) -> Column:
     rec = _event("frost", severity, temp, S.frost_threshold_hit(temp, "crop_stage"), F.col("crop_stage"),
                  "min_temp_quality", multiplier=S.phenology_multiplier("crop_stage", "frost", active, since),
                  flowering=active, since=since)
-    cond = severity.isNotNull() if always else severity.isNotNull() & F.col("frost_critical")
-    return F.when(cond, rec)
+    return F.when(F.col("frost_critical") & severity.isNotNull(), rec)
 
 
-def _heat(always: bool) -> Column:
+def _heat() -> Column:
     temp = F.col("max_temp")
     severity = S.heat_severity(temp)
     rec = _event("heat", severity, temp, S.heat_threshold_hit(temp), F.col("crop_stage"), "max_temp_quality")
-    cond = severity.isNotNull() if always else severity.isNotNull() & F.col("heat_critical")
-    return F.when(cond, rec)
+    return F.when(F.col("heat_critical") & severity.isNotNull(), rec)
 
 
 def _harvest(severe_tier: bool) -> list[Column]:
@@ -103,6 +104,7 @@ def _development() -> list[Column]:
 
 
 def _expand(rows: DataFrame, candidates: list[Column]) -> DataFrame:
+    rows = rows.select("*", *[S.quality_confidence(q).alias(f"_conf_{q}") for q in QUALITIES])
     fired = F.explode(F.array_compact(F.array(*candidates)))
     return rows.select("station_id", "date", fired.alias("e")).select("station_id", "date", "e.*").select(*COLUMNS)
 
@@ -129,12 +131,12 @@ def detect_events(obs: DataFrame, start=None, end=None, calendar: str = "dates",
     if start is not None:
         rows = rows.where(F.col("date") >= F.lit(start).cast("date"))
     rows = with_stage(rows, calendar)
-    return _expand(rows, [_frost(False), _heat(False), *_harvest(severe_tier), *_seeding(), *_development()])
+    return _expand(rows, [_frost(), _heat(), *_harvest(severe_tier), *_seeding(), *_development()])
 
 
 def frost_events(obs: DataFrame, calendar: str = "dates") -> DataFrame:
     """Frost events with run numbering over the whole range."""
-    events = _expand(with_stage(obs, calendar), [_frost(False)])
+    events = _expand(with_stage(obs, calendar), [_frost()])
     return consecutive_runs(events)
 
 

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from furrow import params as P
 
+_FENCE = "```vintage"
 _BLOCK = r"(?s)```vintage[ \t]*\n(.*?)\n```"
+# literal text every claim of the pattern contains; a plain search for it spares most texts the pattern
+_HINTS = ("through day ", " of 31 days", "May 1", " through 2026-05-")
 
 
 def _field(name: str) -> Column:
@@ -17,17 +20,21 @@ def _field(name: str) -> Column:
 
 def parse_blocks(reports: DataFrame, text: str = "markdown") -> DataFrame:
     """Metadata fields of each report, and its prose without the block."""
-    block = F.regexp_extract(text, _BLOCK, 1)
-    out = reports.withColumn("block", block).withColumn("has_block", F.col(text).rlike(_BLOCK))
-    out = out.withColumn("prose", F.regexp_replace(text, _BLOCK, ""))
-    for f in (*P.VINTAGE_REQUIRED, "decile_method", "inputs"):
-        out = out.withColumn(f, _field(f))
+    fenced = F.contains(text, F.lit(_FENCE))
+    out = reports.withColumns({
+        "block": F.when(fenced, F.regexp_extract(text, _BLOCK, 1)),
+        "has_block": F.when(fenced, F.col(text).rlike(_BLOCK)).otherwise(False),
+        "prose": F.when(fenced, F.regexp_replace(text, _BLOCK, "")).otherwise(F.col(text)),
+    })
+    out = out.withColumns({f: _field(f) for f in (*P.VINTAGE_REQUIRED, "decile_method", "inputs")})
     return out.withColumn("through_day", F.col("through_day").try_cast("int")).drop("block", text)
 
 
 def coverage_days(prose: str = "prose") -> Column:
     """All coverage-day claims in the prose, as sorted distinct integers."""
-    found = [F.regexp_extract_all(prose, F.lit(p), F.lit(1)) for p in P.COVERAGE_DAY_PATTERNS]
+    none = F.array().cast("array<string>")
+    found = [F.when(F.contains(prose, F.lit(hint)), F.regexp_extract_all(prose, F.lit(p), F.lit(1))).otherwise(none)
+             for p, hint in zip(P.COVERAGE_DAY_PATTERNS, _HINTS)]
     return F.array_sort(F.array_distinct(F.transform(F.concat(*found), lambda d: d.cast("int"))))
 
 
@@ -64,19 +71,21 @@ def audit(reports: DataFrame, current: DataFrame, baseline_years: str = "[2005,
         F.when(live & (F.col("baseline_years") != baseline_years), "live baseline_years differ from current"),
     ]
     none = F.array().cast("array<string>")
-    bad_schema = F.array_compact(F.array(*schema))
-    r = r.withColumn("_schema", bad_schema).withColumn("_rest", F.concat(wrong_days, F.array_compact(F.array(*forbidden, *stale))))
+    r = r.withColumns({"_schema": F.array_compact(F.array(*schema)),
+                       "_rest": F.concat(wrong_days, F.array_compact(F.array(*forbidden, *stale)))})
     findings = F.when(~F.col("has_block"), F.array(F.lit("missing vintage block"))).when(
         F.size("_schema") > 0, F.col("_schema")).otherwise(F.coalesce("_rest", none))
-    slim = r.select(report_id, "has_block", "status", "coverage_month", "through_day", "inputs", F.size("_schema").alias("_bad"),
-                    findings.alias("findings"))
-    static = slim.select(report_id, F.explode("findings").alias("finding"))
-    names = F.transform(F.split(F.regexp_replace("inputs", r"[\[\]\s]", ""), ","), lambda s: s)
-    listed = slim.where(F.col("has_block") & (F.col("_bad") == 0) & (F.col("status") == "live")).select(
-        report_id, "coverage_month", "through_day", F.explode(names).alias("input"))
-    now = listed.join(current, ["input", "coverage_month"], "left")
-    drift = F.when(F.col("current_through_day").isNull(), "cannot determine current through_day").when(
+    checked = F.col("has_block") & (F.size("_schema") == 0) & live
+    inputs = F.when(checked, F.split(F.regexp_replace("inputs", r"[\[\]\s]", ""), ",")).otherwise(none)
+    # static findings and inputs to look up leave the text scan together, so texts are read once
+    rows = F.concat(
+        F.transform(findings, lambda f: F.struct(f.alias("finding"), F.lit(None).cast("string").alias("input"))),
+        F.transform(inputs, lambda i: F.struct(F.lit(None).cast("string").alias("finding"), i.alias("input"))))
+    slim = r.select(report_id, "coverage_month", "through_day", F.explode(rows).alias("f")).select(
+        report_id, "coverage_month", "through_day", "f.finding", "f.input")
+    now = slim.join(current, ["input", "coverage_month"], "left")
+    drift = F.when(F.col("input").isNotNull() & F.col("current_through_day").isNull(), "cannot determine current through_day").when(
         F.col("current_through_day") != F.col("through_day"),
         F.concat(F.lit("live through_day "), F.col("through_day").cast("string"), F.lit(" differs from current "),
                  F.col("current_through_day").cast("string")))
-    return static.unionByName(now.select(report_id, drift.alias("finding")).where(F.col("finding").isNotNull()))
+    return now.select(report_id, F.coalesce("finding", drift).alias("finding")).where(F.col("finding").isNotNull())
