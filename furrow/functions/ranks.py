@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from furrow.functions.scalar import _col
 
 
+def _ranked(below, n) -> Column:
+    """``greatest`` and ``least`` skip NULLs, so an unranked target is ruled out first."""
+    return (_col(n) > 0) & _col(below).isNotNull()
+
+
 def percentile_rank(below, n) -> Column:
     """Share of the baseline strictly below, 0-100; NULL without a baseline."""
     return F.when(_col(n) > 0, _col(below) / _col(n) * 100.0)
@@ -16,18 +21,18 @@ def percentile_rank(below, n) -> Column:
 def decile_rank(below, n) -> Column:
     """Integer decile 1-10 of rank ``below + 1``; ties do not lift it."""
     raw = F.ceil((_col(below) + 1) / _col(n) * 10)
-    return F.when(_col(n) > 0, F.greatest(F.lit(1), F.least(F.lit(10), raw)).cast("int"))
+    return F.when(_ranked(below, n), F.greatest(F.lit(1), F.least(F.lit(10), raw)).cast("int"))
 
 
 def decile_score(below, n) -> Column:
     """Continuous companion of the decile, one decimal, half to even."""
     raw = (_col(below) + 1) / _col(n) * 10.0
-    return F.when(_col(n) > 0, F.bround(F.greatest(F.lit(1.0), F.least(F.lit(10.0), raw)), 1))
+    return F.when(_ranked(below, n), F.bround(F.greatest(F.lit(1.0), F.least(F.lit(10.0), raw)), 1))
 
 
 def cell_percentile(below, n) -> Column:
     """Rank-fraction percentile ``(below + 1) / n``, at most 100."""
-    return F.when(_col(n) > 0, F.least(F.lit(100.0), (_col(below) + 1.0) * 100.0 / _col(n)))
+    return F.when(_ranked(below, n), F.least(F.lit(100.0), (_col(below) + 1.0) * 100.0 / _col(n)))
 
 
 # --- expressions over one sorted array of baseline values --------------------------------

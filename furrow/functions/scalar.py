@@ -262,7 +262,8 @@ def decile_tier7(pct) -> Column:
 
 def pct_bin10(pct) -> Column:
     """Index 0-9 of right-closed bins of width ten."""
-    return F.least(F.lit(9), F.greatest(F.lit(0), F.ceil(_col(pct) / 10) - 1)).cast("int")
+    p = _col(pct)
+    return F.when(p.isNotNull(), F.least(F.lit(9), F.greatest(F.lit(0), F.ceil(p / 10) - 1))).cast("int")
 
 
 def break_status_doy(doy) -> Column:

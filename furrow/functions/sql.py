@@ -12,9 +12,9 @@ def register(spark: SparkSession) -> list[str]:
     confidence = " ".join(f"WHEN {k} THEN {v}D" for k, v in P.QUALITY_CONFIDENCE.items())
     bodies = {
         "decile_rank(below BIGINT, n BIGINT) RETURNS INT":
-            "CASE WHEN n > 0 THEN CAST(greatest(1, least(10, ceil((below + 1) / n * 10))) AS INT) END",
+            "CASE WHEN n > 0 AND below IS NOT NULL THEN CAST(greatest(1, least(10, ceil((below + 1) / n * 10))) AS INT) END",
         "decile_score(below BIGINT, n BIGINT) RETURNS DOUBLE":
-            "CASE WHEN n > 0 THEN bround(greatest(1D, least(10D, (below + 1) / n * 10D)), 1) END",
+            "CASE WHEN n > 0 AND below IS NOT NULL THEN bround(greatest(1D, least(10D, (below + 1) / n * 10D)), 1) END",
         "quality_confidence(code INT) RETURNS DOUBLE":
             f"CASE code {confidence} ELSE {P.QUALITY_CONFIDENCE_DEFAULT}D END",
         "break_status(d DATE) RETURNS STRING":
