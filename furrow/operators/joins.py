@@ -123,12 +123,13 @@ def unique_name_match(left: DataFrame, right: DataFrame, left_id: str, left_name
     clean = lambda c: F.lower(F.trim(F.col(c)))
     words = F.split(clean(right_name), " ")
     prefixes = F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_join(F.slice(words, F.lit(1), i), " "))
-    r = right.select(right_id, F.explode(prefixes).alias("_name")).where("_name <> ''")
-    lft = left.select(left_id, clean(left_name).alias("_name"))
-    pairs = lft.join(r, "_name").select(left_id, right_id)
-    once_left = pairs.groupBy(left_id).agg(F.count(F.lit(1)).alias("_n"), F.min(right_id).alias(right_id)).where("_n = 1")
-    once_both = once_left.groupBy(right_id).agg(F.count(F.lit(1)).alias("_n"), F.min(left_id).alias(left_id)).where("_n = 1")
-    return once_both.select(left_id, right_id)
+    # names are counted on both sides before they meet, so a frequent name costs one row, not its pairs
+    r = right.select(right_id, F.explode(prefixes).alias("_name")).where("_name <> ''").groupBy("_name").agg(
+        F.count(F.lit(1)).alias("_nr"), F.min(right_id).alias(right_id)).where("_nr = 1")
+    lft = left.select(left_id, clean(left_name).alias("_name")).groupBy("_name").agg(
+        F.count(F.lit(1)).alias("_nl"), F.min(left_id).alias(left_id))
+    once = lft.join(r, "_name").groupBy(right_id).agg(F.sum("_nl").alias("_n"), F.min(left_id).alias(left_id))
+    return once.where("_n = 1").select(left_id, right_id)
 
 
 def fallback_area(current: DataFrame, correspondence: DataFrame, earlier: DataFrame, crop: str = "wheat",

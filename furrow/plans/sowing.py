@@ -93,8 +93,9 @@ def break_percentile(sd_breaks: DataFrame, min_history: int = P.BREAK_MIN_HISTOR
 
     An SD has one break per season, so the arrays are as long as its record has seasons.
     """
-    past = sd_breaks.groupBy("sd_region").agg(F.collect_list(F.struct("season_year", "break_doy")).alias("_h"))
-    out = sd_breaks.join(past, "sd_region").withColumn(
+    whole = sd_breaks.groupBy("sd_region").agg(F.collect_list(F.struct(*[c for c in sd_breaks.columns if c != "sd_region"])).alias("_h"))
+    out = whole.select("sd_region", "_h", F.explode("_h").alias("_r")).select("sd_region", "_h", "_r.*")
+    out = out.withColumn(
         "_h", F.transform(F.filter("_h", lambda h: h["season_year"] < F.col("season_year")), lambda h: h["break_doy"]))
     n = F.size("_h")
     return (out.withColumn("n_history", n)

@@ -188,12 +188,10 @@ def year_over_year(history: DataFrame, members: DataFrame, windows: Sequence[Win
     """
     before, now = years
     series = weighted_series(window_totals(history, windows, now, **mtd), members, level)
-    parts = []
-    for y in years:
-        base = series.where((F.col("year") == y) | (F.col("year") < before))
-        parts.append(rank_target(base, [*level, "window"], y, first_year=first_year, last_year=before - 1, min_years=min_years)
-                     .select(*level, "window", F.lit(y).alias("y"), "value", "pct_of_median", "decile_decimal"))
-    both = parts[0].unionByName(parts[1])
+    # every row serves both targets, so one aggregation ranks the two years
+    rows = series.select("*", F.explode(F.array(*[F.lit(y) for y in years])).alias("y")).where(
+        (F.col("year") == F.col("y")) | (F.col("year") < before))
+    both = rank_target(rows, [*level, "window", "y"], F.col("y"), first_year=first_year, last_year=before - 1, min_years=min_years)
     wide = []
     for y, tag in ((before, "before"), (now, "now")):
         for c in ("value", "pct_of_median", "decile_decimal"):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from furrow.functions import scalar as S
+from furrow.session import stored
 
 QUALITY_CODES = (0, 0, 0, 0, 15, 25, 35, 75, 999, 23)
 PARTIAL_YEAR, PARTIAL_MONTH = 2001, 11
@@ -154,23 +155,30 @@ def region_month_df(spark, sf) -> DataFrame:
     )
 
 
-def history_df(spark, sf) -> DataFrame:
+def history_df(spark, sf, months: DataFrame | None = None) -> DataFrame:
     """Region months known before the month-to-date cut: later months of the target year absent."""
-    return region_month_df(spark, sf).where(
+    months = region_month_df(spark, sf) if months is None else months
+    return months.where(
         (F.col("year") < TARGET_YEAR) | ((F.col("year") == TARGET_YEAR) & (F.col("month") < MTD_MONTH)))
 
 
-def mtd_df(spark, sf) -> DataFrame:
+def mtd_df(spark, sf, months: DataFrame | None = None) -> DataFrame:
     """Month-to-date totals of the target month."""
+    months = region_month_df(spark, sf) if months is None else months
     return (
-        region_month_df(spark, sf)
-        .where((F.col("year") == TARGET_YEAR) & (F.col("month") == MTD_MONTH))
+        months.where((F.col("year") == TARGET_YEAR) & (F.col("month") == MTD_MONTH))
         .select("state_name", "sa2_code", "sa2_5", "sa2_name", "sa3_name", "sa4_name", "year", "month",
                 F.when(F.col("rainfall_mm").isNotNull(), F.col("to_day_mm")).alias("rainfall_mm"),
                 F.lit(MTD_DAY).alias("partial_month_through_day"))
     )
 
 
+def history_and_mtd(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Both views of the region months from one stored copy, so the line items are scanned once."""
+    months = stored(region_month_df(spark, sf), "region-month")
+    return history_df(spark, sf, months), mtd_df(spark, sf, months)
+
+
 def crop_context_df(spark, sf) -> DataFrame:
     """Crop area, production and yield per region and crop, with suppressed cells."""
     cents = F.round(F.col("c_acctbal") * 100).cast("bigint")

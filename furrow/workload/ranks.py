@@ -13,6 +13,7 @@ from furrow.operators import joins, ranking, sets
 from furrow.operators.topk import both_ends
 from furrow.operators.timeseries import season_features
 from furrow.plans import seasons
+from furrow.session import stored
 from furrow.sources.readers import read_region_history
 from furrow.workload import bind as B
 from furrow.workload.daily import _BREAK, _SLICE, _STATUS
@@ -335,9 +336,9 @@ def _(spark, sf):
 
 # --- crop join and summary ---------------------------------------------------------------
 
-def _features(spark, sf):
-    """Season features with daily columns, and one state's regions left out so some crops stay unmatched."""
-    return A.season_features_monthly(B.region_month_df(spark, sf), 2001, 11).where("state_name <> 'EUROPE' OR season_year >= 2000")
+def _features(spark, sf, months=None):
+    """Season features, one state's earlier seasons left out so some crops stay unmatched."""
+    return A.season_features_monthly(B.region_month_df(spark, sf) if months is None else months, 2001, 11).where("state_name <> 'EUROPE' OR season_year >= 2000")
 
 
 JOINED = (("feats", "SELECT * FROM mf WHERE state_name <> 'EUROPE' OR season_year >= 2000"),
@@ -348,11 +349,11 @@ JOINED = (("feats", "SELECT * FROM mf WHERE state_name <> 'EUROPE' OR season_yea
              FROM crop_context WHERE n_nationkey = 13"""))
 
 
-def _joined(spark, sf):
+def _joined(spark, sf, months=None):
     crops = B.crop_context_df(spark, sf)
     # one region carries a code the rainfall side does not know
     crops = crops.withColumn("station_sa2_5dig16", F.when(F.col("n_nationkey") == 13, "99999").otherwise(F.col("station_sa2_5dig16")))
-    return seasons.join_crop_context(_features(spark, sf), crops.drop("n_nationkey"))
+    return seasons.join_crop_context(_features(spark, sf, months), crops.drop("n_nationkey"))
 
 
 @query("c6_crop_led_join", "SELECT abs_sa2_code, crop, season_year, rainfall_feature_quality_flag, rainfall_total_apr_oct_mm FROM joined", ("region_month", "crop_context"), (), MONTHLY_FEATURES + JOINED)
@@ -395,8 +396,8 @@ _SUMM_COLS = ("state", "season_year", "n_sa2s_universe", "n_sa2s_complete", "n_s
 _SUMM_ROUND = ("coverage_share", *[f"{m}_wt" for m in _METRICS])
 
 
-def _summary(spark, sf):
-    return seasons.weighted_summary(_joined(spark, sf), crop="building", metrics=_METRICS)
+def _summary(spark, sf, months=None):
+    return seasons.weighted_summary(_joined(spark, sf, months), crop="building", metrics=_METRICS)
 
 
 @query("d22_weighted_summary", SUMMARY_SQL, ("region_month", "crop_context"), _SUMM_ROUND, MONTHLY_FEATURES + JOINED + _SUMM)
@@ -424,7 +425,8 @@ def _(spark, sf):
     FROM f LEFT JOIN (SELECT * FROM ({SUMMARY_SQL}) WHERE season_year = 2001) s ON f.state_name = s.state WHERE year = 2001 AND month <= 11""",
        ("region_month", "crop_context", "weights"), ("rainfall_mm_wt", "median_mm", "diff_from_median_mm", "coverage_share", "pre_seeding_rain_mm_wt"), MONTHLY_FEATURES + JOINED + _SUMM + _WD_EXTRA)
 def _(spark, sf):
-    return seasons.weekly_outlook(_summary(spark, sf), B.region_month_df(spark, sf), B.weights_df(spark, sf), 2001, 11, MIN_HISTORY).drop("label")
+    months = stored(B.region_month_df(spark, sf), "region-month")
+    return seasons.weekly_outlook(_summary(spark, sf, months), months, B.weights_df(spark, sf), 2001, 11, MIN_HISTORY).drop("label")
 
 
 @query("f2_driest_and_wettest", """

@@ -15,6 +15,7 @@ from furrow.plans import digest as D
 from furrow.plans import regions as RG
 from furrow.plans import sowing as SW
 from furrow.plans import windows as WN
+from furrow.session import stored
 from furrow.sources.readers import read_census
 from furrow.workload import bind as B
 from furrow.workload.daily import EVENTS, NAMES, _station_names, events
@@ -32,7 +33,7 @@ def _areas(spark, sf):
 
 
 def _members(spark, sf, floor=FLOOR):
-    return WN.sd_members(B.concordance_df(spark, sf), _areas(spark, sf), floor)
+    return stored(WN.sd_members(B.concordance_df(spark, sf), _areas(spark, sf), floor), "members")
 
 
 AREAS = ("areas", "SELECT sa2_code, weight AS area FROM weights")
@@ -83,8 +84,10 @@ RANK_ROUND = ("value", "hist_median", "hist_mean", "hist_p10", "hist_p90", "pct_
 HM = ("history", "mtd")
 
 
-def _mtd(spark, sf):
-    return {"mtd": B.mtd_df(spark, sf), "mtd_month": MM, "through_day": MD}
+def _inputs(spark, sf):
+    """History, and the month-to-date arguments that go with it."""
+    history, mtd = B.history_and_mtd(spark, sf)
+    return history, {"mtd": mtd, "mtd_month": MM, "through_day": MD}
 
 
 # --- windows -----------------------------------------------------------------------------
@@ -95,14 +98,16 @@ CUMULATIVE = (WN.Window("mar_may", 3, 5, True), WN.Window("may", 5, 5, True))
 
 @query("e14_window_ranks", rank_sql("tot", ("sa2_code", '"window"'), floor=0.1), HM, RANK_ROUND, (("tot", totals_sql(DRILL)),))
 def _(spark, sf):
-    return WN.region_ranks(B.history_df(spark, sf), DRILL, TY, FIRST, LAST, min_years=MIN_YEARS, **_mtd(spark, sf))
+    history, mtd = _inputs(spark, sf)
+    return WN.region_ranks(history, DRILL, TY, FIRST, LAST, min_years=MIN_YEARS, **mtd)
 
 
 def _level(name, level):
     @query(f"e15_cumulative_window_{name}", rank_sql("ser", (*level, '"window"')), (*HM, "concordance", "weights"), RANK_ROUND,
            MEMBERS + (("tot", totals_sql(CUMULATIVE)), ("ser", weighted_sql("tot", level))))
     def _(spark, sf):
-        return WN.level_ranks(B.history_df(spark, sf), _members(spark, sf), CUMULATIVE, TY, FIRST, LAST, list(level), MIN_YEARS, **_mtd(spark, sf))
+        history, mtd = _inputs(spark, sf)
+        return WN.level_ranks(history, _members(spark, sf), CUMULATIVE, TY, FIRST, LAST, list(level), MIN_YEARS, **mtd)
 
 
 _level("sd", ("sd_code",))
@@ -111,7 +116,8 @@ _level("state", ("sd_state",))
 
 @query("e15_cumulative_window_region", rank_sql("tot", ("sa2_code", '"window"')), HM, RANK_ROUND, (("tot", totals_sql(CUMULATIVE)),))
 def _(spark, sf):
-    return WN.region_ranks(B.history_df(spark, sf), CUMULATIVE, TY, FIRST, LAST, min_years=MIN_YEARS, median_floor=None, **_mtd(spark, sf))
+    history, mtd = _inputs(spark, sf)
+    return WN.region_ranks(history, CUMULATIVE, TY, FIRST, LAST, min_years=MIN_YEARS, median_floor=None, **mtd)
 
 
 YTD = (WN.Window("ytd", 1, MM, True),)
@@ -120,7 +126,8 @@ YTD = (WN.Window("ytd", 1, MM, True),)
 @query("e16_ytd_accumulation", rank_sql("ser", ("sd_state", '"window"')), (*HM, "concordance", "weights"), RANK_ROUND,
        MEMBERS + (("tot", totals_sql(YTD)), ("ser", weighted_sql("tot", ("sd_state",)))))
 def _(spark, sf):
-    return WN.level_ranks(B.history_df(spark, sf), _members(spark, sf), YTD, TY, FIRST, LAST, ["sd_state"], MIN_YEARS, **_mtd(spark, sf))
+    history, mtd = _inputs(spark, sf)
+    return WN.level_ranks(history, _members(spark, sf), YTD, TY, FIRST, LAST, ["sd_state"], MIN_YEARS, **mtd)
 
 
 YOY = (WN.Window("mar_apr", 3, 4), WN.Window("mar_may", 3, 5, True))
@@ -132,7 +139,8 @@ YOY = (WN.Window("mar_apr", 3, 4), WN.Window("mar_may", 3, 5, True))
     FROM ({rank_sql('ser', ('sd_code', '"window"'), target=2000, last=1999)}) a FULL JOIN ({rank_sql('ser', ('sd_code', '"window"'), target=2001, last=1999)}) b USING (sd_code, "window")""",
        (*HM, "concordance", "weights"), ("value_before", "pct_of_median_before", "value_now", "pct_of_median_now"), MEMBERS + (("tot", totals_sql(YOY)), ("ser", weighted_sql("tot", ("sd_code",)))))
 def _(spark, sf):
-    return WN.year_over_year(B.history_df(spark, sf), _members(spark, sf), YOY, (2000, 2001), FIRST, ["sd_code"], MIN_YEARS, **_mtd(spark, sf))
+    history, mtd = _inputs(spark, sf)
+    return WN.year_over_year(history, _members(spark, sf), YOY, (2000, 2001), FIRST, ["sd_code"], MIN_YEARS, **mtd)
 
 
 _MONTH = (WN.Window("month", MM, MM, True),)
@@ -141,8 +149,18 @@ SD_REVIEW = MEMBERS + (("tot", totals_sql(_MONTH)), ("ser", weighted_sql("tot",
     JOIN (SELECT sd_code, min(sd_name) AS sd_name, min(sd_state) AS state, min(sd_area) AS sd_area FROM members GROUP BY 1) USING (sd_code)"""))
 
 
-def _sd_rows(spark, sf):
-    return WN.sd_review(B.history_df(spark, sf), B.mtd_df(spark, sf), _members(spark, sf), TY, MM, MD, FIRST)
+def _review_inputs(spark, sf):
+    return (*B.history_and_mtd(spark, sf), _members(spark, sf))
+
+
+def _sd_rows(spark, sf, inputs=None):
+    history, mtd, members = inputs or _review_inputs(spark, sf)
+    return WN.sd_review(history, mtd, members, TY, MM, MD, FIRST)
+
+
+def _state_rows(inputs, sd_rows):
+    history, mtd, members = inputs
+    return WN.state_review(sd_rows, history, mtd, members, TY, MM, MD, FIRST)
 
 
 @query("d24_sd_review", 'SELECT * EXCLUDE ("window") FROM sdr', (*HM, "concordance", "weights"), RANK_ROUND, SD_REVIEW)
@@ -162,7 +180,8 @@ _STATE_ROUND = ("rain_mm", "hist_scaled_median_mm", "pct_of_median", "percentile
 
 @query("d24_state_review", "SELECT * FROM strev", (*HM, "concordance", "weights"), _STATE_ROUND, STATE_REVIEW)
 def _(spark, sf):
-    return WN.state_review(_sd_rows(spark, sf), B.history_df(spark, sf), B.mtd_df(spark, sf), _members(spark, sf), TY, MM, MD, FIRST)
+    inputs = _review_inputs(spark, sf)
+    return _state_rows(inputs, stored(_sd_rows(spark, sf, inputs), "sd-review"))
 
 
 SA2_REVIEW = (AREAS, ("tot", totals_sql(_MONTH)), ("sa2r", f"""
@@ -170,8 +189,9 @@ SA2_REVIEW = (AREAS, ("tot", totals_sql(_MONTH)), ("sa2r", f"""
     JOIN (SELECT sa2_code, sd_code, sd_name FROM concordance WHERE allocation_ratio = 0.75) USING (sa2_code)"""))
 
 
-def _sa2_rows(spark, sf):
-    return WN.sa2_review(B.history_df(spark, sf), B.mtd_df(spark, sf), _areas(spark, sf), B.concordance_df(spark, sf), TY, MM, MD, FIRST)
+def _sa2_rows(spark, sf, inputs=None):
+    history, mtd = inputs[:2] if inputs else B.history_and_mtd(spark, sf)
+    return WN.sa2_review(history, mtd, _areas(spark, sf), B.concordance_df(spark, sf), TY, MM, MD, FIRST)
 
 
 @query("d25_sa2_review", 'SELECT * EXCLUDE ("window") FROM sa2r', (*HM, "concordance", "weights"), RANK_ROUND, SA2_REVIEW)
@@ -185,13 +205,14 @@ def _(spark, sf):
     UNION ALL SELECT 'sa2', sa2_code, NULL, value, pct_of_median, decile, decile_decimal FROM sa2r""", (*HM, "concordance", "weights"), ("rain_mm", "pct_of_median"),
        STATE_REVIEW + (SA2_REVIEW[2],))
 def _(spark, sf):
-    sd = _sd_rows(spark, sf)
-    state = WN.state_review(sd, B.history_df(spark, sf), B.mtd_df(spark, sf), _members(spark, sf), TY, MM, MD, FIRST)
+    inputs = _review_inputs(spark, sf)
+    sd = stored(_sd_rows(spark, sf, inputs), "sd-review")
+    state = _state_rows(inputs, sd)
     cols = ["pct_of_median", "decile", "decile_decimal"]
     return sets.union_sparse(
         sd.select(F.lit("sd").alias("level"), F.col("sd_code").alias("code"), "state", F.col("value").alias("rain_mm"), *cols),
         state.select(F.lit("state").alias("level"), F.col("state").alias("code"), "state", "rain_mm", *cols),
-        _sa2_rows(spark, sf).select(F.lit("sa2").alias("level"), F.col("sa2_code").alias("code"), F.col("value").alias("rain_mm"), *cols))
+        _sa2_rows(spark, sf, inputs).select(F.lit("sa2").alias("level"), F.col("sa2_code").alias("code"), F.col("value").alias("rain_mm"), *cols))
 
 
 BREAKDOWN = (WN.Window("std", 1, 4), WN.Window("mon", 4, 4))
@@ -216,7 +237,8 @@ BREAKDOWN_SQL = MEMBERS + (
     WHERE season IS NOT NULL AND mon IS NOT NULL""", (*HM, "concordance", "weights"),
        ("season", "season_median", "mon", "mon_median", "mtd", "full_median", "season_pct", "mon_pct", "gap_to_median", "pct_of_full_median"), BREAKDOWN_SQL)
 def _(spark, sf):
-    out = WN.sd_breakdown(B.history_df(spark, sf), _members(spark, sf), B.mtd_df(spark, sf), *BREAKDOWN, TY, FIRST, MM)
+    history, mtd = B.history_and_mtd(spark, sf)
+    out = WN.sd_breakdown(history, _members(spark, sf), mtd, *BREAKDOWN, TY, FIRST, MM)
     for c in ("std", "std_median", "std_decile", "std_pct"):
         out = out.withColumnRenamed(c, c.replace("std", "season"))
     return out
@@ -233,7 +255,8 @@ _TRAJ = tuple([WN.Window(calendar.month_abbr[m], m, m) for m in range(1, MM)] +
 @query("d28_moisture_trajectory", rank_sql("tot", ("state_name", '"window"'), min_years=1), (*HM, "weights"), RANK_ROUND,
        (("mh", _monthly_state("history")), ("mm", _monthly_state("mtd")), ("tot", totals_sql(_TRAJ, "state_name", "mh", "mm"))))
 def _(spark, sf):
-    return WN.moisture_trajectory(B.history_df(spark, sf), B.mtd_df(spark, sf), B.weights_df(spark, sf), TY, MM, MD, FIRST)
+    history, mtd = B.history_and_mtd(spark, sf)
+    return WN.moisture_trajectory(history, mtd, B.weights_df(spark, sf), TY, MM, MD, FIRST)
 
 
 _SEED = (WN.Window("prev", MM - 1, MM - 1), WN.Window("mtd", MM, MM, True), WN.Window("both", MM - 1, MM, True))
@@ -248,7 +271,8 @@ _SEED_ROUND = tuple(f"{w}_{c}" for w in ("prev", "mtd", "both") for c in _SC if
 
 
 def _seeding(spark, sf):
-    return WN.seeding_conditions(B.history_df(spark, sf), B.mtd_df(spark, sf), TY, MM, MD, FIRST)
+    history, mtd = B.history_and_mtd(spark, sf)
+    return WN.seeding_conditions(history, mtd, TY, MM, MD, FIRST)
 
 
 @query("i17_seeding_conditions", "SELECT * FROM seed", HM, _SEED_ROUND, SEEDING_SQL)
@@ -272,7 +296,8 @@ DRILL_SQL = (("tot", totals_sql(DRILL[1:], "sa2_code, sa2_name, sa3_name, state_
 
 
 def _drill(spark, sf):
-    return WN.region_ranks(B.history_df(spark, sf), DRILL[1:], TY, FIRST, LAST, ("sa2_code", "sa2_name", "sa3_name", "state_name"), MIN_YEARS, **_mtd(spark, sf))
+    history, mtd = _inputs(spark, sf)
+    return WN.region_ranks(history, DRILL[1:], TY, FIRST, LAST, ("sa2_code", "sa2_name", "sa3_name", "state_name"), MIN_YEARS, **mtd)
 
 
 def _share(cond):
@@ -316,7 +341,8 @@ def _(spark, sf):
     FROM (SELECT * FROM rk WHERE "window" = 'mar_may') a JOIN (SELECT * FROM rk WHERE "window" = 'may') b USING (sd_code)""", (*HM, "concordance", "weights"), (),
        MEMBERS + (("tot", totals_sql(CUMULATIVE)), ("ser", weighted_sql("tot", ("sd_code",))), ("rk", rank_sql("ser", ("sd_code", '"window"')))))
 def _(spark, sf):
-    r = WN.level_ranks(B.history_df(spark, sf), _members(spark, sf), CUMULATIVE, TY, FIRST, LAST, ["sd_code"], MIN_YEARS, **_mtd(spark, sf))
+    history, mtd = _inputs(spark, sf)
+    r = WN.level_ranks(history, _members(spark, sf), CUMULATIVE, TY, FIRST, LAST, ["sd_code"], MIN_YEARS, **mtd)
     return WN.dual_window(r, ["sd_code"], "mar_may", "may")
 
 
@@ -328,7 +354,8 @@ def _(spark, sf):
       JOIN (SELECT sa2_code, sd_code FROM concordance WHERE allocation_ratio = 0.75) USING (sa2_code) WHERE "window" = 'may'))  GROUP BY 1, 2""",
        (*HM, "edges", "concordance", "weights"), ("area_weighted_score", "lon_min", "lon_max"), (AREAS, ("tot", totals_sql(CUMULATIVE))))
 def _(spark, sf):
-    r = WN.region_ranks(B.history_df(spark, sf), CUMULATIVE, TY, FIRST, LAST, min_years=MIN_YEARS, median_floor=None, **_mtd(spark, sf))
+    history, mtd = _inputs(spark, sf)
+    r = WN.region_ranks(history, CUMULATIVE, TY, FIRST, LAST, min_years=MIN_YEARS, median_floor=None, **mtd)
     main = B.concordance_df(spark, sf).where("allocation_ratio = 0.75").select("sa2_code", "sd_code")
     lon = ring_centroid(B.edges_df(spark, sf)).select(F.col("region").alias("sa2_code"), "lon")
     return WN.east_west(r.join(main, "sa2_code"), lon, _areas(spark, sf), "sd_code", "may")
@@ -545,7 +572,8 @@ def _(spark, sf):
     SELECT state_name, sa2_code, year, month, rainfall_mm FROM history UNION ALL SELECT state_name, sa2_code, year, month, rainfall_mm FROM mtd""", HM)
 def _(spark, sf):
     cols = ["state_name", "sa2_code", "year", "month", "rainfall_mm"]
-    return B.history_df(spark, sf).select(*cols).unionByName(B.mtd_df(spark, sf).select(*cols))
+    history, mtd = B.history_and_mtd(spark, sf)
+    return history.select(*cols).unionByName(mtd.select(*cols))
 
 
 @query("g5_key_differences", """
