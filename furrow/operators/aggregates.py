@@ -307,6 +307,14 @@ def landuse_area(pixels: DataFrame, keys: Sequence[str], area: str = "area_ha")
     return pixels.groupBy(*keys).agg(F.count(area).alias("feature_count"), F.sum(area).alias("area_ha"))
 
 
+def landuse_conservation(pixels: DataFrame, grouped: DataFrame, area: str = "area_ha") -> DataFrame:
+    """Total area before and after grouping, and their difference, in one row."""
+    sides = pixels.select(F.col(area).alias("_a"), F.lit(1).alias("_raw")).unionByName(
+        grouped.select(F.col("area_ha").alias("_a"), F.lit(0).alias("_raw")))
+    raw, out = F.sum(F.when(F.col("_raw") == 1, F.col("_a"))), F.sum(F.when(F.col("_raw") == 0, F.col("_a")))
+    return sides.agg(raw.alias("total_ha"), out.alias("grouped_ha"), F.abs(raw - out).alias("difference_ha"))
+
+
 def join_coverage(joined: DataFrame, region: str = "abs_sa2_code", flag: str = "rainfall_feature_quality_flag") -> DataFrame:
     """Distinct matched regions per state and in all."""
     matched = F.countDistinct(F.when(F.col(flag) != "no_data", F.col(region)))

@@ -27,38 +27,28 @@ def with_stage(obs: DataFrame, calendar: str = "dates") -> DataFrame:
         "*", *[S.stage_flag("crop_stage", k).alias(f"{k}_critical") for k in ("frost", "heat", "rain")])
 
 
-def _event(event_type: str, severity, value, threshold, stage, quality: str, *, window=None, role=None, crop=None,
-           multiplier=None, flowering=None, since=None) -> Column:
+def _event(event_type: str, severity, value, threshold, *, window=None, crop=None) -> Column:
+    """The part of an event that depends on its rule; the rest is filled in after the expansion."""
     def typed(x, t):
         return (F.lit(x) if not isinstance(x, Column) else x).cast(t)
 
     return F.struct(
         F.lit(event_type).alias("event_type"), typed(severity, "string").alias("severity"),
         typed(value, "double").alias("value"), typed(threshold, "double").alias("threshold"),
-        typed(stage, "string").alias("crop_stage"), F.col(f"_conf_{quality}").alias("confidence"),
-        F.col(quality).cast("int").alias("data_quality"), typed(window, "int").alias("accumulation_window"),
-        typed(role, "string").alias("rainfall_role"), typed(crop, "string").alias("crop_type"),
-        typed(multiplier, "double").alias("phenology_risk_multiplier"),
-        typed(flowering, "boolean").alias("flowering_window_active"),
-        typed(since, "int").alias("days_since_flowering_start"),
-    )
+        typed(window, "int").alias("accumulation_window"), typed(crop, "string").alias("crop_type"))
 
 
 def _frost() -> Column:
     temp = F.col("min_temp")
     severity = S.frost_severity(temp, "crop_stage")
-    active = S.flowering_active("date")
-    since = S.days_since_flowering("date")
-    rec = _event("frost", severity, temp, S.frost_threshold_hit(temp, "crop_stage"), F.col("crop_stage"),
-                 "min_temp_quality", multiplier=S.phenology_multiplier("crop_stage", "frost", active, since),
-                 flowering=active, since=since)
+    rec = _event("frost", severity, temp, S.frost_threshold_hit(temp, "crop_stage"))
     return F.when(F.col("frost_critical") & severity.isNotNull(), rec)
 
 
 def _heat() -> Column:
     temp = F.col("max_temp")
     severity = S.heat_severity(temp)
-    rec = _event("heat", severity, temp, S.heat_threshold_hit(temp), F.col("crop_stage"), "max_temp_quality")
+    rec = _event("heat", severity, temp, S.heat_threshold_hit(temp))
     return F.when(F.col("heat_critical") & severity.isNotNull(), rec)
 
 
@@ -67,7 +57,7 @@ def _harvest(severe_tier: bool) -> list[Column]:
     live = F.col("rain_critical") & F.col("rainfall").isNotNull()
 
     def rec(severity, value, threshold, window):
-        return _event("rainfall", severity, value, threshold, "harvest", "rainfall_quality", window=window)
+        return _event("rainfall", severity, value, threshold, window=window)
 
     total = F.col("total_3d")
     one_day = F.when(live & (F.col("rainfall") >= t["moderate"]), rec("moderate", F.col("rainfall"), t["moderate"], 1))
@@ -87,8 +77,7 @@ def _seeding() -> list[Column]:
         threshold = S.cases((total >= crop.adequate, crop.adequate), (total >= crop.marginal, crop.marginal),
                             otherwise=crop.marginal_low)
         live = month.isin(*crop.months) & F.col("rainfall").isNotNull() & severity.isNotNull()
-        out.append(F.when(live, _event("seeding_rain", severity, total, threshold, "seeding", "rainfall_quality",
-                                       window=7, role="beneficial", crop=crop.name)))
+        out.append(F.when(live, _event("seeding_rain", severity, total, threshold, window=7, crop=crop.name)))
     return out
 
 
@@ -97,16 +86,27 @@ def _development() -> list[Column]:
     out = []
     for days, limit, severity in ((7, P.DRY_SPELL_7D_MM, "dry_spell"), (14, P.DRY_SPELL_14D_MM, "moisture_stress")):
         total = F.col(f"total_{days}d")
-        out.append(F.when(live & (total < limit), _event(
-            "development_rain", severity, total, limit, F.col("crop_stage"), "rainfall_quality",
-            window=days, role="beneficial")))
+        out.append(F.when(live & (total < limit), _event("development_rain", severity, total, limit, window=days)))
     return out
 
 
 def _expand(rows: DataFrame, candidates: list[Column]) -> DataFrame:
-    rows = rows.select("*", *[S.quality_confidence(q).alias(f"_conf_{q}") for q in QUALITIES])
-    fired = F.explode(F.array_compact(F.array(*candidates)))
-    return rows.select("station_id", "date", fired.alias("e")).select("station_id", "date", "e.*").select(*COLUMNS)
+    """One row per fired rule; confidence, stage and phenology are worked out for fired rows only."""
+    fired = F.explode(F.array_compact(F.array(*candidates))).alias("e")
+    out = rows.select("station_id", "date", F.col("crop_stage").alias("_stage"), *QUALITIES, fired).select("*", "e.*").drop("e")
+    et = F.col("event_type")
+    frost = et == "frost"
+    quality = F.when(frost, F.col(QUALITIES[0])).when(et == "heat", F.col(QUALITIES[1])).otherwise(F.col(QUALITIES[2]))
+    out = out.select("*", quality.cast("int").alias("data_quality"), S.flowering_active("date").alias("_active"),
+                     S.days_since_flowering("date").alias("_since"))
+    return out.select(
+        "station_id", "date", "event_type", "severity", "value", "threshold",
+        F.when(et == "rainfall", "harvest").when(et == "seeding_rain", "seeding").otherwise(F.col("_stage")).alias("crop_stage"),
+        S.quality_confidence("data_quality").alias("confidence"), "data_quality", "accumulation_window",
+        F.when(et.isin("seeding_rain", "development_rain"), "beneficial").alias("rainfall_role"), "crop_type",
+        F.when(frost, S.phenology_multiplier("_stage", "frost", "_active", "_since")).alias("phenology_risk_multiplier"),
+        F.when(frost, F.col("_active")).alias("flowering_window_active"), F.when(frost, F.col("_since")).alias("days_since_flowering_start"),
+    ).select(*COLUMNS)
 
 
 def complete_rows(obs: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from furrow import params as P
 from furrow.functions import ranks as R
 from furrow.functions import scalar as S
 from furrow.operators import joins
+from furrow.session import stored
 
 DOYS = ("earliest_sow_doy", "optimal_start_doy", "optimal_end_doy", "latest_viable_doy")
 
@@ -133,6 +134,9 @@ def sd_breaks_from_features(features: DataFrame, concordance: DataFrame, areas:
     dated = F.col("autumn_break_status").isin(*P.DATED_BREAK_STATUSES)
     f = features.select("sa2_code", "season_year", F.col("autumn_break_status").alias("status"),
                         F.when(dated, F.dayofyear("autumn_break_date")).alias("break_doy"))
+    if strict:
+        # the check below is a job of its own; the features behind it are computed once
+        f = stored(f, "region-breaks")
     rows = joins.bridge(f, concordance, areas, strict=strict)
     return rows.withColumn("sd_region", S.lookup("sd_code", region_of) if region_of else F.col("sd_code"))
 

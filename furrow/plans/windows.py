@@ -19,6 +19,7 @@ from furrow.operators import joins
 from furrow.operators.aggregates import weighted_mean
 from furrow.operators.ranking import climatology, rank_target
 from furrow.operators.topk import top_k
+from furrow.session import stored
 
 
 @dataclass(frozen=True)
@@ -255,6 +256,7 @@ def class_rollup(conditions: DataFrame, group: str = "sa4_name") -> DataFrame:
 def band_area_share(drill: DataFrame, weights: DataFrame, on: Sequence[str] = ("sa2_code", "state_name"), strict: bool = True) -> DataFrame:
     """Per state: area share of dry, mid and wet regions, weighted and plain mean ranks, top-10 share."""
     if strict:
+        drill = stored(drill, "drill")
         joins.fail_unless_empty(drill.select(*on).distinct().join(weights.select(*on), list(on), "left_anti"),
                                 "regions without an area record")
     rows = drill.join(weights.select(*on, "weight"), list(on)).where("weight > 0").withColumn("band", S.band3("decile"))

@@ -322,7 +322,11 @@ def _(spark, sf):
     return f.select("season_year", "sa2_code", "station_count", "rainfall_total_apr_oct_mm", "autumn_break_date", "autumn_break_status", "feature_quality_flag", "daily_features_status")
 
 
-@query("i9_build_season_features_hybrid")
+@query("i9_build_season_features_hybrid", """
+    SELECT mf.sa2_code, mf.season_year, mf.monthly_features_source, CASE WHEN rf.sa2_code IS NOT NULL THEN 'station_daily' ELSE mf.daily_features_status END AS daily_features_status,
+           coalesce(rf.autumn_break_status, mf.autumn_break_status) AS autumn_break_status, 'silo_patched_point' AS source_dataset, '1' AS pipeline_version
+    FROM mf LEFT JOIN (SELECT * FROM rf WHERE season_year >= 1997) rf ON mf.season_year = rf.season_year AND mf.sa2_5 = left(rf.sa2_code, 1) || right(rf.sa2_code, 4)""",
+       ("region_month", "obs", "stations"), (), MONTHLY_FEATURES + REGION_FEATURES)
 def _(spark, sf):
     return _hybrid(spark, sf).select("sa2_code", "season_year", "monthly_features_source", "daily_features_status", "autumn_break_status", "source_dataset", "pipeline_version")
 

@@ -671,6 +671,12 @@ def _(spark, sf):
     return RG.census_coverage(_census(spark, sf), uni, "BUILDING_A")[1]
 
 
+@query("d20_census_coverage_count", "SELECT count(DISTINCT region_code) AS n_regions FROM census WHERE commodity_code = 'BUILDING_A' AND estimate IS NOT NULL AND region_code LIKE '1%'", ("crop_context",), (), (CENSUS,))
+def _(spark, sf):
+    uni = B.regions_df(spark, sf).select(F.col("sa2_code").alias("main_code"))
+    return RG.census_coverage(_census(spark, sf), uni, "BUILDING_A", "1")[0]
+
+
 @query("a8_read_census", "SELECT region_code, commodity_code, estimate FROM census WHERE region_code IN (SELECT sa2_code FROM regions WHERE state_name = 'ASIA') AND commodity_code IN ('BUILDING_A', 'BUILDING_P')",
        ("crop_context",), (), (CENSUS,))
 def _(spark, sf):
@@ -725,6 +731,12 @@ def _(spark, sf):
     return A.landuse_area(p, ["p_type", "brand"], "p_retailprice")
 
 
+@query("d42_landuse_conservation", "SELECT sum(p_retailprice) AS total_ha, sum(p_retailprice) AS grouped_ha, 0::DOUBLE AS difference_ha FROM part", (), ("total_ha", "grouped_ha", "difference_ha"))
+def _(spark, sf):
+    p = B.table(spark, sf, "part").withColumn("brand", F.when(F.col("p_size") % 7 != 0, F.col("p_brand")))
+    return A.landuse_conservation(p, A.landuse_area(p, ["p_type", "brand"], "p_retailprice"), "p_retailprice")
+
+
 # --- analogues ---------------------------------------------------------------------------
 
 AN_SQL = (("sw", WINDOWS_BY_STATE), ("whole", "SELECT * FROM sw WHERE jan_mar IS NOT NULL AND apr_may IS NOT NULL"),

@@ -381,6 +381,26 @@ def _(spark, sf):
                                                F.to_json(p).alias("back"))
 
 
+@query("h_math_functions", """
+    SELECT l_suppkey, sqrt(sum(pow(l_quantity - 25, 2))) AS distance, stddev_samp(l_quantity) AS sd, median(l_quantity) AS med, avg(l_quantity) AS mean,
+           (max(l_quantity) - avg(l_quantity)) / nullif(stddev_samp(l_quantity), 0) AS z_max, CAST(greatest(1, least(10, ceil(avg(l_quantity) / 5))) AS INT) AS clamped, round_even(avg(l_quantity) * 0 + 2.5, 0) AS half_even
+    FROM lineitem GROUP BY 1""", (), ("distance", "sd", "med", "mean", "z_max", "half_even"))
+def _(spark, sf):
+    q = F.col("l_quantity")
+    return B.table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        F.sqrt(F.sum(F.pow(q - 25, 2))).alias("distance"), F.stddev_samp(q).alias("sd"), F.median(q).alias("med"), F.avg(q).alias("mean"),
+        ((F.max(q) - F.avg(q)) / F.nullif(F.stddev_samp(q), F.lit(0.0))).alias("z_max"),
+        F.greatest(F.lit(1), F.least(F.lit(10), F.ceil(F.avg(q) / 5))).cast("int").alias("clamped"), F.bround(F.avg(q) * 0 + 2.5, 0).alias("half_even"))
+
+
+@query("h_array_functions", """
+    SELECT ids.state_name, n_ids, station_id FROM (SELECT state_name, count(DISTINCT station_id) AS n_ids FROM stations GROUP BY 1) ids JOIN stations USING (state_name)""", ("stations",))
+def _(spark, sf):
+    ids = B.stations_df(spark, sf).groupBy("state_name").agg(F.array_join(F.array_sort(F.collect_set("station_id")), "|").alias("ids"))
+    parts = F.split("ids", r"\|")
+    return ids.select("state_name", F.size(parts).cast("bigint").alias("n_ids"), F.explode(parts).alias("station_id"))
+
+
 @query("k_sql_functions", f"""
     SELECT station_id, date, {conf('rainfall_quality')} AS confidence,
            CASE WHEN date < make_date(year(date), 5, 15) THEN 'early' WHEN date <= make_date(year(date), 6, 15) THEN 'on_time' ELSE 'late' END AS status,
