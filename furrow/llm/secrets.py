@@ -161,5 +161,9 @@ def digest(spans: Column) -> Column:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] < 3)
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
+    counts = [count(k) for k in range(3)]
     return found.select("doc_id", *counts, F.sha2(digest(base), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
