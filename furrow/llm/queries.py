@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from furrow.llm import mixing, packing, secrets  # noqa: F401
+from furrow.llm import mixing, packing, rules, secrets  # noqa: F401
 from furrow.llm.common import ORACLES, QUERIES  # noqa: F401
