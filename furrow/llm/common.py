@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 import numpy as np
@@ -55,33 +54,6 @@ def in_order(df: DataFrame, order: list[Column], name: str, n: int | None = None
     return kept(ranged, name)
 
 
-def word_hash(word: bytes) -> int:
-    """64 bits of a keyed-free public digest; the same in every process."""
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-
-
-class WordHashes:
-    """Hashes of words, remembered for the words met most recently; the memory is bounded."""
-
-    def __init__(self, limit: int = 400_000):
-        self.limit, self.known = limit, {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        got = list(map(known.get, words))
-        if None in got:
-            if len(known) > self.limit:
-                known.clear()
-            for i, h in enumerate(got):
-                if h is None:
-                    w = words[i]
-                    h = known.get(w)
-                    if h is None:
-                        h = known[w] = word_hash(w)
-                    got[i] = h
-        return np.array(got, dtype=np.uint64)
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values (the public splitmix finaliser)."""
     x = x.astype(np.uint64, copy=True)
@@ -93,6 +65,56 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_BASE = 0x9E3779B97F4A7C17
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base^i and base^-i modulo 2^64."""
+    have = _POWERS.get(0)
+    if have is None or len(have[0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        up = np.full(size, _BASE, dtype=np.uint64)
+        down = np.full(size, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
+        up[0] = down[0] = 1
+        have = _POWERS[0] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return have
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans of a byte array; equal bytes have equal hashes wherever they stand."""
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
+    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+_SPACES = np.zeros(256, dtype=bool)
+_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+CHUNK = 1 << 22
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, A-Z in lower case, and where each text's words begin (one entry more at the end)."""
+    hashes, first, n, at = [], [0], 0, 0
+    while at < len(texts):
+        parts, size = [], 0
+        while at < len(texts) and (not parts or size < CHUNK):
+            parts.append(texts[at].encode().lower())
+            size += len(parts[-1]) + 1
+            at += 1
+        data = np.frombuffer(b"\n".join([b"", *parts, b""]), dtype=np.uint8)
+        space = _SPACES[data]
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        starts, ends = edges[::2], edges[1::2]
+        hashes.append(span_hashes(data, starts, ends))
+        bounds = np.cumsum([len(p) + 1 for p in parts])
+        first += (n + np.searchsorted(starts, bounds)).tolist()
+        n += len(starts)
+    return np.concatenate(hashes) if hashes else np.empty(0, dtype=np.uint64), np.array(first, dtype=np.int64)
+
+
 def window_hashes(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all windows of ``n`` consecutive word hashes."""
     if len(h) < n:

@@ -7,20 +7,22 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import kept, query, table
+from furrow.llm.common import CHUNK, kept, query, span_hashes, table
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 2048
 END_ID = 0
 PIECES_A_GROUP = 4096
-CACHED_WORDS = 400_000
 
 # texts of these characters only, without runs of white space, fall into pieces that are encoded alone
-_ODD = re.compile("[^\n -~À-ɏ]")
+_ODD = re.compile("[^\n -~À-ÖØ-öø-ɏ]")
+_LETTER = np.array([chr(b).isalnum() and b < 128 or b >= 128 for b in range(256)])
+_MARK = np.array([32 < b < 127 and not chr(b).isalnum() for b in range(256)])
 _RUNS = ("  ", "\n\n", " \n", "\n ")
 
 
@@ -38,13 +40,15 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class Encoder:
-    """Ids of a byte-level BPE vocabulary as little-endian 32-bit numbers.
+    """Ids of a byte-level BPE vocabulary.
 
-    Ids are those of ``tokenizers`` for the vocabulary file. Words met before are looked up; new ones go through the
-    same vocabulary as merge ranks; texts with uncommon characters or runs of white space go to ``tokenizers`` whole.
+    Ids are those of ``tokenizers`` for the vocabulary file. Common texts fall into units, a word with the space or line
+    end before it or the marks behind it, that are encoded alone: the distinct units of a batch are found by their 64-bit
+    hashes and go through the same vocabulary as merge ranks. Texts with uncommon characters or runs of white space go
+    to ``tokenizers`` whole.
     """
 
-    def __init__(self, path: str, cached: int = CACHED_WORDS):
+    def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
@@ -56,32 +60,62 @@ class Encoder:
         byte_of = _byte_alphabet()
         ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
         self.words = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.cached, self.known = cached, {}
-
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if (_ODD.search(text) or text[0] in " \n" or text[-1] in " \n" or any(r in text for r in _RUNS)
-                or any(s in text for s in self.special)):
-            return self._bytes(self.whole.encode(text, add_special_tokens=False).ids)
-        pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        known = self.known
-        got = list(map(known.get, pieces))
-        if None in got:
-            if len(known) > self.cached:
-                known.clear()
-            for i, b in enumerate(got):
-                if b is None:
-                    piece = pieces[i]
-                    b = known.get(piece)
-                    if b is None:
-                        b = known[piece] = self._bytes(self.words.encode_ordinary(piece))
-                    got[i] = b
-        return b"".join(got)
-
-    @staticmethod
-    def _bytes(ids: list[int]) -> bytes:
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+        self.token_bytes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+        for token, i in ranks.items():
+            self.token_bytes[i] = len(token)
+
+    def _plain(self, text: str) -> bool:
+        return not (_ODD.search(text) or text[0] in " \n" or text[-1] in " \n" or any(r in text for r in _RUNS)
+                    or any(s in text for s in self.special))
+
+    def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text, in order."""
+        at = 0
+        while at < len(texts):
+            start, size = at, 0
+            while at < len(texts) and (at == start or size < CHUNK):
+                size += len(texts[at] or "")
+                at += 1
+            yield from self._chunk(texts[start:at])
+
+    def _chunk(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        plain = [bool(t) and self._plain(t) for t in texts]
+        ids, bounds = self._units([t.encode() for t, p in zip(texts, plain, strict=True) if p])
+        k = 0
+        for text, p in zip(texts, plain, strict=True):
+            if p:
+                yield ids[bounds[k] : bounds[k + 1]]
+                k += 1
+            else:
+                yield np.array(self.whole.encode(text, add_special_tokens=False).ids if text else [], dtype="<u4")
+
+    def _units(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin (one entry more at the end)."""
+        if not texts:
+            return np.empty(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        begins = np.cumsum([0] + [len(t) for t in texts])
+        # a unit starts at white space, and at a mark after a letter or digit, where pieces of the vocabulary end anyway
+        cut_here = (data == 32) | (data == 10)
+        cut_here[1:] |= _MARK[data[1:]] & _LETTER[data[:-1]]
+        cut_here[begins[:-1]] = True
+        starts = np.flatnonzero(cut_here)
+        ends = np.append(starts[1:], len(data))
+        _, example, unit = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        # the distinct units, a line end (one id) after each, are encoded in one go and told apart by their lengths in bytes
+        lengths = ends[example] - starts[example]
+        joined_at = np.cumsum(lengths + 1) - (lengths + 1)
+        joined = np.full(int(lengths.sum()) + len(lengths), 10, dtype=np.uint8)
+        step = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        joined[np.repeat(joined_at, lengths) + step] = data[np.repeat(starts[example], lengths) + step]
+        flat = np.array(self.words.encode_ordinary(joined.tobytes().decode()), dtype="<u4")
+        offsets = np.cumsum(self.token_bytes[flat]) - self.token_bytes[flat]
+        first = np.searchsorted(offsets, joined_at)
+        many = np.append(first[1:], len(flat)) - first - 1
+        counts = many[unit]
+        sums = np.cumsum(counts)
+        ids = flat[np.repeat(first[unit] - (sums - counts), counts) + np.arange(sums[-1])]
+        return ids, np.append(0, sums)[np.append(np.searchsorted(starts, begins[:-1]), len(starts))]
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -97,13 +131,14 @@ def token_pieces(text: Column, path: str | None = None, capacity: int = CAPACITY
 
     @F.pandas_udf("array<struct<start:bigint,length:bigint,ids_crc32:bigint>>")
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = Encoder(path or tokenizer_path())
-        end = END_ID.to_bytes(4, "little")
+        encode, end = Encoder(path or tokenizer_path()), END_ID.to_bytes(4, "little")
         for texts in batches:
             out = []
-            for text in texts:
-                ids = encode(text) + end
-                out.append([{"start": s, "length": n, "ids_crc32": zlib.crc32(ids[4 * s : 4 * (s + n)])} for s, n in cut(len(ids) // 4, capacity)])
+            for ids in encode(texts.tolist()):
+                data, parts = memoryview(np.ascontiguousarray(ids)).cast("B"), cut(len(ids) + 1, capacity)
+                crcs = [zlib.crc32(data[4 * s : 4 * (s + n)]) for s, n in parts]
+                crcs[-1] = zlib.crc32(end, crcs[-1])  # the end id closes the last piece
+                out.append([{"start": s, "length": n, "ids_crc32": c} for (s, n), c in zip(parts, crcs, strict=True)])
             yield pd.Series(out)
 
     return pieces(text)
