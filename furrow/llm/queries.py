@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from furrow.llm import jaccard, language, mixing, packing, rules, secrets, templates, topk, toxicity  # noqa: F401
+from furrow.llm import jaccard, katz, language, mixing, packing, rules, secrets, templates, topk, toxicity  # noqa: F401
 from furrow.llm.common import ORACLES, QUERIES  # noqa: F401
