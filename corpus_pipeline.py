@@ -5,21 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from furrow.llm.common import fold
+from furrow.llm.jaccard import one_of_each
+from furrow.llm.language import in_known_language
 from furrow.llm.mixing import mixed_documents
+from furrow.llm.packing import pack_documents
+from furrow.llm.secrets import masked_documents
 from furrow.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose main language is known; the languages are learnt from three quarters of the labelled ones."""
+    return in_known_language(docs, docs.where(fold(F.col("doc_id"), 4) != 2))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return one_of_each(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secret values masked."""
+    return masked_documents(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixed_documents(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("mix_sources", mix_sources)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences."""
+    return pack_documents(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("known_language", known_language), ("near_duplicates", near_duplicates), ("secrets", secrets), ("mix_sources", mix_sources),
+    ("pack_sequences", pack_sequences)]
 
-#: packing, tokenising and model scores have no SQL form; tests hold the stages against brute force
+#: model scores, shingle joins and tokenising have no SQL form; tests hold the stages against brute force
 ORACLE_SQL = None
 
 
