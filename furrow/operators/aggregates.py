@@ -273,33 +273,46 @@ def freshness_verdict(fresh: DataFrame) -> DataFrame:
 def order_statistic(df: DataFrame, value: str, rank: int, buckets: int = 4096) -> float:
     """The ``rank``-th smallest value (0-based) of a column, by narrowing bucket counts.
 
-    Every round aggregates the values still in question into equal-width buckets and keeps the one
-    that holds the rank; at most ``buckets`` rows reach the driver and no values are gathered.
+    NULL and NaN are missing; infinities are the ends of the order. Every round aggregates the values
+    still in question into equal-width buckets and keeps the one that holds the rank; at most
+    ``buckets`` rows reach the driver and no values are gathered.
     """
     v = F.col(value).cast("double")
-    data = df.where(v.isNotNull()).select(v.alias("v"))
-    span = data.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    end = float("inf")
+    data = df.where(v.isNotNull() & ~F.isnan(v)).select(v.alias("v"))
+    finite = (F.col("v") > -end) & (F.col("v") < end)
+    span = data.agg(F.count_if(F.col("v") == -end).alias("low"), F.count_if(finite).alias("n"),
+                    F.min(F.when(finite, F.col("v"))).alias("lo"), F.max(F.when(finite, F.col("v"))).alias("hi")).first()
+    if rank < span["low"]:
+        return -end
+    rank -= span["low"]
+    if rank >= span["n"]:
+        return end
     lo, hi = span["lo"], span["hi"]
     while lo < hi:
-        width = (hi - lo) / buckets or (hi - lo)
-        bucket = F.least(F.lit(buckets), F.floor((F.col("v") - lo) / width)).alias("b")
+        width = hi / buckets - lo / buckets or hi - lo
+        bucket = F.least(F.lit(float(buckets)), F.col("v") / width - lo / width).cast("int").alias("b")
         rows = (data.where(F.col("v").between(lo, hi)).groupBy(bucket)
                 .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
-        for row in sorted(rows, key=lambda r: r["b"]):
+        before = lo, hi
+        for row in sorted(rows, key=lambda r: r["lo"]):
             if rank < row["c"]:
                 lo, hi = row["lo"], row["hi"]
                 break
             rank -= row["c"]
+        if (lo, hi) == before:
+            raise ArithmeticError(f"buckets between {lo} and {hi} do not separate the values")
     return lo
 
 
 def exact_median(df: DataFrame, value: str) -> float | None:
-    """Exact median of a numeric column over a whole table."""
-    n = df.where(F.col(value).isNotNull()).count()
+    """Exact median of a numeric column over a whole table; NULL and NaN are missing."""
+    v = F.col(value).cast("double")
+    n = df.where(v.isNotNull() & ~F.isnan(v)).count()
     if n == 0:
         return None
     mid = [order_statistic(df, value, r) for r in sorted({(n - 1) // 2, n // 2})]
-    return sum(mid) / len(mid)
+    return mid[0] if mid[0] == mid[-1] else sum(mid) / len(mid)
 
 
 def landuse_area(pixels: DataFrame, keys: Sequence[str], area: str = "area_ha") -> DataFrame:

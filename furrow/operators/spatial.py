@@ -118,43 +118,60 @@ def far_from(points: DataFrame, sites: DataFrame, radius: float, lat: str = "lat
 
 def nearest_site(points: DataFrame, sites: DataFrame, site_id: str, point_id: str = "point_id",
                  lat: str = "lat", lon: str = "lon", site_lat: str = "latitude", site_lon: str = "longitude",
-                 depth: int = 4, fan: int = 8, extent: float = 512.0) -> DataFrame:
+                 fan: int = 8, leaf_sites: int = 64, max_depth: int = 10) -> DataFrame:
     """Exact nearest site of every point; ties go to the smallest id.
 
     Branch and bound down a grid tree: each level splits a cell ``fan`` x ``fan`` and keeps, per point, only
     the occupied cells that could still hold the nearest site (nearest corner no farther than the
-    best farthest corner). The open cells per point stay few at every level, sites packed into one
-    place are reached only by points that need them, and each step is an equality join on the cell.
+    best farthest corner). The tree spans all points and sites, whatever their units, and is as deep as
+    it takes for its fullest cell to hold ``leaf_sites`` places. At most fan^2 and fan^4 cells are occupied
+    on the first two levels, so those reach the points as a literal and as a small broadcast; deeper
+    steps are equality joins on the cell. Rows without finite coordinates have no nearest site.
     """
-    s = sites.select(F.col(site_id).alias("_sid"), F.col(site_lat).alias("_sy"), F.col(site_lon).alias("_sx"))
-    s = s.groupBy("_sy", "_sx").agg(F.min("_sid").alias("_sid"))
-    half = extent / 2
+    def finite(y: str, x: str):
+        return F.abs(F.col(y)).between(0.0, 1e150) & F.abs(F.col(x)).between(0.0, 1e150)
+
+    s = sites.select(F.col(site_id).alias("_sid"), F.col(site_lat).cast("double").alias("_sy"), F.col(site_lon).cast("double").alias("_sx"))
+    s = s.where(finite("_sy", "_sx")).groupBy("_sy", "_sx").agg(F.min("_sid").alias("_sid"))
+    p = points.select(point_id, F.col(lat).cast("double").alias("_py"), F.col(lon).cast("double").alias("_px")).where(finite("_py", "_px"))
+    span = s.select("_sy", "_sx").unionByName(p.select(F.col("_py").alias("_sy"), F.col("_px").alias("_sx"))).agg(
+        F.min("_sy").alias("y0"), F.min("_sx").alias("x0"), F.max("_sy").alias("y1"), F.max("_sx").alias("x1")).first()
+    y0, x0 = span["y0"] or 0.0, span["x0"] or 0.0
+    extent = max((span["y1"] or 0.0) - y0, (span["x1"] or 0.0) - x0) * (1 + 1e-9) or 1.0
 
     def cell(level: int):
-        size = extent / fan ** level
-        return (F.floor((F.col("_sy") + half) / size).cast("int"), F.floor((F.col("_sx") + half) / size).cast("int"))
+        size, last = extent / fan ** level, F.lit(fan ** level - 1)
+        return (F.least(F.floor((F.col("_sy") - y0) / size), last).alias("_ny"), F.least(F.floor((F.col("_sx") - x0) / size), last).alias("_nx"))
 
     def occupied(level: int) -> DataFrame:
-        cy, cx = cell(level)
-        return s.select(cy.alias("_ny"), cx.alias("_nx")).distinct().select(
-            F.floor(F.col("_ny") / fan).cast("int").alias("_cy"), F.floor(F.col("_nx") / fan).cast("int").alias("_cx"), "_ny", "_nx")
-
-    open_cells = points.select(point_id, F.col(lat).alias("_py"), F.col(lon).alias("_px")).where(
-        F.col(lat).isNotNull() & F.col(lon).isNotNull())
+        return s.select(*cell(level)).distinct().select(
+            F.floor(F.col("_ny") / fan).alias("_cy"), F.floor(F.col("_nx") / fan).alias("_cx"), "_ny", "_nx")
+
+    depth = 1
+    while depth < max_depth:
+        fullest = s.select(*cell(depth)).groupBy("_ny", "_nx").count().agg(F.max("count")).first()[0] or 0
+        if fullest <= leaf_sites:
+            break
+        depth += 1
+    top = [F.struct(F.lit(r["_ny"]).alias("_ny"), F.lit(r["_nx"]).alias("_nx")) for r in occupied(1).collect()]
     best = W.partitionBy(point_id)
+    open_cells = p
     for level in range(1, depth + 1):
         size = extent / fan ** level
-        y1, x1 = F.col("_ny") * size - half, F.col("_nx") * size - half
-        dy = F.greatest(y1 - F.col("_py"), F.lit(0.0), F.col("_py") - (y1 + size))
-        dx = F.greatest(x1 - F.col("_px"), F.lit(0.0), F.col("_px") - (x1 + size))
-        fy = F.greatest(F.abs(F.col("_py") - y1), F.abs(F.col("_py") - (y1 + size)))
-        fx = F.greatest(F.abs(F.col("_px") - x1), F.abs(F.col("_px") - (x1 + size)))
+        # a cell's box is taken a little wider than it is, so that rounding loses no site
+        slack = 1e-9 * extent
+        cy1, cx1 = F.col("_ny") * size + y0 - slack, F.col("_nx") * size + x0 - slack
+        cy2, cx2 = cy1 + size + 2 * slack, cx1 + size + 2 * slack
+        dy = F.greatest(cy1 - F.col("_py"), F.lit(0.0), F.col("_py") - cy2)
+        dx = F.greatest(cx1 - F.col("_px"), F.lit(0.0), F.col("_px") - cx2)
+        fy = F.greatest(F.abs(F.col("_py") - cy1), F.abs(F.col("_py") - cy2))
+        fx = F.greatest(F.abs(F.col("_px") - cx1), F.abs(F.col("_px") - cx2))
         if level == 1:
-            step = open_cells.select("*", F.explode(F.sequence(F.lit(0), F.lit(fan - 1))).alias("_ny")).select(
-                "*", F.explode(F.sequence(F.lit(0), F.lit(fan - 1))).alias("_nx"))
-            step = step.join(occupied(1).select("_ny", "_nx"), ["_ny", "_nx"], "left_semi")
+            cells = F.array(*top) if top else F.array().cast("array<struct<_ny:bigint,_nx:bigint>>")
+            step = open_cells.select("*", F.explode(cells).alias("_t")).select("*", "_t._ny", "_t._nx")
         else:
-            step = open_cells.join(occupied(level), ["_cy", "_cx"])
+            below = occupied(level)
+            step = open_cells.join(F.broadcast(below) if level == 2 else below, ["_cy", "_cx"])
         step = step.withColumn("_near", dy * dy + dx * dx).withColumn("_far", fy * fy + fx * fx)
         open_cells = (
             step.withColumn("_reach", F.min("_far").over(best)).where(F.col("_near") <= F.col("_reach") * (1 + 1e-12))

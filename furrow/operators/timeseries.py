@@ -37,9 +37,10 @@ def rolling_totals(obs: DataFrame, days: Iterable[int] = (3, 7, 14), station: st
 
     NULL when the window holds fewer than n rows (``min_rows``) or fewer than ``min_valid * n``
     non-null values. ``min_periods`` replaces both gates with a plain non-null count. All window
-    lengths share one exchange and one sort.
+    lengths share one exchange and one sort. Time blocks are at least as long as the longest window.
     """
     days = sorted(days)
+    block_days = max(block_days, days[-1])
     base = W.partitionBy(station, "_block").orderBy("_day")
     totals = []
     for n in days:

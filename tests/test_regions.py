@@ -220,3 +220,10 @@ def test_sets(spark):
     b = spark.createDataFrame([(2, 5)], "k int, b int")
     assert rows(sets.union_sparse(a, b)) == [(1, "x", None), (2, None, 5)]
     assert rows(sets.key_differences(a, b, "k")) == [(1, "left_only"), (2, "right_only")]
+
+
+@pytest.mark.parametrize("values,want", [
+    ([1.0, 2.0, float("nan"), 3.0, 4.0], 2.5), ([1.0, float("-inf"), 7.0], 1.0), ([float("inf"), 5.0, float("inf")], float("inf")),
+    ([float("-inf"), float("-inf"), 2.0], float("-inf")), ([float("nan")], None), ([-1.7e308, 1.7e308, 0.0], 0.0)])
+def test_exact_median_with_values_that_are_no_numbers(spark, values, want):
+    assert A.exact_median(spark.createDataFrame([(v,) for v in values], "v double"), "v") == want

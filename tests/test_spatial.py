@@ -97,3 +97,13 @@ def test_partial_month_missing_day(spark):
 def test_cropland_fraction_takes_the_mode_first(spark):
     px = [(1, 1, 335)] * 2 + [(1, 1, 210)] + [(1, 2, 210)] + [(1, 3, 439)]
     assert SP.cropland_fraction(spark.createDataFrame(px, "cell_id int, fine_cell int, code int")).first()["frac"] == pytest.approx(2 / 3)
+
+
+def test_nearest_site_of_projected_coordinates_far_from_the_origin(spark):
+    sites = spark.createDataFrame([("far", 5001.0, 5001.0), ("near", 1.0, 1.0), ("east", 812_000.5, 6_100_000.25), ("none", None, 1.0)],
+                                  "sid string, latitude double, longitude double")
+    pts = [(1, 5000.0, 5000.0), (2, 0.0, 0.0), (3, 812_000.0, 6_100_000.0), (4, -9e6, 2.0), (5, float("nan"), 0.0)]
+    df = spark.createDataFrame(pts, "point_id int, lat double, lon double")
+    got = {r["point_id"]: r["sid"] for r in SP.nearest_site(df, sites, "sid").collect()}
+    assert got == {1: "far", 2: "near", 3: "east", 4: "near"}
+    assert SP.nearest_site(df, sites.where("false"), "sid").collect() == []

@@ -118,3 +118,9 @@ def test_severe_tier_is_off_by_default(spark):
     wet = [("1", day("2026-12-01") + dt.timedelta(i), 5.0, 20.0, 12.0, 0, 0, 0) for i in range(3)]
     assert E.harvest_rain_events(obs(spark, wet)).where("severity = 'severe'").count() == 0
     assert E.harvest_rain_events(obs(spark, wet), severe_tier=True).where("severity = 'severe'").count() == 1
+
+
+def test_windows_longer_than_a_time_block(spark):
+    df = spark.sql("SELECT 'a' AS station_id, date_add(DATE '1990-01-01', CAST(id AS INT)) AS date, 1.0D AS rainfall FROM range(2400)")
+    out = T.rolling_totals(df, (7, 800)).where("total_800d IS NOT NULL")
+    assert out.count() == 1601 and out.where("total_800d <> 800").count() == 0
