@@ -102,7 +102,7 @@ def parse(page: str) -> tuple[bool, list[tuple[str, list[int]]]]:
             flush()
         e = stack.pop()
         h = e.digest.intdigest()
-        if e.block and e.tag not in ("html", "body"):
+        if e.block and e.tag not in ("html", "body", *CONTENT_TAGS):
             for b in e.blocks:
                 blocks[b][1].append(h - (1 << 64) if h >> 63 else h)
         stack[-1].digest.update(h.to_bytes(8, "little"))
@@ -194,18 +194,19 @@ def parsed(page: Column) -> Column:
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """``host, everywhere, inside``: hashes of elements that recur across pages of the host with different texts.
+    """``host, marked, templates``: hashes of elements that recur across pages of the host with different texts.
 
-    Copies of a page count once, by the fingerprint of their text, so an article that a site repeats is no template.
-    ``everywhere`` lists those on 5 or more contents and 1 % of the host's, ``inside`` those on 10 or more and half of
-    them. A host's lists hold at most 100 times (2 times) the elements of an average page. Null hosts have no templates.
+    Copies of a page count once, by the fingerprint of their text, so an article that a site repeats is no template. In
+    pages that mark their content, a template is on 10 or more contents and half of the host's, in other pages on 5 or
+    more and 1 %, so a host's list holds at most 2 (100) times the elements of an average page. Null hosts have none.
     """
-    seen = pages.where(F.col("host").isNotNull()).select("host", "fingerprint", F.explode(F.flatten("blocks.hashes")).alias("hash")).distinct()
-    contents = pages.where(F.col("host").isNotNull()).select("host", "fingerprint").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("contents"))
-    counts = seen.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
-    often = counts.join(contents, "host").where(F.col("n") >= LEAST_SHARE * F.col("contents"))
+    known = pages.where(F.col("host").isNotNull())
+    seen = known.select("host", "marked", "fingerprint", F.explode(F.flatten("blocks.hashes")).alias("hash")).distinct()
+    counts = seen.groupBy("host", "marked", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
+    contents = known.select("host", "marked", "fingerprint").distinct().groupBy("host", "marked").agg(F.count(F.lit(1)).alias("contents"))
     inside = (F.col("n") >= LEAST_PAGES_INSIDE) & (F.col("n") >= LEAST_SHARE_INSIDE * F.col("contents"))
-    return often.groupBy("host").agg(F.collect_list("hash").alias("everywhere"), F.collect_list(F.when(inside, F.col("hash"))).alias("inside"))
+    often = F.when(F.col("marked"), inside).otherwise(F.col("n") >= LEAST_SHARE * F.col("contents"))
+    return counts.join(contents, ["host", "marked"]).where(often).groupBy("host", "marked").agg(F.collect_list("hash").alias("templates"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -218,12 +219,12 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     host = F.lower(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     whole = kept(
         pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.nullif(host, F.lit("")).alias("host"), parsed(F.col(html_col)).alias("_p"))
-        .select("page_id", "url", "host", "_p.*"), "pages")
-    templates = host_templates(whole)
-    none = F.array().cast("array<bigint>")
-    mine = F.coalesce(F.when(F.col("marked"), F.col("inside")).otherwise(F.col("everywhere")), none)
-    text = F.array_join(F.transform(F.filter("blocks", lambda b: ~F.arrays_overlap(b["hashes"], F.col("_drop"))), lambda b: b["text"]), "\n\n")
-    return (whole.join(templates, "host", "left").withColumn("_drop", mine).select("page_id", "url", text.alias("text"))
+        .select("page_id", "url", "host", "_p.*"), "pages", compression="zstd")
+    # stored, so that Spark knows its size: a small list travels to the pages, a large one meets them by host
+    templates = kept(host_templates(whole), "templates")
+    drop = F.coalesce("templates", F.array().cast("array<bigint>"))
+    text = F.array_join(F.transform(F.filter("blocks", lambda b: ~F.arrays_overlap(b["hashes"], drop)), lambda b: b["text"]), "\n\n")
+    return (whole.join(templates, ["host", "marked"], "left").select("page_id", "url", text.alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))
 
 
