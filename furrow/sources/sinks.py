@@ -1,7 +1,7 @@
 """Sinks: idempotent upserts, replace-by-date, event logs, run logs and exports.
 
-A rewrite never reads and overwrites the same files: the new content of the touched partitions is
-first written to a staging folder next to the table and moved in from there.
+A rewrite replaces whole partitions: Spark writes their new content beside the table and moves it in when the
+job commits, so a job that fails before leaves the table as it was.
 """
 
 from __future__ import annotations
@@ -37,28 +37,39 @@ def _overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
     (df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
 
 
-def _staged(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    stage = scratch_path(spark, "stage")
-    df.write.mode("overwrite").parquet(stage)
-    return spark.read.schema(df.schema).parquet(stage)
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def _partition_values(spark: SparkSession, path: str, by: str) -> list[str]:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hadoop)]
+    return [n.partition("=")[2] for n in names if n.startswith(f"{by}=")]
 
 
 def last_wins(df: DataFrame, keys=("station_id", "date"), order: str = "ingested_at") -> DataFrame:
-    w = W.partitionBy(*keys).orderBy(F.col(order).desc_nulls_last())
+    """One row per key: the latest; among equally late ones the same in every run, by a hash of the row."""
+    w = W.partitionBy(*keys).orderBy(F.col(order).desc_nulls_last(), F.xxhash64(*df.columns))
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def upsert(batch: DataFrame, path: str, keys=("station_id", "date"), order: str = "ingested_at") -> None:
-    """Insert or replace by key, latest ingest winning; only the years in the batch are rewritten."""
+    """Insert or replace by key, latest ingest winning; only the months in the batch are rewritten, once.
+
+    The batch is staged, as its months are needed first. Old and new rows of those months are written beside
+    the table and take the months' place when the job commits.
+    """
     spark = batch.sparkSession
-    batch = batch.withColumn("year", F.year("date"))
-    rows = batch
+    stage = scratch_path(spark, "stage")
+    batch = batch.withColumn("month", F.year("date") * 100 + F.month("date"))
+    batch.write.parquet(stage)
+    rows = staged = spark.read.schema(batch.schema).parquet(stage)
     if path_exists(spark, path):
-        current = spark.read.parquet(path)
-        touched = [r["year"] for r in batch.select("year").distinct().collect()]
-        rows = current.where(F.col("year").isin(touched)).unionByName(batch, allowMissingColumns=True)
-    _overwrite_partitions(_staged(last_wins(rows, keys, order)), path, "year")
+        touched = [r["month"] for r in staged.select("month").distinct().collect()]
+        rows = spark.read.parquet(path).where(F.col("month").isin(touched)).unionByName(staged, allowMissingColumns=True)
+    _overwrite_partitions(last_wins(rows, keys, order), path, "month")
+    _remove(spark, stage)
 
 
 def replace_dates(batch: DataFrame, path: str, date: str = "date") -> None:
@@ -66,9 +77,20 @@ def replace_dates(batch: DataFrame, path: str, date: str = "date") -> None:
     _overwrite_partitions(batch, path, date)
 
 
-def write_by_type(events: DataFrame, path: str) -> None:
-    """Event log by type and date; a rerun of a date replaces that date's events of each type."""
-    _overwrite_partitions(events, path, "event_type", "date")
+def write_by_type(events: DataFrame, path: str, dates=()) -> None:
+    """Event log by date, each date's events sorted by type; a rerun of a date replaces all of its events.
+
+    ``dates`` names the dates that were processed, so that those without events any more are emptied too.
+    """
+    spark = events.sparkSession
+    (events.hint("rebalance", "date").sortWithinPartitions("date", "event_type")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path))
+    if dates:
+        some = {r["date"] for r in spark.read.parquet(path).where(F.col("date").isin(list(dates))).join(
+            events.select("date").distinct(), "date", "left_semi").select("date").distinct().collect()}
+        for d in dates:
+            if d not in some:
+                _remove(spark, f"{path}/date={d}")
 
 
 def write_latest_and_archive(df: DataFrame, path: str, snapshot_date: str) -> None:
@@ -77,13 +99,22 @@ def write_latest_and_archive(df: DataFrame, path: str, snapshot_date: str) -> No
 
 
 def log_run(run: DataFrame, path: str) -> None:
-    run.write.mode("append").parquet(path)
+    """Append runs to the log, which is laid out by month of their start."""
+    run.withColumn("month", F.year("started_at") * 100 + F.month("started_at")).write.mode("append").partitionBy("month").parquet(path)
 
 
 def purge_runs(spark: SparkSession, path: str, before) -> None:
-    """Drop runs started before a time."""
-    keep = spark.read.parquet(path).where(F.col("started_at") >= F.lit(before).cast("timestamp"))
-    _staged(keep).write.mode("overwrite").parquet(path)
+    """Drop runs started before a time: older months go as a whole, only the month of that time is rewritten."""
+    cut = spark.range(1).select(F.lit(before).cast("timestamp").alias("t")).select((F.year("t") * 100 + F.month("t")).alias("m")).first()["m"]
+    month = spark.read.parquet(path).where(F.col("month") == cut)
+    keep = month.where(F.col("started_at") >= F.lit(before).cast("timestamp"))
+    if keep.head(1):
+        _overwrite_partitions(keep, path, "month")
+    elif month.head(1):
+        _remove(spark, f"{path}/month={cut}")
+    for value in _partition_values(spark, path, "month"):
+        if value.isdigit() and int(value) < cut:
+            _remove(spark, f"{path}/month={value}")
 
 
 def flagged(obs: DataFrame, start, end) -> DataFrame:
@@ -97,10 +128,16 @@ def export_flat(obs: DataFrame, start, end, path: str) -> None:
     flagged(obs, start, end).write.mode("overwrite").csv(path, header=True)
 
 
+def _first(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, the same in every run."""
+    w = W.partitionBy(key).orderBy(*[F.col(c) for c in df.columns if c != key])
+    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
 def export_table(events: DataFrame, stations: DataFrame) -> DataFrame:
     """Events with station metadata and risk score in the export's column order."""
     dim = stations.select("station_id", F.col("name").alias("station_name"), "latitude", "longitude", "state_name")
-    rows = events.drop("state_name").join(dim.dropDuplicates(["station_id"]), "station_id", "left")
+    rows = events.drop("state_name").join(_first(dim, "station_id"), "station_id", "left")
     rows = rows.withColumn("risk_score", S.risk_score("event_type", "severity", "confidence"))
     if "region_name" not in rows.columns:
         rows = rows.withColumn("region_name", F.col("sa2_name") if "sa2_name" in rows.columns else F.lit(""))

@@ -302,15 +302,15 @@ _HCOLS = ("sa2_code", "season_year", "feature_quality_flag", "rainfall_total_apr
 
 
 def _hybrid(spark, sf):
-    return seasons.build_season_features("hybrid", history=B.region_month_df(spark, sf), obs=B.obs_df(spark, sf).where(F.year("date") >= 1997),
+    return seasons.build_season_features("hybrid", history=B.region_month_df(spark, sf), obs=B.obs_df(spark, sf),
                                          station_map=_station_map(spark, sf), as_of=(2001, 11), min_coverage=MIN_COV)
 
 
-@query("c11_overlay_daily_on_monthly", _HYBRID.replace("LEFT JOIN rf ON", "LEFT JOIN (SELECT * FROM rf WHERE season_year >= 1997) rf ON"), ("region_month", "obs", "stations"),
+@query("c11_overlay_daily_on_monthly", _HYBRID, ("region_month", "obs", "stations"),
        ("autumn_break_7d_mm", "dry_spell_days_7d_lt_5mm", "dry_spell_days_14d_lt_10mm", "data_quality_score"), MONTHLY_FEATURES + REGION_FEATURES)
 def _(spark, sf):
     base = A.season_features_monthly(B.region_month_df(spark, sf), 2001, 11)
-    daily = A.aggregate_to_region(season_features(B.obs_df(spark, sf), MIN_COV), _station_map(spark, sf), MIN_COV).where("season_year >= 1997")
+    daily = A.aggregate_to_region(season_features(B.obs_df(spark, sf), MIN_COV), _station_map(spark, sf), MIN_COV)
     daily = daily.withColumn("sa2_5", S.code9_to_5("sa2_code"))
     return joins.overlay(base, daily, ["season_year", "sa2_5"], _OVER).select(*_HCOLS)
 
@@ -325,7 +325,7 @@ def _(spark, sf):
 @query("i9_build_season_features_hybrid", """
     SELECT mf.sa2_code, mf.season_year, mf.monthly_features_source, CASE WHEN rf.sa2_code IS NOT NULL THEN 'station_daily' ELSE mf.daily_features_status END AS daily_features_status,
            coalesce(rf.autumn_break_status, mf.autumn_break_status) AS autumn_break_status, 'silo_patched_point' AS source_dataset, '1' AS pipeline_version
-    FROM mf LEFT JOIN (SELECT * FROM rf WHERE season_year >= 1997) rf ON mf.season_year = rf.season_year AND mf.sa2_5 = left(rf.sa2_code, 1) || right(rf.sa2_code, 4)""",
+    FROM mf LEFT JOIN rf ON mf.season_year = rf.season_year AND mf.sa2_5 = left(rf.sa2_code, 1) || right(rf.sa2_code, 4)""",
        ("region_month", "obs", "stations"), (), MONTHLY_FEATURES + REGION_FEATURES)
 def _(spark, sf):
     return _hybrid(spark, sf).select("sa2_code", "season_year", "monthly_features_source", "daily_features_status", "autumn_break_status", "source_dataset", "pipeline_version")
@@ -341,11 +341,11 @@ def _(spark, sf):
 # --- crop join and summary ---------------------------------------------------------------
 
 def _features(spark, sf, months=None):
-    """Season features, one state's earlier seasons left out so some crops stay unmatched."""
-    return A.season_features_monthly(B.region_month_df(spark, sf) if months is None else months, 2001, 11).where("state_name <> 'EUROPE' OR season_year >= 2000")
+    """Season features of every state and season."""
+    return A.season_features_monthly(B.region_month_df(spark, sf) if months is None else months, 2001, 11)
 
 
-JOINED = (("feats", "SELECT * FROM mf WHERE state_name <> 'EUROPE' OR season_year >= 2000"),
+JOINED = (("feats", "SELECT * FROM mf"),
           ("joined", f"""SELECT c.sa2_code AS abs_sa2_code, c.station_sa2_5dig16, c.sa2_name, c.state, c.crop, c.area_ha_for_weighting, c.area_is_fallback, f.season_year,
              coalesce(f.feature_quality_flag, 'no_data') AS rainfall_feature_quality_flag, {', '.join('f.' + n for n in P.SEASON_WINDOWS)}
              FROM (SELECT * FROM crop_context WHERE n_nationkey <> 13) c LEFT JOIN feats f ON c.station_sa2_5dig16 = f.sa2_5
@@ -409,10 +409,10 @@ def _(spark, sf):
     return _summary(spark, sf).select(*_SUMM_COLS)
 
 
-@query("i11_weighted_rainfall_summary", f"SELECT state, season_year, coverage_share, rainfall_total_apr_oct_mm_wt, 'building' AS crop FROM ({SUMMARY_SQL}) WHERE season_year = 2000",
+@query("i11_weighted_rainfall_summary", f"SELECT state, season_year, coverage_share, rainfall_total_apr_oct_mm_wt, 'building' AS crop FROM ({SUMMARY_SQL})",
        ("region_month", "crop_context"), ("coverage_share", "rainfall_total_apr_oct_mm_wt"), MONTHLY_FEATURES + JOINED + _SUMM)
 def _(spark, sf):
-    return _summary(spark, sf).where("season_year = 2000").select("state", "season_year", "coverage_share", "rainfall_total_apr_oct_mm_wt", "crop")
+    return _summary(spark, sf).select("state", "season_year", "coverage_share", "rainfall_total_apr_oct_mm_wt", "crop")
 
 
 @query("d23_weighted_monthly_total", "SELECT state_name, year, month, tot AS rainfall_mm_wt, share AS weighting_area_share, n_missing FROM j", ("region_month", "weights"),

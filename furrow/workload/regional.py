@@ -605,14 +605,16 @@ def _(spark, sf):
     return A.region_areas(B.crop_context_df(spark, sf), min_area=1000.0)
 
 
-COVERAGE = (("tg", "SELECT station_sa2_5dig16 AS sa2_5, coalesce(sum(area_ha), 0) AS total_area_ha, min(sa2_name) AS sa2_name, min(state) AS state FROM crop_context GROUP BY 1"), ("cov", """
+# stations of two nations carry the code of a region without crops
+COVERAGE = (("elsewhere", "SELECT * REPLACE (CASE WHEN sa2_name IN ('NATION_3', 'NATION_8') THEN '99998' ELSE sa2_5 END AS sa2_5) FROM stations"), ("tg", "SELECT station_sa2_5dig16 AS sa2_5, coalesce(sum(area_ha), 0) AS total_area_ha, min(sa2_name) AS sa2_name, min(state) AS state FROM crop_context GROUP BY 1"), ("cov", """
     SELECT tg.sa2_5 AS sa2_code, sa2_name, state, total_area_ha AS broadacre_area_ha, coalesce(n, 0) AS n_stations, coalesce(ids, '') AS station_ids,
            CASE WHEN n > 0 THEN 'internal_bom' WHEN tg.sa2_5 = '41003' THEN 'data_drill_gapfill' ELSE 'unresolved_gap' END AS gap_status
-    FROM tg LEFT JOIN (SELECT sa2_5, count(*) AS n, string_agg(station_id, ';' ORDER BY station_id) AS ids FROM stations WHERE sa2_name NOT IN ('NATION_3', 'NATION_8') GROUP BY 1) USING (sa2_5)"""))
+    FROM tg LEFT JOIN (SELECT sa2_5, count(*) AS n, string_agg(station_id, ';' ORDER BY station_id) AS ids FROM elsewhere GROUP BY 1) USING (sa2_5)"""))
 
 
 def _coverage(spark, sf):
-    st = B.stations_df(spark, sf).where("sa2_name NOT IN ('NATION_3', 'NATION_8')")
+    code = F.when(F.col("sa2_name").isin("NATION_3", "NATION_8"), "99998").otherwise(F.col("sa2_5"))
+    st = B.stations_df(spark, sf).withColumn("sa2_5", code)
     gap = B.regions_df(spark, sf).where("sa2_5 = '41003'").select("sa2_5")
     return A.coverage_report(A.region_areas(B.crop_context_df(spark, sf)), st, gap)
 
@@ -625,7 +627,7 @@ def _(spark, sf):
 @query("d38_freshness", """
     SELECT sa2_code, sa2_name, state, n_stations, max_obs_date, CASE WHEN max_obs_date IS NOT NULL THEN CAST(greatest(DATE '2001-11-04' - max_obs_date, 0) AS INT) END AS days_behind_cutoff,
            CASE WHEN max_obs_date IS NULL THEN 'no_data' WHEN max_obs_date >= DATE '2001-11-04' THEN 'current' ELSE 'stale' END AS status
-    FROM cov LEFT JOIN (SELECT sa2_5, max(date) AS max_obs_date FROM obs JOIN stations USING (station_id) WHERE sa2_name NOT IN ('NATION_3', 'NATION_8') GROUP BY 1) ON sa2_code = sa2_5""",
+    FROM cov LEFT JOIN (SELECT sa2_5, max(date) AS max_obs_date FROM obs JOIN elsewhere USING (station_id) GROUP BY 1) ON sa2_code = sa2_5""",
        ("crop_context", "stations", "obs"), (), COVERAGE)
 def _(spark, sf):
     return A.freshness(_coverage(spark, sf), B.obs_df(spark, sf), "2001-11-04")
@@ -633,7 +635,7 @@ def _(spark, sf):
 
 @query("d38_freshness_verdict", """
     SELECT count(*) AS n_regions, count(*) FILTER (m >= DATE '2001-11-04') AS n_current, CASE WHEN count(*) > 0 AND count(*) = count(*) FILTER (m >= DATE '2001-11-04') THEN 'PASS' ELSE 'FAIL' END AS verdict
-    FROM cov LEFT JOIN (SELECT sa2_5, max(date) AS m FROM obs JOIN stations USING (station_id) WHERE sa2_name NOT IN ('NATION_3', 'NATION_8') GROUP BY 1) ON sa2_code = sa2_5""",
+    FROM cov LEFT JOIN (SELECT sa2_5, max(date) AS m FROM obs JOIN elsewhere USING (station_id) GROUP BY 1) ON sa2_code = sa2_5""",
        ("crop_context", "stations", "obs"), (), COVERAGE)
 def _(spark, sf):
     return A.freshness_verdict(A.freshness(_coverage(spark, sf), B.obs_df(spark, sf), "2001-11-04"))
@@ -704,11 +706,10 @@ def _(spark, sf):
 
 @query("i22_crop_context_for_events", """
     SELECT station_sa2_5dig16, crop, area_share, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY station_sa2_5dig16 ORDER BY area_share DESC NULLS LAST, crop) AS rank FROM ctx)
-    WHERE rank <= 5 AND station_sa2_5dig16 IN (SELECT sa2_5 FROM ev JOIN names USING (station_id) WHERE event_type = 'rainfall' AND value >= 35)""", ("dense_obs", "regions", "crop_context"), ("area_share",),
+    WHERE rank <= 5 AND station_sa2_5dig16 IN (SELECT sa2_5 FROM ev JOIN names USING (station_id))""", ("dense_obs", "regions", "crop_context"), ("area_share",),
        EVENTS + (NAMES, CONTEXT))
 def _(spark, sf):
-    ev = events(spark, sf).where("event_type = 'rainfall' AND value >= 35")
-    return D.crop_context_for_events(ev, _station_names(spark, sf), D.with_area_share(B.crop_context_df(spark, sf))).select("station_sa2_5dig16", "crop", "area_share", "rank")
+    return D.crop_context_for_events(events(spark, sf), _station_names(spark, sf), D.with_area_share(B.crop_context_df(spark, sf))).select("station_sa2_5dig16", "crop", "area_share", "rank")
 
 
 @query("d37_station_stats", """

@@ -165,13 +165,14 @@ def _(spark, sf):
     SELECT t.sa2_5 AS sa2_code, total_area_ha AS broadacre_area_ha, coalesce(n, 0) AS n_stations, CASE WHEN n > 0 THEN 'internal_bom' WHEN g.lat IS NOT NULL THEN 'data_drill_gapfill' ELSE 'unresolved_gap' END AS gap_status,
            CASE WHEN n IS NULL THEN round(g.lat, 4) END AS gap_lat, CASE WHEN n IS NULL THEN round(g.lon, 4) END AS gap_lon
     FROM (SELECT station_sa2_5dig16 AS sa2_5, coalesce(sum(area_ha), 0) AS total_area_ha FROM crop_context GROUP BY 1 HAVING coalesce(sum(area_ha), 0) >= 500) t
-    LEFT JOIN (SELECT sa2_5, count(*) AS n FROM stations WHERE state_name <> 'EUROPE' GROUP BY 1) USING (sa2_5)
+    LEFT JOIN (SELECT CASE WHEN state_name = 'EUROPE' THEN '99998' ELSE sa2_5 END AS sa2_5, count(*) AS n FROM stations GROUP BY 1) USING (sa2_5)
     LEFT JOIN (SELECT left(region, 1) || right(region, 4) AS sa2_5, lat, lon FROM (SELECT i.region, c.lat, c.lon, row_number() OVER (PARTITION BY i.region
         ORDER BY sqrt(pow(c.lat - q.lat, 2) + pow(c.lon - q.lon, 2)), c.lat, c.lon) AS rn FROM ins i JOIN cells c USING (cell_id) JOIN (SELECT region, avg(y1) AS lat, avg(x1) AS lon FROM edges WHERE ring = 0 GROUP BY 1) q USING (region)) WHERE rn = 1) g USING (sa2_5)""",
        ("cropfrac", "edges", "crop_context", "stations"), (), WEIGHTS[:2])
 def _(spark, sf):
     edges = B.edges_df(spark, sf).withColumn("region", code9_to_5("region"))
-    st = B.stations_df(spark, sf).where("state_name <> 'EUROPE'")
+    code = F.when(F.col("state_name") == "EUROPE", "99998").otherwise(F.col("sa2_5"))  # a region without crops
+    st = B.stations_df(spark, sf).withColumn("sa2_5", code)
     plan = RG.coverage_plan(B.crop_context_df(spark, sf), st, edges, B.cropfrac_df(spark, sf), 500.0, *GRID)
     return plan.select("sa2_code", "broadacre_area_ha", "n_stations", "gap_status", "gap_lat", "gap_lon")
 
