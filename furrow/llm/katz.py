@@ -12,7 +12,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import fold, kept, query, table, window_hashes, word_hashes
+from furrow.llm.common import fold, kept, partitions, query, table, window_hashes, word_hashes
+from furrow.session import scratch_path
 
 BLOCK_CHARACTERS = 24_000_000
 KEYS_A_SHARD = 1_500_000
@@ -115,6 +116,15 @@ class Block:
         return code // (start + 1), code % (start + 1), np.bincount(place[self.train], minlength=len(code)), place
 
 
+def _bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
+    """Store a frame in the shared folder as a table bucketed by a column, so that grouping by it moves nothing."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    own = f"{name}_{path.rsplit('-', 1)[-1]}"
+    df.write.format("parquet").bucketBy(partitions(spark), by).option("path", path).saveAsTable(own)
+    return spark.table(own)
+
+
 def _blocks(docs: DataFrame, id_col: str, text_col: str, train: Column) -> DataFrame:
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
@@ -140,7 +150,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, train: Column) -> DataF
             yield block(number, *held)
 
     schema = f"block bigint, ids array<{id_type}>, train binary, lengths binary, vocabulary binary, tokens binary, n_words bigint, n_tokens bigint"
-    return kept(rows.mapInPandas(gather, schema), "katz-blocks")
+    return _bucketed(rows.mapInPandas(gather, schema), "katz_blocks", "block")
 
 
 def _slices(keys: np.ndarray, shards: int) -> Iterator[tuple[int, slice]]:
@@ -152,16 +162,16 @@ def _slices(keys: np.ndarray, shards: int) -> Iterator[tuple[int, slice]]:
 
 
 REQUEST = "shard int, block bigint, keys binary, counts binary"
-ANSWER = "kind string, shard int, block bigint, keys binary, counts binary"
+ANSWER = "kind string, shard int, block bigint, counts binary"
 
 
 def _summed(requests: DataFrame, name: str) -> DataFrame:
-    """Sums each key's counts over all blocks, shard by shard.
+    """Sums each key's counts over all blocks, shard by shard, and stores the table of totals by shard and block.
 
-    ``kind`` is ``table`` (a shard of the n-gram table: sorted keys and counts), ``answer`` (for one block, the totals of
-    its keys in its order; bits mark a key that this block is the first to have counted, and one that others have too) or
-    ``counts`` (how many keys have each of the counts 1 to 6, how many keys there are, and their sum). Keys that one block alone has come with
-    a negative shard and go to the table as they are.
+    ``kind`` is ``answer`` (for one block, the totals of its keys in its order; bits mark a key that this block is the
+    first to have counted, so the marked ones make up the whole table, and one that others have too) or ``counts`` (how
+    many keys have each of the counts 1 to 6, how many keys there are, and their sum). Keys that one block alone has come
+    with a negative shard; their totals are the block's own.
     """
 
     def tallied(totals: np.ndarray) -> bytes:
@@ -172,9 +182,8 @@ def _summed(requests: DataFrame, name: str) -> DataFrame:
         pdf, shard, at, out = pdf.sort_values("block"), int(pdf["shard"].iloc[0]), 0, []
         if shard < 0:  # pairs of one block alone, already complete
             for r in pdf.itertuples():
-                out.append(("table", shard, r.block, r.keys, r.counts))
-                out.append(("counts", shard, None, None, tallied(unsqueezed(r.counts, "u4").astype(np.int64))))
-            return pd.DataFrame(out, columns=["kind", "shard", "block", "keys", "counts"])
+                out.append(("counts", shard, None, tallied(unsqueezed(r.counts, "u4").astype(np.int64))))
+            return pd.DataFrame(out, columns=["kind", "shard", "block", "counts"])
         keys = [unsqueezed_keys(k) for k in pdf["keys"]]
         counts = [unsqueezed(c, "u4") for c in pdf["counts"]]
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
@@ -186,12 +195,11 @@ def _summed(requests: DataFrame, name: str) -> DataFrame:
         answer[counted[first]] |= _OWNED
         answer[np.bincount(place)[place] > 1] |= _SHARED
         for block, k in zip(pdf["block"], keys, strict=True):
-            out.append(("answer", shard, block, None, squeezed(answer[at : at + len(k)])))
+            out.append(("answer", shard, block, squeezed(answer[at : at + len(k)])))
             at += len(k)
         seen = totals > 0
-        out.append(("table", shard, None, squeezed_keys(distinct[seen]), squeezed(totals[seen].astype(np.uint32))))
-        out.append(("counts", shard, None, None, tallied(totals[seen])))
-        return pd.DataFrame(out, columns=["kind", "shard", "block", "keys", "counts"])
+        out.append(("counts", shard, None, tallied(totals[seen])))
+        return pd.DataFrame(out, columns=["kind", "shard", "block", "counts"])
 
     return kept(requests.groupBy("shard").applyInPandas(add, ANSWER), name)
 
@@ -302,9 +310,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
             keys, n = keys[order], n[order].astype(np.uint32)
             out += [(s, row.block, squeezed_keys(keys[k]), squeezed(n[k])) for s, k in _slices(keys, pair_shards)]
             alone = ~sent & (own_counts > 0)
-            keys, n = _keys(b, h[alone], w[alone]), own_counts[alone]
-            order = np.argsort(keys, kind="stable")
-            out.append((-1 - row.block % pair_shards, row.block, squeezed_keys(keys[order]), squeezed(n[order].astype(np.uint32))))
+            out.append((-1 - row.block % pair_shards, row.block, None, squeezed(own_counts[alone].astype(np.uint32))))
         return pd.DataFrame(out, columns=["shard", "block", "keys", "counts"])
 
     pairs = _summed(with_answers(word_answers).applyInPandas(pair_requests, REQUEST), "katz-pairs")
