@@ -92,7 +92,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

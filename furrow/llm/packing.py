@@ -12,12 +12,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import CHUNK, kept, query, span_hashes, table
+from furrow.llm.common import kept, query, span_hashes, table
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 2048
 END_ID = 0
 PIECES_A_GROUP = 4096
+BATCH_CHARACTERS = 1 << 22
 
 # texts of these characters only, without runs of white space, fall into pieces that are encoded alone
 _ODD = re.compile("[^\n -~À-ÖØ-öø-ɏ]")
@@ -73,7 +74,7 @@ class Encoder:
         at = 0
         while at < len(texts):
             start, size = at, 0
-            while at < len(texts) and (at == start or size < CHUNK):
+            while at < len(texts) and (at == start or size < BATCH_CHARACTERS):
                 size += len(texts[at] or "")
                 at += 1
             yield from self._chunk(texts[start:at])
