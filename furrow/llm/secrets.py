@@ -24,6 +24,7 @@ KINDS = ("assign", "access", "hex", "random")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 
 TRAINING_DOCUMENTS = 20_000
+DIGESTS = 8  # random strings for each of them
 LEAST_CANDIDATE = 16
 MARGIN = 12.0
 MASK = "[SECRET]"
@@ -31,6 +32,7 @@ MASK = "[SECRET]"
 _SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST_CANDIDATE},}}")
 _WORD = re.compile(r"[A-Za-z0-9+/_=-]{4,}")
+_DIGIT = re.compile("[0-9]")
 _CODE = np.full(128, 0, dtype=np.int64)
 for _i, _c in enumerate(_SYMBOLS):
     _CODE[ord(_c)] = _i + 1
@@ -50,6 +52,11 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return spans
 
 
+def _may_be_random(string: str) -> bool:
+    """Long strings with a digit are candidates; they are no samples of ordinary ones either."""
+    return len(string) >= LEAST_CANDIDATE and _DIGIT.search(string) is not None
+
+
 def _transitions(strings: list[str]) -> np.ndarray:
     counts = np.zeros(_SIZE * _SIZE, dtype=np.int64)
     if strings:
@@ -62,7 +69,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows:
     """Log-likelihood ratios (random over ordinary) of each pair of neighbouring characters.
 
     Learnt from about ``rows`` documents picked by a hash of the id. Random: values that the fixed patterns find in them,
-    and base64 digests of their ids. Ordinary: their other words of four characters and more. Both with add-one smoothing.
+    and base64 digests of their ids. Ordinary: their other words of four characters and more, but for those that are
+    candidates themselves. Both with add-one smoothing.
     An empty table leaves the digest-free uniform models, whose ratios are 0.
     """
     every = max(1, math.ceil(docs.count() / rows))
@@ -74,12 +82,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows:
         for pdf in batches:
             found, words = [], []
             for doc_id, text in zip(pdf["id"], pdf["text"], strict=True):
-                found.append(base64.b64encode(hashlib.sha256(doc_id.encode()).digest()).decode().rstrip("="))
+                found += [base64.b64encode(hashlib.sha256(f"{doc_id}/{k}".encode()).digest()).decode().rstrip("=") for k in range(DIGESTS)]
                 spans = base_spans(text)
                 found += [text[v:end].replace(".", "") for _, _, end, v in spans]
                 for _, _, end, v in reversed(spans):
                     text = text[:v] + " " * (end - v) + text[end:]
-                words += _WORD.findall(text)
+                words += [w for w in _WORD.findall(text) if not _may_be_random(w)]
             random += _transitions(found)
             ordinary += _transitions(words)
         pair = np.flatnonzero(random + ordinary)
@@ -106,7 +114,7 @@ def all_spans(text: str, ratios: np.ndarray, margin: float = MARGIN) -> list[tup
     more = []
     for m in _CANDIDATE.finditer(text):
         s, e = m.span()
-        if not any(a < e and s < b for a, b in taken) and likelihood_ratio(ratios, m.group()) > margin:
+        if _may_be_random(m.group()) and not any(a < e and s < b for a, b in taken) and likelihood_ratio(ratios, m.group()) > margin:
             more.append((s, 3, e, s))
     return sorted(spans + more)
 
