@@ -18,8 +18,10 @@ COARSE = 32  # groups of an R-tree's points
 FINEST = 8192
 LEAF, FANOUT = 32, 8
 TILE = 1024
+SMALL = 64  # nodes of a block
 ROWS_A_UNIT = 20_000
-SAMPLE_DOCUMENTS, SAMPLE_HITS, MOST_COMMON = 4096, 5, 1 << 19
+BROADCAST_ROWS = 500_000  # of an id and a hash each
+SAMPLE_DOCUMENTS, SAMPLE_HITS, MOST_COMMON = 16_384, 5, 1 << 19
 
 
 def shingle_sets(texts: list[str], n: int = WORDS) -> list[np.ndarray]:
@@ -37,6 +39,18 @@ def shingle_sets(texts: list[str], n: int = WORDS) -> list[np.ndarray]:
     return out
 
 
+def _sets_of(texts, characters: int = 1_000_000) -> Iterator[np.ndarray]:
+    """Sets of many texts (null as empty), a bounded number of characters at a time beside single long texts."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t or "")
+        size += len(held[-1])
+        if size > characters:
+            yield from shingle_sets(held)
+            held, size = [], 0
+    yield from shingle_sets(held)
+
+
 def digest(shingles: np.ndarray) -> int:
     """Signed 64-bit name of a shingle set, the same for equal sets."""
     mixed = mix64(shingles)
@@ -52,7 +66,7 @@ def groups_for(n: int) -> int:
 def count_vector(shingles: np.ndarray) -> np.ndarray:
     """How many shingles fall in each group; groups are ranges of the hash, so neighbours add up to a coarser vector."""
     g = groups_for(len(shingles))
-    return np.bincount((shingles >> np.uint64(64 - g.bit_length() + 1)).astype(np.int64), minlength=g).astype(np.uint32)
+    return np.bincount((shingles >> np.uint64(64 - g.bit_length() + 1)).astype(np.int64), minlength=g)
 
 
 def folded(vector: np.ndarray, groups: int) -> np.ndarray:
@@ -125,7 +139,7 @@ def _common_shingles(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sets = shingle_sets(pdf["text"].tolist())
+            sets = list(_sets_of(pdf["text"]))
             values, n = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_counts=True)
             yield pd.DataFrame({"shingle": values.astype(np.int64), "n": n})
 
@@ -143,30 +157,38 @@ def profile(text: Column, common: np.ndarray, spark: SparkSession, percent: int
         known = sent.value
         for texts in batches:
             out = []
-            for s in shingle_sets([t or "" for t in texts]):
+            for s in _sets_of(texts):
                 if not len(s):
-                    out.append((0, None, None, None))
+                    out.append((0, 0, b"", []))  # no nulls, which would turn the column's 64-bit names into floats
                     continue
                 p, order = prefix_size(len(s), percent), s
                 if len(known):
                     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     frequent = known[at] == s
                     order = np.concatenate((s[~frequent], s[frequent]))
-                out.append((len(s), digest(s), count_vector(s).astype("<u4").tobytes(), order[:p].astype(np.int64)))
+                out.append((len(s), digest(s), _blob(count_vector(s)), order[:p].astype(np.int64)))
             yield pd.DataFrame(out, columns=["n", "node", "groups", "prefix"])
 
     return of(text)
 
 
+def _blob(vector: np.ndarray) -> bytes:
+    """A count vector in as few bytes a count as its largest needs; the first byte says how many."""
+    size = next(w for w in (1, 2, 4, 8) if int(vector.max(initial=0)) < 1 << (8 * w))
+    return bytes([size]) + vector.astype(f"<u{size}").tobytes()
+
+
 def _vector(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, dtype="<u4").astype(np.int64)
+    return np.frombuffer(blob, dtype=f"<u{blob[0]}", offset=1).astype(np.int64)
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes that their count vectors allow."""
-    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("groups").alias("ga"))
-    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("groups").alias("gb"))
-    near = pairs.join(a, "a").join(b, "b").where((100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na")))
+    sizes = [nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in "ab"]
+    vectors = [nodes.select(F.col("node").alias(x), F.col("groups").alias(f"g{x}")) for x in "ab"]
+    sized = pairs.join(sizes[0], "a").join(sizes[1], "b").where(
+        (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))).select("a", "b")
+    near = kept(sized, "sized").join(vectors[0], "a").join(vectors[1], "b")
 
     def allowed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -176,19 +198,23 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return near.mapInPandas(allowed, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """Pairs (a, b) whose shingle sets are similar enough, by exact comparison; sets are made of the documents concerned only."""
-    concerned = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _shingles(concerned: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``node, shingles`` of the nodes concerned, made anew of one document each."""
     ids = kept(nodes.join(concerned, "node").select(F.col("rep").alias("_id"), "node"), "concerned")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = shingle_sets([t or "" for t in pdf["text"]])
-            keep = [len(s) > 0 and digest(s) == node for s, node in zip(found, pdf["node"], strict=True)]
-            yield pd.DataFrame({"node": pdf["node"][keep], "shingles": [s.astype("<u8").tobytes() for s, k in zip(found, keep, strict=True) if k]})
+            own = [(node, s.astype("<u8").tobytes()) for s, node in zip(_sets_of(pdf["text"]), pdf["node"], strict=True) if len(s) and digest(s) == node]
+            yield pd.DataFrame(own, columns=["node", "shingles"])
+
+    few = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(few, F.col("id").eqNullSafe(F.col("_id")))
+    return kept(texts.select("node", "text").mapInPandas(sets, "node bigint, shingles binary").dropDuplicates(["node"]), "shingles")
+
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, F.col("id").eqNullSafe(F.col("_id")))
-    known = kept(texts.select("node", "text").mapInPandas(sets, "node bigint, shingles binary").dropDuplicates(["node"]), "shingles")
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """Pairs (a, b) whose shingle sets are similar enough, by exact comparison; sets are made of the documents concerned only."""
+    known = _shingles(pairs.select("a").union(pairs.select("b")).distinct().toDF("node"), nodes, docs, id_col, text_col)
     both = pairs.join(known.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
         known.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
 
@@ -227,43 +253,118 @@ def components(links: DataFrame) -> DataFrame:
     return names if names is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
-def _within_blocks(rows: DataFrame, nodes: DataFrame, names: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components within blocks (rows of one shingle), by an R-tree for each tile of a block.
+def _open_blocks(rows: DataFrame, nodes: DataFrame, names: DataFrame) -> DataFrame:
+    """``sig, node, label, n, size`` of blocks with several components; ``size`` counts a block's nodes.
 
-    A block of two nodes has been compared already, and so has every node with its block's first. Blocks with the same
-    members are taken once. Large blocks are cut into tiles by size; tiles whose sizes allow a link meet in pairs.
+    A block of two nodes has been compared already. Blocks with the same members are taken once.
     """
     labelled = kept(rows.join(names, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("label")), "labelled")
-    open_ = (labelled.groupBy("sig").agg(F.min("label").alias("_l"), F.max("label").alias("_m"), F.count(F.lit(1)).alias("_n"),
+    open_ = (labelled.groupBy("sig").agg(F.min("label").alias("_l"), F.max("label").alias("_m"), F.count(F.lit(1)).alias("size"),
                                          F.bit_xor(F.xxhash64("node")).alias("_x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("_y"))
-             .where("_l <> _m and _n > 2").groupBy("_n", "_x", "_y").agg(F.min("sig").alias("sig")).select("sig"))
-    members = labelled.join(open_, "sig").join(nodes.select("node", "n", "groups"), "node")
+             .where("_l <> _m and size > 2").groupBy("size", "_x", "_y").agg(F.min("sig").alias("sig")).select("sig", "size"))
+    return kept(labelled.join(open_, "sig").join(nodes.select("node", "n"), "node"), "open-blocks")
+
+
+def _wanted(label: np.ndarray, points: np.ndarray, mine: np.ndarray, other: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs across components, one of ``mine`` and one of ``other``, that a tree over the count vectors leaves.
+
+    No pair within the commonest component is wanted, so its nodes are asked for only by the others.
+    """
+    names, counts = np.unique(label, return_counts=True)
+    main = label == names[counts.argmax()]
+    out = [np.empty((2, 0), dtype=np.int64)]
+    for asking, asked in ((mine & ~main, other), (other & ~main, mine)):
+        x, y = np.flatnonzero(asking), np.flatnonzero(asked)
+        if len(x) and len(y):
+            q, p = CountTree(points[y]).candidates(points[x], percent)
+            out.append(np.stack((x[q], y[p])))
+    q, p = np.concatenate(out, axis=1)
+    new = label[q] != label[p]
+    return q[new], p[new]
+
+
+def _small_blocks(blocks: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) across components in blocks of at most ``SMALL`` nodes, as the trees and count vectors allow."""
+    work = blocks.join(nodes.select("node", "groups"), "node")
+    units = max(1, blocks.count() // ROWS_A_UNIT)
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        vectors = {n: _vector(g) for n, g in zip(pdf["node"], pdf["groups"], strict=True)}
+        found = [np.empty((0, 2), dtype=np.int64)]
+        for _, own in pdf.groupby("sig", sort=False):
+            node, label = own["node"].to_numpy(), own["label"].to_numpy()
+            everywhere = np.ones(len(node), dtype=bool)
+            q, p = _wanted(label, np.stack([folded(vectors[n], COARSE) for n in node.tolist()]), everywhere, everywhere, percent)
+            found.append(np.stack((np.minimum(node[q], node[p]), np.maximum(node[q], node[p])), axis=1))
+        some = np.unique(np.concatenate(found), axis=0)
+        keep = [may_link(vectors[x], vectors[y], percent) for x, y in some.tolist()]
+        return pd.DataFrame(some[np.array(keep, dtype=bool)], columns=["a", "b"])
+
+    unit = F.pmod(F.xxhash64("sig"), F.lit(units)).alias("unit")
+    return work.select(unit, "sig", "node", "label", "groups").groupBy("unit").applyInPandas(pairs, "a bigint, b bigint").distinct()
+
+
+def shared_shingles(a: list[np.ndarray], b: list[np.ndarray], step: int = 4096) -> np.ndarray:
+    """How many shingles each of ``a`` shares with each of ``b``, by products of occurrence tables of ``step`` shingles."""
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    values = [np.concatenate(s) if s else np.empty(0, np.uint64) for s in (a, b)]
+    both = np.intersect1d(*values)
+    rows = [np.repeat(np.arange(len(s)), [len(x) for x in s]) for s in (a, b)]
+    place = [np.searchsorted(both, v) for v in values]
+    hit = [np.flatnonzero((p < len(both)) & (both[np.minimum(p, len(both) - 1)] == v)) if len(both) else np.empty(0, np.int64) for p, v in zip(place, values, strict=True)]
+    for start in range(0, len(both), step):
+        tables = []
+        for s, r, p, h in zip((a, b), rows, place, hit, strict=True):
+            here = h[(p[h] >= start) & (p[h] < start + step)]
+            t = np.zeros((len(s), min(step, len(both) - start)), dtype=np.float32)
+            t[r[here], p[here] - start] = 1
+            tables.append(t)
+        out += tables[0] @ tables[1].T
+    return out.astype(np.int64)
+
+
+def _large_blocks(blocks: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components in blocks of more than ``SMALL`` nodes.
+
+    A block is cut into tiles by set size; tiles whose sizes allow a link meet in pairs, whole sets travel with them, and
+    of the links found a unit returns only those that join components it has not joined already, never all pairs.
+    """
     place = F.row_number().over(W.partitionBy("sig").orderBy("n", "node")) - 1
-    tiled = kept(members.withColumn("tile", F.floor(place / TILE).cast("int")), "tiles")
+    tiled = kept(blocks.withColumn("tile", F.floor(place / TILE).cast("int")), "tiles")
     spans = tiled.groupBy("sig", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     left = spans.select("sig", F.col("tile").alias("i"), F.col("high").alias("_high"))
     right = spans.select("sig", F.col("tile").alias("j"), F.col("low").alias("_low"))
     meets = left.join(right, "sig").where((F.col("i") <= F.col("j")) & (100 * F.col("_high") >= percent * F.col("_low"))).select("sig", "i", "j")
     places = meets.select("sig", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"))
-    units = max(1, tiled.count() // ROWS_A_UNIT)
-    unit = F.pmod(F.xxhash64("sig", "i", "j"), F.lit(units))
-    work = tiled.join(places, ["sig", "tile"]).withColumn("unit", unit)
-
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for (_, i, j), own in pdf.groupby(["sig", "i", "j"], sort=False):
-            vectors = [_vector(g) for g in own["groups"]]
-            points = np.stack([folded(v, COARSE) for v in vectors])
-            node, label, tile = own["node"].to_numpy(), own["label"].to_numpy(), own["tile"].to_numpy()
-            mine, other = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
-            q, p = CountTree(points[other]).candidates(points[mine], percent)
-            q, p = mine[q], other[p]
-            new = (label[q] != label[p]) & ((node[q] < node[p]) | (i != j))
-            found += [(min(node[x], node[y]), max(node[x], node[y])) for x, y in zip(q[new].tolist(), p[new].tolist(), strict=True)
-                      if may_link(vectors[x], vectors[y], percent)]
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    return work.select("unit", "sig", "i", "j", "tile", "node", "label", "groups").groupBy("unit").applyInPandas(pairs, "a bigint, b bigint").distinct()
+    work = tiled.join(places, ["sig", "tile"]).join(shingles, "node")
+
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
+        node, label, tile = pdf["node"].to_numpy(), pdf["label"].to_numpy(), pdf["tile"].to_numpy()
+        sets = [np.frombuffer(x, dtype="<u8") for x in pdf["shingles"]]
+        size = np.array([len(x) for x in sets])
+        points = np.stack([folded(count_vector(x), COARSE) for x in sets])
+        q, p = _wanted(label, points, tile == i, tile == j, percent)
+        rows, columns = np.unique(q), np.unique(p)
+        shared = shared_shingles([sets[x] for x in rows.tolist()], [sets[x] for x in columns.tolist()])
+        both = shared[np.searchsorted(rows, q), np.searchsorted(columns, p)]
+        similar = 100 * both >= percent * (size[q] + size[p] - both)
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x] = parent.get(parent[x], parent[x])
+            return x
+
+        out = []
+        for x, y in zip(q[similar].tolist(), p[similar].tolist(), strict=True):
+            a, b = top(label[x]), top(label[y])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((min(node[x], node[y]), max(node[x], node[y])))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return work.select("sig", "i", "j", "tile", "node", "label", "shingles").groupBy("sig", "i", "j").applyInPandas(links, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -274,10 +375,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     node, named by a 64-bit digest, so copies are never paired. Null ids count as larger than all others.
 
     1. Of each set's shingles, in one order for all, only the first quarter can be the only ones shared, so two linked
-       sets meet in the block of some such shingle. Each node is compared with the first of its blocks.
-    2. Blocks that still hold several components get an R-tree over count vectors, which yields the pairs that sizes and
-       summed smaller counts allow.
-    3. All candidates are verified on whole shingle sets.
+       sets meet in the block of some such shingle. Each node is compared with the lead of its blocks.
+    2. Blocks that still hold several components get R-trees over count vectors, which yield the pairs across components
+       that sizes and summed smaller counts allow. Large blocks are cut into tiles that meet in pairs.
+    3. All candidates are verified on whole shingle sets, those of large blocks where the tiles meet.
     """
     spark = docs.sparkSession
     common = _common_shingles(docs, id_col, text_col)
@@ -285,15 +386,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         docs.select(F.col(id_col).alias("doc_id"), profile(F.col(text_col), common, spark, percent).alias("_p")).select("doc_id", "_p.*"), "profiles")
     nodes = kept(rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("groups").alias("groups"), F.min("doc_id").alias("rep")), "nodes")
     signed = rows.where("n > 0").select("node", F.explode("prefix").alias("sig")).repartition(partitions(spark), "sig")
+    # a group of near copies has few leads, as each block takes its least node
     shared = signed.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("_last")).where("lead <> _last").select("sig", "lead")
     blocks = kept(signed.join(shared, "sig").distinct(), "blocks")
 
-    stars = blocks.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    stars = blocks.where("node <> lead").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
     links = kept(_verified(kept(_bounded(stars, nodes, percent), "candidates"), nodes, docs, id_col, text_col, percent), "verified")
     names = components(links)
-    more = kept(_within_blocks(blocks.select("sig", "node"), nodes, names, percent), "candidates")
-    if more.head(1):
-        names = components(links.unionByName(_verified(more, nodes, docs, id_col, text_col, percent)))
+    open_ = _open_blocks(blocks.select("sig", "node"), nodes, names)
+    small, large = open_.where(F.col("size") <= SMALL), open_.where(F.col("size") > SMALL)
+    if large.head(1):
+        sets = _shingles(large.select("node").distinct(), nodes, docs, id_col, text_col)
+        links = kept(links.unionByName(_large_blocks(large, sets, percent)), "links")
+    if small.head(1):
+        more = kept(_small_blocks(small, nodes, percent), "candidates")
+        links = links.unionByName(_verified(more, nodes, docs, id_col, text_col, percent))
+    names = components(links)
 
     reps = nodes.join(names, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "rep")
     least = reps.groupBy("label").agg(F.min("rep").alias("component_id"))

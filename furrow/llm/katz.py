@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from furrow.llm.common import fold, kept, partitions, query, table, window_hashes, word_hashes
 from furrow.session import scratch_path
 
-BLOCK_CHARACTERS = 24_000_000
+BLOCK_CHARACTERS = 12_000_000
 KEYS_A_SHARD = 1_500_000
 DISCOUNTED = 5  # counts up to this one are discounted
 END, START = np.uint64(0xE7D0C0DE5EED0001), np.uint64(0x57A27C0DE5EED002)
@@ -126,8 +126,7 @@ def _bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
 
 
 def _blocks(docs: DataFrame, id_col: str, text_col: str, train: Column) -> DataFrame:
-    id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
 
     def block(number: int, ids: list, texts: list[str], train: list[bool]) -> pd.DataFrame:
         hashes, first = word_hashes(texts)
@@ -149,7 +148,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, train: Column) -> DataF
         if held[0]:
             yield block(number, *held)
 
-    schema = f"block bigint, ids array<{id_type}>, train binary, lengths binary, vocabulary binary, tokens binary, n_words bigint, n_tokens bigint"
+    schema = "block bigint, ids array<string>, train binary, lengths binary, vocabulary binary, tokens binary, n_words bigint, n_tokens bigint"
     return _bucketed(rows.mapInPandas(gather, schema), "katz_blocks", "block")
 
 
@@ -256,7 +255,8 @@ def _seen_mass(discounts: Discounts, unigrams: Unigrams, totals: np.ndarray, h,
     """For each history: discounted counts of its followers that the block accounts for, and their lower-order mass."""
     seen = mine & (count > 0)
     lower = unigrams.probability(totals)
-    return (np.bincount(h[seen], discounts(count[seen]), size), np.bincount(h[seen], lower[w[seen]], size))
+    # without entries numpy counts in whole numbers, whatever the weights
+    return (np.bincount(h[seen], discounts(count[seen]), size).astype(np.float64), np.bincount(h[seen], lower[w[seen]], size).astype(np.float64))
 
 
 def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -373,8 +373,9 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
         return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     padded = [a.withColumn("lower", F.lit(None).cast("binary")) for a in (word_answers, pair_answers)]
-    return with_answers(*padded, histories).applyInPandas(
-        scored, f"doc_id {id_type}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    scores = with_answers(*padded, histories).applyInPandas(
+        scored, "doc_id string, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    return scores.withColumn("doc_id", F.col("doc_id").cast(id_type))
 
 
 def _count_texts(blocks: DataFrame) -> int:

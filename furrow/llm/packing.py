@@ -225,11 +225,11 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null and empty texts are the end id alone. Equal rows and rows that repeat an id are packed one by one; null ids are
     kept. Texts longer than ``capacity`` ids are cut, the first piece taking what is left over.
     """
-    pieces = kept(
-        docs.select(F.col(id_col).alias("doc_id"), token_pieces(F.col(text_col), path, capacity).alias("_pieces"))
+    pieces = kept(  # ids travel as text: null ones would turn a batch's whole numbers into floats
+        docs.select(F.col(id_col).cast("string").alias("doc_id"), token_pieces(F.col(text_col), path, capacity).alias("_pieces"))
         .select("doc_id", F.posexplode("_pieces").alias("piece", "_p"))
         .select("doc_id", "piece", "_p.start", "_p.length", "_p.ids_crc32", F.monotonically_increasing_id().alias("uid")), "pieces")
-    return pack(pieces, capacity).drop("uid")
+    return pack(pieces, capacity).drop("uid").withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 
 
 @query("op3_best_fit_packing")

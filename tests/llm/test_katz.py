@@ -9,7 +9,7 @@ from furrow.llm import katz
 DOCS = [
     (1, "the cat sat on the mat", True), (2, "The cat ran", True), (3, "a dog sat on the mat", True), (4, None, True), (5, "", False),
     (6, "the zebra sat on the mat", False), (7, "the cat sat on the mat", True), (7, "the cat sat on the mat", True), (8, "dog\tdog\n\nDOG dog", True),
-    (9, "  ", False), (10, "the dog ran on a cat", False), (11, "b c d e f g h i j k", True), (12, "k j i b", True), (None, "the cat", False),
+    (9, "  ", False), (10, "the dog ran on a cat", False), (11, "b c d e f g h i j k", True), (12, "k j i b", True), (None, "the cat", False), (2**62 + 1, "the cat", False),
     (13, "ça va ÇA", True), (14, "mat mat mat mat mat mat mat mat", True), (15, "q", True),
 ]
 
