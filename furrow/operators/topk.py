@@ -64,5 +64,6 @@ def business_order(df: DataFrame, column: str, order: Sequence[str]) -> DataFram
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """Exactly n rows, chosen by a seeded hash of the key and so repeatable."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    """Exactly n rows, chosen by an MD5 of key and seed and so the same in every run and engine."""
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    return df.orderBy(digest, F.col(key)).limit(n)

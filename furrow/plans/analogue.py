@@ -60,13 +60,16 @@ def implied_production(analogues: DataFrame, production: DataFrame, base_year: i
 
 def production_dispersion(analogues: DataFrame, production: DataFrame, base_year: int, later: str = "jun_oct",
                           crop: str = "Wheat") -> DataFrame:
-    """Low, mid and high production: yields of the analogues with least and most later rain."""
+    """Low, mid and high production: yields of the analogues with least and most later rain.
+
+    The rain range is that of all analogues; a state without any yield keeps its row, its production NULL.
+    """
     wide = production_wide(production, crop)
     yields = wide.where(F.col("yield").isNotNull()).select(
         F.col("state").alias("state_name"), F.col("crop_season").alias("year"), "yield")
     base = wide.where(F.col("crop_season") == base_year).select(F.col("state").alias("state_name"), F.col("area").alias("base_area"))
-    rows = analogues.join(yields, ["state_name", "year"])
-    by_rain = F.struct(F.coalesce(later, F.lit(0.0)), F.col("year"))
+    rows = analogues.join(yields, ["state_name", "year"], "left")
+    by_rain = F.when(F.col("yield").isNotNull(), F.struct(F.coalesce(later, F.lit(0.0)), F.col("year")))
     agg = rows.groupBy("state_name").agg(
         F.min(later).alias("later_low_mm"), F.max(later).alias("later_high_mm"),
         F.min_by("yield", by_rain).alias("_lo"), F.avg("yield").alias("_mid"), F.max_by("yield", by_rain).alias("_hi"))

@@ -31,8 +31,8 @@ _RING = T.ArrayType(T.ArrayType(T.DoubleType()))
 
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
-    """Daily CSV files with a declared schema; NaN text becomes NULL."""
-    df = spark.read.schema(OBSERVATIONS).csv(path, header=True)
+    """Daily CSV files with a declared schema; NaN text becomes NULL, a malformed value raises."""
+    df = spark.read.schema(OBSERVATIONS).csv(path, header=True, mode="FAILFAST")
     return df.select("station_id", "date", *[S.clean_number(c).alias(c) for c in ("min_temp", "max_temp", "rainfall")],
                      "min_temp_quality", "max_temp_quality", "rainfall_quality")
 

@@ -775,7 +775,7 @@ def _(spark, sf):
 @query("i14_production_dispersion", """
     SELECT an.state_name, min(jun_oct) AS later_low_mm, max(jun_oct) AS later_high_mm, base_area, arg_min(y, jun_oct) * base_area / 1e6 AS production_low_mt, avg(y) * base_area / 1e6 AS production_mid_mt,
            arg_max(y, jun_oct) * base_area / 1e6 AS production_high_mt
-    FROM an JOIN pw ON an.state_name = pw.state AND an.year = pw.crop_season AND y IS NOT NULL JOIN base USING (state_name) GROUP BY 1, 4""", _AU,
+    FROM an LEFT JOIN pw ON an.state_name = pw.state AND an.year = pw.crop_season AND y IS NOT NULL JOIN base USING (state_name) GROUP BY 1, 4""", _AU,
        ("later_low_mm", "later_high_mm", "production_low_mt", "production_mid_mt", "production_high_mt"), AN_SQL)
 def _(spark, sf):
     return AN.production_dispersion(_analogues(spark, sf), B.production_df(spark, sf), 2000)
