@@ -18,7 +18,7 @@ COARSE = 32  # groups of an R-tree's points
 FINEST = 8192
 LEAF, FANOUT = 32, 8
 TILE = 1024
-SMALL = 64  # nodes of a block
+SMALL = 512  # nodes of a block; the sets of larger ones travel
 ROWS_A_UNIT = 20_000
 BROADCAST_ROWS = 500_000  # of an id and a hash each
 SAMPLE_DOCUMENTS, SAMPLE_HITS, MOST_COMMON = 16_384, 5, 1 << 19
