@@ -10,7 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import kept, query, table
+from furrow.llm.common import kept, partitions, query, table
+from furrow.session import scratch_path
 
 # HTML's element classes
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,8 +41,9 @@ FRAME_WORDS = frozenset(
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6", "hgroup"))
 CONTENT_TAGS = frozenset(("article", "main"))
 
-LEAST_PAGES, LEAST_SHARE = 5, 0.01
-LEAST_PAGES_INSIDE, LEAST_SHARE_INSIDE = 10, 0.5
+LEAST_PAGES, LEAST_PAGES_INSIDE = 5, 10  # contents of a host that share an element, whatever the host's size
+SHORT = 8  # characters; an element with fewer recurs by chance, so it counts together with the block beside it
+SALTS = 32  # parts of a recurring element's rows
 MOST_LINKED = 0.6
 
 _TOKEN = re.compile(
@@ -74,14 +76,19 @@ class _Element:
         self.blocks: list[int] = []
 
 
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
 def parse(page: str) -> tuple[bool, list[tuple[str, list[int]]]]:
     """(whether the page marks its content, blocks of text): each block's text and the hashes of the elements around it.
 
-    An element's hash covers its name, its text and its children. Framing elements, mark-up and comments yield no block;
+    An element's hash covers its name, its text and its children; one with little text has two, with the text of the block
+    before and of the one after it, and none at the edges of the page's text. Framing elements, mark-up and comments yield no block;
     where an ``article`` or ``main`` has text, only blocks inside such an element are returned.
     """
     root = _Element("", False, False, False, True)
-    stack, blocks, text, linked = [root], [], [], [0]
+    stack, blocks, text, linked, short = [root], [], [], [0], []
 
     def flush() -> None:
         words = " ".join("".join(text).split())
@@ -103,8 +110,11 @@ def parse(page: str) -> tuple[bool, list[tuple[str, list[int]]]]:
         e = stack.pop()
         h = e.digest.intdigest()
         if e.block and e.tag not in ("html", "body", *CONTENT_TAGS):
-            for b in e.blocks:
-                blocks[b][1].append(h - (1 << 64) if h >> 63 else h)
+            if sum(len(blocks[b][0]) for b in e.blocks) < SHORT:
+                short.append((h, e.blocks))
+            else:
+                for b in e.blocks:
+                    blocks[b][1].append(_signed(h))
         stack[-1].digest.update(h.to_bytes(8, "little"))
 
     def close_to(tags, stop) -> None:
@@ -175,7 +185,18 @@ def parse(page: str) -> tuple[bool, list[tuple[str, list[int]]]]:
         close()
     flush()
     marked = any(keep and inside for _, _, keep, inside, _ in blocks)
-    return marked, [(words, hashes) for words, hashes, keep, inside, links in blocks if keep and (inside if marked else not links)]
+    shown = [b for b, (_, _, keep, inside, links) in enumerate(blocks) if keep and (inside if marked else not links)]
+    place = {b: i for i, b in enumerate(shown)}
+    for h, own in short:
+        at = [place[b] for b in own if b in place]
+        if not at:
+            continue
+        for side, beside in enumerate((at[0] - 1, at[-1] + 1)):
+            if 0 <= beside < len(shown):
+                both = _signed(xxhash.xxh3_64_intdigest(f"{side} {h} {blocks[shown[beside]][0]}"))
+                for b in own:
+                    blocks[b][1].append(both)
+    return marked, [(blocks[b][0], blocks[b][1]) for b in shown]
 
 
 def parsed(page: Column) -> Column:
@@ -193,38 +214,56 @@ def parsed(page: Column) -> Column:
     return of(page)
 
 
+def element_key(hash_: Column) -> Column:
+    """Names an element of a host's pages of one kind."""
+    return F.xxhash64("host", "marked", hash_)
+
+
 def host_templates(pages: DataFrame) -> DataFrame:
-    """``host, marked, templates``: hashes of elements that recur across pages of the host with different texts.
+    """``key``: elements that recur across pages of a host with different texts, one row each, by ``element_key``.
 
     Copies of a page count once, by the fingerprint of their text, so an article that a site repeats is no template. In
-    pages that mark their content, a template is on 10 or more contents and half of the host's, in other pages on 5 or
-    more and 1 %, so a host's list holds at most 2 (100) times the elements of an average page. Null hosts have none.
+    pages that mark their content, a template is on 10 or more contents of the host, in other pages on 5 or more, however
+    many pages the host has. Null hosts have none.
     """
-    known = pages.where(F.col("host").isNotNull())
-    seen = known.select("host", "marked", "fingerprint", F.explode(F.flatten("blocks.hashes")).alias("hash")).distinct()
-    counts = seen.groupBy("host", "marked", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
-    contents = known.select("host", "marked", "fingerprint").distinct().groupBy("host", "marked").agg(F.count(F.lit(1)).alias("contents"))
-    inside = (F.col("n") >= LEAST_PAGES_INSIDE) & (F.col("n") >= LEAST_SHARE_INSIDE * F.col("contents"))
-    often = F.when(F.col("marked"), inside).otherwise(F.col("n") >= LEAST_SHARE * F.col("contents"))
-    return counts.join(contents, ["host", "marked"]).where(often).groupBy("host", "marked").agg(F.collect_list("hash").alias("templates"))
+    hashes = pages.where(F.col("host").isNotNull()).select("host", "marked", "fingerprint", F.explode(F.array_distinct(F.flatten("blocks.hashes"))).alias("hash"))
+    seen = hashes.select("marked", "fingerprint", element_key(F.col("hash")).alias("key")).distinct()
+    counts = seen.groupBy("key", "marked").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") >= F.when(F.col("marked"), LEAST_PAGES_INSIDE).otherwise(LEAST_PAGES)).select("key")
+
+
+def _by_row(pages: DataFrame) -> DataFrame:
+    """Pages numbered by ``row`` and stored in buckets of it, so that what is found for a row comes to its text, which stays."""
+    path = scratch_path(pages.sparkSession, "pages")
+    own = f"pages_{path.rsplit('-', 1)[-1]}"
+    numbered = pages.withColumn("row", F.monotonically_increasing_id())
+    writer = numbered.write.format("parquet").option("compression", "zstd").option("path", path)
+    writer.bucketBy(partitions(pages.sparkSession), "row").saveAsTable(own)
+    return pages.sparkSession.table(own)
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` of every row: the blocks that are no template of the page's host, joined by blank lines.
 
     Pages are parsed once; the parsed blocks are stored, hashes are counted per host over all of them, and the blocks
-    under a recurring element are dropped (in pages that mark their content, those under one that half of the host's
-    contents share). Null, empty and text-free pages give an empty text; repeated rows are answered one by one.
+    under a recurring element are dropped. Recurring elements are rows that meet the pages' elements by ``SALTS`` parts
+    of each, so neither a large host nor a very common element makes a long list or a long task. Null, empty and
+    text-free pages give an empty text; repeated rows are answered one by one.
     """
     host = F.lower(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    whole = kept(
+    whole = _by_row(
         pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.nullif(host, F.lit("")).alias("host"), parsed(F.col(html_col)).alias("_p"))
-        .select("page_id", "url", "host", "_p.*"), "pages", compression="zstd")
-    # stored, so that Spark knows its size: a small list travels to the pages, a large one meets them by host
-    templates = kept(host_templates(whole), "templates")
-    drop = F.coalesce("templates", F.array().cast("array<bigint>"))
+        .select("page_id", "url", "host", "_p.*"))
+    # stored with its salts, so that Spark knows its size: a small table travels to the pages, a large one meets them by element
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    templates = kept(host_templates(whole).select("key", salts).select(F.xxhash64("key", "salt").alias("salted")), "templates")
+    elements = whole.where(F.col("host").isNotNull()).select("row", "host", "marked", F.explode(F.array_distinct(F.flatten("blocks.hashes"))).alias("hash"))
+    salt = F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")
+    found = elements.select("row", "hash", F.xxhash64(element_key(F.col("hash")), salt).alias("salted")).join(templates, "salted", "left_semi")
+    recurring = found.groupBy("row").agg(F.collect_list("hash").alias("recurring"))  # at most a page's elements
+    drop = F.coalesce("recurring", F.array().cast("array<bigint>"))
     text = F.array_join(F.transform(F.filter("blocks", lambda b: ~F.arrays_overlap(b["hashes"], drop)), lambda b: b["text"]), "\n\n")
-    return (whole.join(templates, ["host", "marked"], "left").select("page_id", "url", text.alias("text"))
+    return (whole.select("row", "page_id", "url", "blocks").join(recurring, "row", "left").select("page_id", "url", text.alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))
 
 

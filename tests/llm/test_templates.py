@@ -34,3 +34,18 @@ def test_recurring_elements_of_a_host_go_and_copies_stay(spark):
     assert all(got[200 + i] == [f"Own line {i}"] for i in range(12))
     assert got[300] == ["x"] and got[301] == [""] and got[302] == [""] and sorted(map(len, got[303])) == [5, 499_999]
     assert templates.main_text(df.where("false")).collect() == []
+
+
+def test_what_recurs_goes_on_large_hosts_as_on_small_ones(spark):
+    letter, banner = "Sign up for our letter", "We moved to a new house"
+
+    def article(i, extra):
+        return f"<article><p>Own line number {i} of many</p><p>Les.</p><p>Its other line {i}</p>{extra}</article>"
+
+    rows = [(i, "http://a.example/x", article(i, f"<div>{letter}</div>" if i < 12 else "")) for i in range(100)]
+    rows += [(1000 + i, "http://b.example/x", f"<p>Own line number {i} of many</p>" + (f"<div>{banner}</div>" if i < 5 else "")) for i in range(700)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in templates.main_text(df).collect()}
+    # a block of a few letters recurs by chance and stays beside lines of the page's own
+    assert all(got[i] == f"Own line number {i} of many\n\nLes.\n\nIts other line {i}" for i in range(100))
+    assert all(got[1000 + i] == f"Own line number {i} of many" for i in range(700))
