@@ -21,7 +21,7 @@ NEIGHBOURS = 4  # probed on either side of a block's own point
 SCALE, BALL_SCALE = 2.5, 5.0  # projected length of a unit vector
 BALL_ROUNDS = 3
 TILE = 1024
-UNIT_BYTES = 1 << 24  # vectors compared in one task at a time
+UNIT_BYTES = 1 << 22  # vectors compared in one task at a time
 _GRID, _PROJECTION_GRID = float(1 << 20), float(1 << 16)
 _MARGIN = 1e-6  # radians, far above the rounding of an angle
 
@@ -243,20 +243,23 @@ def links(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", ve
             hits.append(np.stack((p[keep], q[keep])))
         a, b = np.concatenate(hits, axis=1)
         first = np.zeros(len(a), dtype=bool)
+        ids, place = np.unique(node, return_inverse=True)
+        # cells once for each node with a hit
+        used, at = np.unique(place[np.concatenate((a, b))], return_inverse=True)
+        row_of = np.zeros(len(ids), dtype=np.int64)
+        row_of[place] = np.arange(len(place))
+        own, near_by = all_cells(x[row_of[used]]) if len(used) else (np.empty((0, 1), np.uint64),) * 2
         for lo in range(0, len(a), 4096):
             p, q = a[lo : lo + 4096], b[lo : lo + 4096]
             similar = (x[p] * x[q]).sum(axis=1) >= cosine
-            used, at = np.unique(np.concatenate((p, q)), return_inverse=True)
-            own, near_by = all_cells(x[used])
-            at, bt = at[: len(p)], at[len(p) :]
+            pt, qt = at[lo : lo + len(p)], at[len(a) + lo : len(a) + lo + len(p)]
             least = np.full(len(p), np.iinfo(np.uint64).max, dtype=np.uint64)
-            for mine, theirs in ((own[at], own[bt]), (own[at], near_by[bt]), (near_by[at], own[bt])):
+            for mine, theirs in ((own[pt], own[qt]), (own[pt], near_by[qt]), (near_by[pt], own[qt])):
                 for k in range(mine.shape[1]):
                     shared = (theirs == mine[:, k : k + 1]).any(axis=1)
                     least = np.where(shared, np.minimum(least, mine[:, k]), least)
             first[lo : lo + 4096] = similar & (least.astype(np.int64) == cell[p])
         a, b = a[first], b[first]
-        ids, place = np.unique(node, return_inverse=True)
         total = np.zeros(len(ids), dtype=np.int64)
         np.add.at(total, place[a], m[b])
         np.add.at(total, place[b], m[a])
@@ -266,7 +269,8 @@ def links(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", ve
 
         def top(v: int) -> int:
             while parent.get(v, v) != v:
-                v = parent[v] = parent.get(parent[v], parent[v])
+                parent[v] = parent.get(parent[v], parent[v])
+                v = parent[v]
             return v
 
         out = []
