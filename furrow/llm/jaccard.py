@@ -353,7 +353,8 @@ def _large_blocks(blocks: DataFrame, shingles: DataFrame, percent: int) -> DataF
 
         def top(x: int) -> int:
             while parent.get(x, x) != x:
-                x = parent[x] = parent.get(parent[x], parent[x])
+                parent[x] = parent.get(parent[x], parent[x])
+                x = parent[x]
             return x
 
         out = []
