@@ -43,7 +43,7 @@ def test_verdicts(spark):
     rng = random.Random(2)
     words = {"en": ["the", "sea", "and", "land", "rain", "north", "wind", "field", "harvest", "grain"], "fr": ["le", "été", "où", "vent", "forêt", "champ", "récolte", "pluie"]}
     rows = [(i, " ".join(rng.choices(words[lang], k=60)), lang) for i, lang in enumerate(["en"] * 60 + ["fr"] * 40)]
-    rows += [(1000, "%%% qz## zxq|| " * 20 + " ".join(f"q{i}#z" for i in range(200)), "en"), (1001, None, "en"), (1002, "", None), (1003, "few words", "fr"), (1004, rows[0][1], "en"),
+    rows += [(1000, "%%% qz## zxq|| " * 20 + " ".join(f"q{i}#z" for i in range(300)), "en"), (1001, None, "en"), (1002, "", None), (1003, "few words", "fr"), (1004, rows[0][1], "en"),
              (1004, rows[0][1], "en"), (None, rows[1][1], "en"), (1005, "one two three four five " * 30, "en"), (1006, " ".join(rng.choices(words["en"], k=40_000)), "en")]
     df = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id bigint, text string, lang string, kept double")
     got = {}
