@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from furrow.llm.common import kept, mix64, partitions, query, table, window_hashes, word_hashes
@@ -19,7 +18,9 @@ FINEST = 8192
 LEAF, FANOUT = 32, 8
 TILE = 1024
 SMALL = 512  # nodes of a block; the sets of larger ones travel
-ROWS_A_UNIT = 20_000
+ROW_BYTES, UNIT_BYTES = 400, 1 << 22  # of a row of a block, and of the blocks one task holds at a time
+TILE_BYTES = 1 << 24  # of shingle sets
+SIZE_STEP = 1.05  # sizes of one class of a large block differ by less
 BROADCAST_ROWS = 500_000  # of an id and a hash each
 SAMPLE_DOCUMENTS, SAMPLE_HITS, MOST_COMMON = 16_384, 5, 1 << 19
 
@@ -204,31 +205,24 @@ def _shingles(concerned: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: s
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            own = [(node, s.astype("<u8").tobytes()) for s, node in zip(_sets_of(pdf["text"]), pdf["node"], strict=True) if len(s) and digest(s) == node]
+            own = [(node, s.astype(np.int64)) for s, node in zip(_sets_of(pdf["text"]), pdf["node"], strict=True) if len(s) and digest(s) == node]
             yield pd.DataFrame(own, columns=["node", "shingles"])
 
     few = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(few, F.col("id").eqNullSafe(F.col("_id")))
-    return kept(texts.select("node", "text").mapInPandas(sets, "node bigint, shingles binary").dropDuplicates(["node"]), "shingles")
+    return kept(texts.select("node", "text").mapInPandas(sets, "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "shingles")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """Pairs (a, b) whose shingle sets are similar enough, by exact comparison; sets are made of the documents concerned only."""
+    """Pairs (a, b) whose shingle sets are similar enough, by exact comparison; sets are made of the documents concerned only.
+
+    The sets are compared in the JVM row by row, so no batch of pairs of long sets is ever held.
+    """
     known = _shingles(pairs.select("a").union(pairs.select("b")).distinct().toDF("node"), nodes, docs, id_col, text_col)
     both = pairs.join(known.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
         known.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-
-    def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            keep = []
-            for x, y in zip(pdf["sa"], pdf["sb"], strict=True):
-                a, b = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
-                merged = np.sort(np.concatenate((a, b)))
-                shared = int((merged[1:] == merged[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(a) + len(b) - shared))
-            yield pdf.loc[keep, ["a", "b"]]
-
-    return both.mapInPandas(similar, "a bigint, b bigint")
+    shared, all_ = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
+    return both.where((100 + percent) * shared.cast("long") >= percent * all_.cast("long")).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -286,18 +280,21 @@ def _wanted(label: np.ndarray, points: np.ndarray, mine: np.ndarray, other: np.n
 def _small_blocks(blocks: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) across components in blocks of at most ``SMALL`` nodes, as the trees and count vectors allow."""
     work = blocks.join(nodes.select("node", "groups"), "node")
-    units = max(1, blocks.count() // ROWS_A_UNIT)
+    # a count vector takes about half a byte a shingle, and a row some more
+    volume = blocks.agg(F.sum(F.least(F.lit(FINEST), F.col("n") / 2) + ROW_BYTES)).first()[0] or 0
+    units = 1 + int(volume) // UNIT_BYTES
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        vectors = {n: _vector(g) for n, g in zip(pdf["node"], pdf["groups"], strict=True)}
+        blobs = dict(zip(pdf["node"].tolist(), pdf["groups"], strict=True))
         found = [np.empty((0, 2), dtype=np.int64)]
         for _, own in pdf.groupby("sig", sort=False):
             node, label = own["node"].to_numpy(), own["label"].to_numpy()
             everywhere = np.ones(len(node), dtype=bool)
-            q, p = _wanted(label, np.stack([folded(vectors[n], COARSE) for n in node.tolist()]), everywhere, everywhere, percent)
+            points = np.stack([folded(_vector(g), COARSE) for g in own["groups"]])
+            q, p = _wanted(label, points, everywhere, everywhere, percent)
             found.append(np.stack((np.minimum(node[q], node[p]), np.maximum(node[q], node[p])), axis=1))
         some = np.unique(np.concatenate(found), axis=0)
-        keep = [may_link(vectors[x], vectors[y], percent) for x, y in some.tolist()]
+        keep = [may_link(_vector(blobs[x]), _vector(blobs[y]), percent) for x, y in some.tolist()]
         return pd.DataFrame(some[np.array(keep, dtype=bool)], columns=["a", "b"])
 
     unit = F.pmod(F.xxhash64("sig"), F.lit(units)).alias("unit")
@@ -326,14 +323,23 @@ def shared_shingles(a: list[np.ndarray], b: list[np.ndarray], step: int = 4096)
 def _large_blocks(blocks: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that join components in blocks of more than ``SMALL`` nodes.
 
-    A block is cut into tiles by set size; tiles whose sizes allow a link meet in pairs, whole sets travel with them, and
-    of the links found a unit returns only those that join components it has not joined already, never all pairs.
+    A block is cut into classes by set size and these into tiles by hash, from counts that are added up first, so that no task
+    numbers or holds a block. Tiles whose sizes allow a link meet in pairs, whole sets travel with them, and of the links
+    found a unit returns only those that join components it has not joined already, never all pairs.
     """
-    place = F.row_number().over(W.partitionBy("sig").orderBy("n", "node")) - 1
-    tiled = kept(blocks.withColumn("tile", F.floor(place / TILE).cast("int")), "tiles")
-    spans = tiled.groupBy("sig", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    left = spans.select("sig", F.col("tile").alias("i"), F.col("high").alias("_high"))
-    right = spans.select("sig", F.col("tile").alias("j"), F.col("low").alias("_low"))
+    classed = blocks.withColumn("class", F.floor(F.log("n") / math.log(SIZE_STEP)).cast("int"))
+    classes = kept(classed.groupBy("sig", "class").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"),
+        F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n") * 8 / TILE_BYTES)).cast("int").alias("tiles")), "classes")
+
+    def tile(k: Column) -> Column:
+        return F.col("class").cast("long") * (1 << 32) + k
+
+    tiled = classed.join(classes.select("sig", "class", "tiles"), ["sig", "class"]).select(
+        "sig", "node", "label", "n", tile(F.pmod(F.xxhash64("node"), F.col("tiles"))).alias("tile"))
+    every = classes.select("sig", "low", "high", "class", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("k")).select("sig", "low", "high", tile(F.col("k")).alias("tile"))
+    left = every.select("sig", F.col("tile").alias("i"), F.col("high").alias("_high"))
+    right = every.select("sig", F.col("tile").alias("j"), F.col("low").alias("_low"))
     meets = left.join(right, "sig").where((F.col("i") <= F.col("j")) & (100 * F.col("_high") >= percent * F.col("_low"))).select("sig", "i", "j")
     places = meets.select("sig", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"))
     work = tiled.join(places, ["sig", "tile"]).join(shingles, "node")
@@ -341,7 +347,7 @@ def _large_blocks(blocks: DataFrame, shingles: DataFrame, percent: int) -> DataF
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
         node, label, tile = pdf["node"].to_numpy(), pdf["label"].to_numpy(), pdf["tile"].to_numpy()
-        sets = [np.frombuffer(x, dtype="<u8") for x in pdf["shingles"]]
+        sets = [np.asarray(x, dtype=np.int64).astype(np.uint64) for x in pdf["shingles"]]
         size = np.array([len(x) for x in sets])
         points = np.stack([folded(count_vector(x), COARSE) for x in sets])
         q, p = _wanted(label, points, tile == i, tile == j, percent)
@@ -368,8 +374,8 @@ def _large_blocks(blocks: DataFrame, shingles: DataFrame, percent: int) -> DataF
     return work.select("sig", "i", "j", "tile", "node", "label", "shingles").groupBy("sig", "i", "j").applyInPandas(links, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row.
+def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """``doc_id, text_hash, n, label, component_id`` of every row; ``label`` is null for rows without shingles.
 
     Rows link where 100 * shared shingles >= ``percent`` * all shingles of both; ``component_id`` is the least id
     reachable by links. Null texts and texts without words have no shingles and link with nothing. Equal sets are one
@@ -384,7 +390,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     common = _common_shingles(docs, id_col, text_col)
     rows = kept(
-        docs.select(F.col(id_col).alias("doc_id"), profile(F.col(text_col), common, spark, percent).alias("_p")).select("doc_id", "_p.*"), "profiles")
+        docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), profile(F.col(text_col), common, spark, percent).alias("_p"))
+        .select("doc_id", "text_hash", "_p.*"), "profiles")
     nodes = kept(rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("groups").alias("groups"), F.min("doc_id").alias("rep")), "nodes")
     signed = rows.where("n > 0").select("node", F.explode("prefix").alias("sig")).repartition(partitions(spark), "sig")
     # a group of near copies has few leads, as each block takes its least node
@@ -406,21 +413,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     reps = nodes.join(names, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "rep")
     least = reps.groupBy("label").agg(F.min("rep").alias("component_id"))
-    found = reps.join(least, "label").select(F.col("node").alias("_node"), "component_id")
-    return (rows.select("doc_id", "n", "node").join(found, F.col("node") == F.col("_node"), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+    found = reps.join(least, "label").select(F.col("node").alias("_node"), "label", "component_id")
+    joined = rows.select("doc_id", "text_hash", "n", "node").join(found, (F.col("n") > 0) & (F.col("node") == F.col("_node")), "left")
+    return joined.select("doc_id", "text_hash", "n", "label", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row, as ``_labelled`` finds them; rows without shingles are by themselves."""
+    return _labelled(docs, id_col, text_col, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """Rows of ``docs``, all columns kept, one for each component: the one with the least id.
+    """Rows of ``docs``, all columns kept, one for each component: that of the least id and then the least hash of the text.
 
-    Rows that repeat an id and a text count once; null ids are one id.
+    Rows are told apart by id and text, so another row of a kept id goes if it is a near copy itself. Null ids count as larger
+    than all others. Rows that repeat an id and a text count once; rows without shingles all stay but for such repeats.
     """
     columns = docs.columns
-    first = near_duplicates(docs, id_col, text_col, percent).select(F.col("component_id").alias("_keep")).distinct()
+    rows = _labelled(docs, id_col, text_col, percent)
+    of_group = rows.where("n > 0").groupBy("label").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("at")).select("at.doc_id", "at.text_hash")
+    stay = of_group.unionByName(rows.where("n = 0").select("doc_id", "text_hash")).select(F.col("doc_id").alias("_keep"), F.col("text_hash").alias("_hash"))
     whole = docs.select(F.struct("*").alias("_doc"), F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_text"))
-    stay = whole.join(first, F.col("_id").eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates(["_id", "_text"])
-    return stay.select(*[F.col(f"_doc.`{c}`").alias(c) for c in columns])
+    found = whole.join(stay, (F.col("_text") == F.col("_hash")) & F.col("_id").eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates(["_id", "_text"])
+    return found.select(*[F.col(f"_doc.`{c}`").alias(c) for c in columns])
 
 
 @query("op8_count_tree_jaccard")

@@ -72,6 +72,14 @@ def test_one_of_each(spark):
     assert jaccard.one_of_each(df.where("false")).collect() == []
 
 
+def test_one_of_each_tells_rows_of_an_id_apart(spark):
+    a, b = "one two three four five six seven eight", "a quite different text of some eight words"
+    rows = [(3, a), (7, a + " nine"), (7, b), (None, b + " more"), (None, "a third text that stands for itself alone"), (9, None), (9, None), (9, "")]
+    out = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    want = [(3, a), (7, b), (None, "a third text that stands for itself alone"), (9, None), (9, "")]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_tree_keeps_every_pair_that_could_link():
     rng = np.random.default_rng(4)
     base = rng.poisson(3, (40, 32))
