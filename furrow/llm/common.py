@@ -66,6 +66,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 _BASE = 0x9E3779B97F4A7C17
+_MOST_POWERS = 1 << 20
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -78,7 +79,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         up = np.full(size, _BASE, dtype=np.uint64)
         down = np.full(size, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
         up[0] = down[0] = 1
-        have = _POWERS[0] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        have = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        if size <= _MOST_POWERS:  # a reused worker does not keep those of a long text
+            _POWERS[0] = have
     return have
 
 

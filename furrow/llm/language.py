@@ -16,7 +16,7 @@ BUCKETS = 1 << 16
 SMOOTHING = 0.5
 STEPS = 12
 PENALTY = 6.0  # log n times this for each further language
-CELLS = 4_000_000  # of the likelihood table worked on at once
+CELLS = 1_000_000  # of the likelihood table worked on at once
 _POINTS = 0x30000
 _SPACE = 32
 
@@ -156,9 +156,12 @@ def identify(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_
 def in_known_language(docs: DataFrame, training: DataFrame, text_col: str = "text", lang_col: str = "lang", least: float = 0.3) -> DataFrame:
     """Rows of ``docs``, all columns kept, whose main language is known and holds ``least`` of the text."""
     model = fit(training, text_col, lang_col)
-    columns = docs.columns
-    found = docs.select(F.struct("*").alias("_doc"), languages(F.col(text_col), model, docs.sparkSession).alias("_l"))
-    return found.where((F.col("_l.lang") != UNKNOWN) & (F.col("_l.share") >= least)).select(*[F.col(f"_doc.`{c}`").alias(c) for c in columns])
+    columns, found = docs.columns, "_found"
+    while found in columns:
+        found += "_"
+    # the columns stand as they are, so that a text is not carried twice
+    known = docs.withColumn(found, languages(F.col(text_col), model, docs.sparkSession))
+    return known.where((F.col(f"{found}.lang") != UNKNOWN) & (F.col(f"{found}.share") >= least)).select(*[F.col(f"`{c}`") for c in columns])
 
 
 @query("op6_mixture_language")
