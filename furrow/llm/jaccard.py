@@ -18,7 +18,7 @@ FINEST = 8192
 LEAF, FANOUT = 32, 8
 TILE = 1024
 SMALL = 512  # nodes of a block; the sets of larger ones travel
-ROW_BYTES, UNIT_BYTES = 400, 1 << 22  # of a row of a block, and of the blocks one task holds at a time
+ROW_BYTES, UNIT_BYTES = 400, 1 << 24  # of a row of a block, and of the blocks one task holds at a time
 TILE_BYTES = 1 << 24  # of shingle sets
 SIZE_STEP = 1.05  # sizes of one class of a large block differ by less
 BROADCAST_ROWS = 500_000  # of an id and a hash each
