@@ -116,8 +116,15 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
         own: dict[str, np.ndarray] = {}
         for pdf in batches:
             for lang, texts in pdf.groupby("lang")["text"]:
-                counts = own.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
-                counts += np.bincount(np.concatenate([trigrams(t) for t in texts]), minlength=BUCKETS)
+                counts, held, size = own.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64)), [], 0
+                for t in texts:
+                    held.append(trigrams(t))
+                    size += len(held[-1])
+                    if size >= CELLS // 4:
+                        counts += np.bincount(np.concatenate(held), minlength=BUCKETS)
+                        held, size = [], 0
+                if held:
+                    counts += np.bincount(np.concatenate(held), minlength=BUCKETS)
         for lang, counts in own.items():
             seen = np.flatnonzero(counts)
             yield pd.DataFrame({"lang": lang, "bucket": seen, "n": counts[seen]})

@@ -18,7 +18,7 @@ TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 2048
 END_ID = 0
 PIECES_A_GROUP = 4096
-BATCH_CHARACTERS = 1 << 21
+BATCH_CHARACTERS = 1 << 20
 
 # texts of these characters only, without runs of white space, fall into pieces that are encoded alone
 _ODD = re.compile("[^\n -~À-ÖØ-öø-ɏ]")
