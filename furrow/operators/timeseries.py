@@ -53,24 +53,53 @@ def rolling_totals(obs: DataFrame, days: Iterable[int] = (3, 7, 14), station: st
     return out.where(~F.col("_halo")).drop("_day", "_block", "_halo")
 
 
-def consecutive_runs(events: DataFrame, station: str = "station_id", date: str = "date") -> DataFrame:
+def _chained(summary: DataFrame, station: str, forward: bool) -> DataFrame:
+    """Add ``_in`` (or ``_out``): days of the open run that a block takes over from the blocks before (after) it.
+
+    A block hands on its outer run, and what it took over itself where all its days are one run: a segmented sum over
+    block summaries, which are few.
+    """
+    order = W.partitionBy(station).orderBy(F.asc("_block") if forward else F.desc("_block"))
+    near, far, length, name = ("_first", "_last", "_tail", "_in") if forward else ("_last", "_first", "_head", "_out")
+    joined = F.coalesce(F.abs(F.col(near) - F.lag(far).over(order)) == 1, F.lit(False))
+    through = joined & F.coalesce(F.lag("_runs").over(order) == 1, F.lit(False))
+    rows = summary.select("*", joined.alias("_joined"), through.alias("_through"), F.lag(length).over(order).alias("_before"))
+    rows = rows.withColumn("_segment", F.sum(F.when(F.col("_through"), 0).otherwise(1)).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    so_far = W.partitionBy(station, "_segment").orderBy(F.asc("_block") if forward else F.desc("_block")).rowsBetween(W.unboundedPreceding, 0)
+    taken = F.sum(F.when(F.col("_joined"), F.col("_before")).otherwise(0)).over(so_far)
+    return rows.withColumn(name, taken).drop("_joined", "_through", "_before", "_segment")
+
+
+def consecutive_runs(events: DataFrame, station: str = "station_id", date: str = "date", block_days: int = BLOCK_DAYS) -> DataFrame:
     """Number runs of consecutive dates per station.
 
-    Adds ``run_position``, ``run_length`` and ``sequence_id`` (NULL for a single day). Needs one
-    row per station and date, so a station's group is at most its days on record.
+    Adds ``run_position``, ``run_length`` and ``sequence_id`` (NULL for a single day), which counts a station's runs. Needs one
+    row per station and date. Runs are found inside (station, time block); each block is summed up as its first and
+    last day and its first and last run, the summaries are chained along the station, and their sums go back to the
+    blocks, so no task sorts a station's whole record.
     """
-    ordered = W.partitionBy(station).orderBy(date)
-    gap = F.datediff(F.col(date), F.lag(date).over(ordered))
-    started = events.withColumn("_new", F.when(gap == 1, 0).otherwise(1))
-    numbered = started.withColumn("_run", F.sum("_new").over(ordered.rowsBetween(W.unboundedPreceding, 0)))
-    run = W.partitionBy(station, "_run")
-    return (
-        numbered.withColumn("run_position", F.row_number().over(run.orderBy(date)))
-        .withColumn("run_length", F.count(F.lit(1)).over(run))
-        .withColumn("sequence_id", F.when(
-            F.col("run_length") > 1, F.concat(F.col(station), F.lit("_seq_"), F.col("_run").cast("string"))))
-        .drop("_new", "_run")
-    )
+    day = F.unix_date(date)
+    rows = events.select("*", day.alias("_day"), F.floor(day / block_days).cast("int").alias("_block"))
+    ordered = W.partitionBy(station, "_block").orderBy("_day")
+    fresh = F.when(F.col("_day") - F.lag("_day").over(ordered) == 1, 0).otherwise(1)
+    local = rows.withColumn("_fresh", fresh).withColumn("_k", F.sum("_fresh").over(ordered.rowsBetween(W.unboundedPreceding, 0)))
+    run = W.partitionBy(station, "_block", "_k")
+    local = local.withColumn("_n", F.count(F.lit(1)).over(run)).withColumn("_start", F.min("_day").over(run))
+    summary = local.groupBy(station, "_block").agg(
+        F.min("_day").alias("_first"), F.max("_day").alias("_last"), F.max("_k").alias("_runs"), F.min_by("_n", "_day").alias("_head"),
+        F.max_by("_n", "_day").alias("_tail"))
+    chained = _chained(_chained(summary, station, True), station, False)
+    order = W.partitionBy(station).orderBy("_block")
+    own = F.col("_runs") - F.when(F.col("_in") > 0, 1).otherwise(0)
+    chained = chained.withColumn("_base", F.sum(own).over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("_runs"))
+    out = local.join(chained.select(F.col(station).alias("_s"), F.col("_block").alias("_b"), "_runs", "_in", "_out", "_base"),
+                     (F.col(station) == F.col("_s")) & (F.col("_block") == F.col("_b")))
+    before = F.when(F.col("_k") == 1, F.col("_in")).otherwise(0)
+    after = F.when(F.col("_k") == F.col("_runs"), F.col("_out")).otherwise(0)
+    length = F.col("_n") + before + after
+    return out.select(
+        *events.columns, (F.col("_day") - F.col("_start") + 1 + before).cast("int").alias("run_position"), length.alias("run_length"),
+        F.when(length > 1, F.concat(F.col(station), F.lit("_seq_"), (F.col("_base") + F.col("_k")).cast("string"))).alias("sequence_id"))
 
 
 def date_gaps(obs: DataFrame, station: str = "station_id", date: str = "date") -> DataFrame:

@@ -15,6 +15,7 @@ COLUMNS = (
     "data_quality", "accumulation_window", "rainfall_role", "crop_type", "phenology_risk_multiplier",
     "flowering_window_active", "days_since_flowering_start",
 )
+RUN_COLUMNS = ("consecutive_night", "sequence_id", "detected_at")
 
 
 QUALITIES = ("min_temp_quality", "max_temp_quality", "rainfall_quality")
@@ -115,23 +116,34 @@ def complete_rows(obs: DataFrame) -> DataFrame:
 
 
 def detect_events(obs: DataFrame, start=None, end=None, calendar: str = "dates", severe_tier: bool = False,
-                  lookback_days: int = 14, complete_only: bool = True) -> DataFrame:
-    """All five event types for a date range: one exchange on (station, time block).
+                  lookback_days: int = 14, complete_only: bool = True, detected_at=None) -> DataFrame:
+    """All five event types for a date range, with run columns: ``consecutive_night`` and ``sequence_id`` of frosts, ``detected_at``.
 
-    Rows before ``start`` inside the lookback feed the rolling totals and are then dropped. Each
-    day's candidate events are an array of structs, so the types need no union and no second scan.
+    Rain and heat take one exchange on (station, time block): rows before ``start`` inside the lookback feed the rolling
+    totals and are then dropped, and each day's candidate events are an array of structs. Frost nights need no totals; they
+    are numbered over the record up to ``end``, so a run that is open at ``start`` goes on counting and a sequence has the same
+    name in every range. ``detected_at`` is a time stamp, now by default.
     """
     if complete_only:
         obs = complete_rows(obs)
-    if start is not None:
-        obs = obs.where(F.col("date") >= F.date_sub(F.lit(start).cast("date"), lookback_days - 1))
     if end is not None:
         obs = obs.where(F.col("date") <= F.lit(end).cast("date"))
+    frost = numbered_frosts(obs, calendar)
+    if start is not None:
+        obs = obs.where(F.col("date") >= F.date_sub(F.lit(start).cast("date"), lookback_days - 1))
+        frost = frost.where(F.col("date") >= F.lit(start).cast("date"))
     rows = rolling_totals(obs, (3, 7, 14))
     if start is not None:
         rows = rows.where(F.col("date") >= F.lit(start).cast("date"))
-    rows = with_stage(rows, calendar)
-    return _expand(rows, [_frost(), _heat(), *_harvest(severe_tier), *_seeding(), *_development()])
+    rest = _expand(with_stage(rows, calendar), [_heat(), *_harvest(severe_tier), *_seeding(), *_development()])
+    at = F.current_timestamp() if detected_at is None else F.lit(detected_at).cast("timestamp")
+    return sets.union_sparse(frost, rest).withColumn("detected_at", at).select(*COLUMNS, *RUN_COLUMNS)
+
+
+def numbered_frosts(obs: DataFrame, calendar: str = "dates") -> DataFrame:
+    """Frost events with ``consecutive_night`` and ``sequence_id``."""
+    runs = consecutive_runs(_expand(with_stage(obs, calendar), [_frost()]))
+    return runs.withColumnRenamed("run_position", "consecutive_night").drop("run_length")
 
 
 def frost_events(obs: DataFrame, calendar: str = "dates") -> DataFrame:

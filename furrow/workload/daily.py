@@ -151,14 +151,23 @@ def _(spark, sf):
 
 # --- events ------------------------------------------------------------------------------
 
-@query("i1_detect_events", "SELECT * FROM ev", ("dense_obs",), ("phenology_risk_multiplier",), EVENTS)
+RUN_EVENTS = EVENTS + (("runs", _RUNS.format(src=f"({FROST})")), ("numbered", """SELECT ev.*, CAST(r.run_position AS INT) AS consecutive_night,
+    CASE WHEN r.run_length > 1 THEN r.station_id || '_seq_' || CAST(r.run AS BIGINT) END AS sequence_id, '2026-01-01 06:00:00' AS detected_at
+  FROM ev LEFT JOIN runs r ON ev.event_type = 'frost' AND ev.station_id = r.station_id AND ev.date = r.date"""))
+
+
+def _stamped(ev):
+    return ev.withColumn("detected_at", F.date_format("detected_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("i1_detect_events", "SELECT * FROM numbered", ("dense_obs",), ("phenology_risk_multiplier",), RUN_EVENTS)
 def _(spark, sf):
-    return events(spark, sf)
+    return _stamped(E.detect_events(B.dense_obs_df(spark, sf), detected_at="2026-01-01 06:00:00"))
 
 
-@query("i1_detect_events_range", "SELECT * FROM ev WHERE date BETWEEN DATE '1998-03-01' AND DATE '1999-02-28'", ("dense_obs",), ("phenology_risk_multiplier",), EVENTS)
+@query("i1_detect_events_range", "SELECT * FROM numbered WHERE date BETWEEN DATE '1998-08-03' AND DATE '1999-02-28'", ("dense_obs",), ("phenology_risk_multiplier",), RUN_EVENTS)
 def _(spark, sf):
-    return E.detect_events(B.dense_obs_df(spark, sf), "1998-03-01", "1999-02-28")
+    return _stamped(E.detect_events(B.dense_obs_df(spark, sf), "1998-08-03", "1999-02-28", detected_at="2026-01-01 06:00:00"))
 
 
 @query("i1_frost_runs", f"""

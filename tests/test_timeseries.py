@@ -48,6 +48,34 @@ def test_runs_keep_the_last_night_of_every_run(spark):
     assert [g[1:] for g in got] == [(1, 3, "s_seq_1"), (2, 3, "s_seq_1"), (3, 3, "s_seq_1"), (1, 1, None), (1, 2, "s_seq_3"), (2, 2, "s_seq_3")]
 
 
+@pytest.mark.parametrize("block", [1, 3, 7, 512])
+def test_runs_cross_blocks(spark, block):
+    rnd = random.Random(block)
+    data = [(s, day("2020-01-01") + dt.timedelta(i)) for s, p in (("a", 0.9), ("b", 0.5), ("c", 1.0)) for i in range(40) if rnd.random() < p]
+    data += [("d", day("1965-12-30")), ("d", day("1965-12-31")), ("d", day("2020-01-01"))]
+    want, last = {}, {}
+    for s, d in sorted(data):
+        run = last[s][1] if s in last and (d - last[s][0]).days == 1 else []
+        number = last[s][2] + (not run) if s in last else 1
+        run.append(d)
+        last[s] = (d, run, number)
+        want[s, d] = (len(run), run, number)
+    got = T.consecutive_runs(spark.createDataFrame([(*r, 1) for r in data], "station_id string, date date, _n int").drop("_n"), block_days=block).collect()
+    assert len(got) == len(data)
+    for r in got:
+        position, run, number = want[r["station_id"], r["date"]]
+        assert (r["run_position"], r["run_length"], r["sequence_id"]) == (position, len(run), f"{r['station_id']}_seq_{number}" if len(run) > 1 else None)
+
+
+def test_a_range_takes_up_the_open_run(spark):
+    data = [("s", day("2026-09-01") + dt.timedelta(i), 0.0, 20.0, 0.0, 0, 0, 0) for i in range(40)]
+    obs = spark.createDataFrame(data, OBS)
+    whole = {(r["date"], r["event_type"], r["severity"]): r for r in E.detect_events(obs, detected_at="2026-10-01").collect()}
+    part = E.detect_events(obs, "2026-09-25", "2026-09-30", detected_at="2026-10-01").where("event_type = 'frost'").orderBy("date").collect()
+    assert [r["consecutive_night"] for r in part] == [25, 26, 27, 28, 29, 30] and {r["sequence_id"] for r in part} == {"s_seq_1"}
+    assert all(whole[r["date"], "frost", r["severity"]] == r for r in part)
+
+
 def test_gaps_of_one_and_three_days(spark):
     df = spark.createDataFrame([("s", day(d)) for d in ("2026-01-01", "2026-01-02", "2026-01-04", "2026-01-08")], "station_id string, date date")
     assert [r[3] for r in rows(T.date_gaps(df))] == [1, 3]

@@ -38,7 +38,8 @@ def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name,exchanges", [("e5_consecutive_runs", 2), ("d8_season_features_station", 2), ("e1_rolling_total_station", 2)])
+# runs: the fold and the exchange on blocks, each shown twice and reused at run time, and the summaries by station
+@pytest.mark.parametrize("name,exchanges", [("e5_consecutive_runs", 5), ("d8_season_features_station", 2), ("e1_rolling_total_station", 2)])
 def test_one_exchange_beyond_the_daily_fold(spark, name, exchanges):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == exchanges
