@@ -337,14 +337,15 @@ def reports_df(spark, sf) -> DataFrame:
     block = F.concat(
         F.lit("\n```vintage\nstatus: "), F.when(k % 3 == 0, "live").when(k % 17 == 1, "draft").otherwise("frozen"),
         F.lit("\nreport_date: 2001-06-01"),
-        F.when(k % 19 != 2, F.lit("\ncoverage_month: 2001-05")).otherwise(F.lit("")),
+        F.when(k % 19 == 2, F.lit("")).when(k % 4 == 3, F.lit("\ncoverage_month: \"2001-06\"  # quoted")).otherwise(F.lit("\ncoverage_month: 2001-05")),
         F.lit("\nthrough_day: "), F.when(k % 3 == 0, F.when(k % 2 == 0, F.lit(MTD_DAY)).otherwise(day)).otherwise(day).cast("string"),
         F.lit("\nbaseline_years: [2005, 2025]\ndecile_method: "),
         F.when(k % 7 == 3, "ratio_div10_v0").when(k % 23 == 5, "other").otherwise("rank_ceil_v1"),
-        F.when(k % 3 == 0, F.lit("\ninputs: [monthly]")).otherwise(F.lit("")),
+        F.when(k % 6 == 0, F.lit("\ninputs:\n  # one to a line\n  - 'monthly'\n  - other")).when(k % 3 == 0, F.lit("\ninputs: [monthly]")).otherwise(F.lit("")),
         F.lit("\n```\n"))
     prose = F.concat(
-        F.lit("Data through day "), claim.cast("string"), F.lit(". "),
+        F.when(k % 4 == 3, F.concat(F.lit("June 1-"), claim.cast("string"), F.lit(", "), claim.cast("string"), F.lit(" of 30 days, not May 1-"), day.cast("string")))
+        .otherwise(F.concat(F.lit("Data through day "), claim.cast("string"))), F.lit(". "),
         F.when(k % 11 == 4, F.lit("Decile is rank / 10. ")).otherwise(F.lit("")), F.col("text"))
     return table(spark, sf, "documents").select(
         F.col("doc_id").alias("report_id"),
@@ -486,17 +487,18 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "reports": ((), f"""
         SELECT doc_id AS report_id, prose || CASE WHEN doc_id % 13 <> 6 THEN block ELSE '' END AS markdown
         FROM (SELECT doc_id,
-          'Data through day ' || (CASE WHEN doc_id % 5 = 0 THEN doc_id % 28 + 2 ELSE doc_id % 28 + 1 END) || '. ' ||
+          CASE WHEN doc_id % 4 = 3 THEN 'June 1-' || claim || ', ' || claim || ' of 30 days, not May 1-' || (doc_id % 28 + 1) ELSE 'Data through day ' || claim END || '. ' ||
           CASE WHEN doc_id % 11 = 4 THEN 'Decile is rank / 10. ' ELSE '' END || text AS prose,
           chr(10) || '```vintage' || chr(10) || 'status: ' ||
           CASE WHEN doc_id % 3 = 0 THEN 'live' WHEN doc_id % 17 = 1 THEN 'draft' ELSE 'frozen' END ||
           chr(10) || 'report_date: 2001-06-01' ||
-          CASE WHEN doc_id % 19 <> 2 THEN chr(10) || 'coverage_month: 2001-05' ELSE '' END ||
+          CASE WHEN doc_id % 19 = 2 THEN '' WHEN doc_id % 4 = 3 THEN chr(10) || 'coverage_month: "2001-06"  # quoted' ELSE chr(10) || 'coverage_month: 2001-05' END ||
           chr(10) || 'through_day: ' || (CASE WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 THEN {MTD_DAY} ELSE doc_id % 28 + 1 END) ||
           chr(10) || 'baseline_years: [2005, 2025]' || chr(10) || 'decile_method: ' ||
           CASE WHEN doc_id % 7 = 3 THEN 'ratio_div10_v0' WHEN doc_id % 23 = 5 THEN 'other' ELSE 'rank_ceil_v1' END ||
-          CASE WHEN doc_id % 3 = 0 THEN chr(10) || 'inputs: [monthly]' ELSE '' END || chr(10) || '```' || chr(10) AS block
-          FROM documents)"""),
+          CASE WHEN doc_id % 6 = 0 THEN chr(10) || 'inputs:' || chr(10) || '  # one to a line' || chr(10) || '  - ''monthly''' || chr(10) || '  - other'
+               WHEN doc_id % 3 = 0 THEN chr(10) || 'inputs: [monthly]' ELSE '' END || chr(10) || '```' || chr(10) AS block
+          FROM (SELECT *, CASE WHEN doc_id % 5 = 0 THEN doc_id % 28 + 2 ELSE doc_id % 28 + 1 END AS claim FROM documents))"""),
 }
 
 

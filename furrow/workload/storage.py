@@ -220,18 +220,26 @@ _B = "regexp_extract(markdown, '(?s)```vintage[ \\t]*\\n(.*?)\\n```', 1)"
 
 
 def _fld(name):
-    return f"nullif(trim(regexp_extract(block, '(?m)^{name}:[ \\t]*(.*)$', 1)), '')"
+    """A field of one line, without its comment and quotes."""
+    return f"""nullif(trim(regexp_replace(regexp_replace(regexp_extract(block, '(?m)^{name}:[ \\t]*(.*)$', 1), '[ \\t]+#.*$', ''), '^"(.*)"$', '\\1')), '')"""
 
 
+_ITEMS = """list_transform(list_filter(list_concat(string_split(regexp_extract(block, '(?m)^inputs:[ \\t]*\\[(.*)\\]', 1), ','),
+  regexp_extract_all(regexp_extract(block, '(?s)\\ninputs:((?:\\n[ \\t]+[-#][^\\n]*)+)', 1), '(?m)^[ \\t]+- (.*)$', 1)), lambda v: trim(v) <> ''), lambda v: trim(replace(v, '''', '')))"""
+_FIRST = "TRY_CAST(coverage_month || '-01' AS DATE)"
+_AFTER = f"'(?:through day |' || strftime({_FIRST}, '%B') || ' 1[–-]|(?:Data|Coverage) through ' || coverage_month || '-)([0-9]{{1,2}})\\b'"
+_COUNT = f"'\\b([0-9]{{1,2}}) of ' || day(last_day({_FIRST})) || ' days\\b'"
 VINTAGE = (("blk", f"SELECT report_id, regexp_matches(markdown, '(?s)```vintage[ \\t]*\\n.*?\\n```') AS has_block, {_B} AS block, regexp_replace(markdown, '(?s)```vintage[ \\t]*\\n(.*?)\\n```', '') AS prose FROM reports"),
-           ("fld", "SELECT report_id, has_block, prose, " + ", ".join(f"{_fld(f)} AS {f}" for f in (*P.VINTAGE_REQUIRED, "decile_method", "inputs")) + " FROM blk"),
-           ("cl", """SELECT *, TRY_CAST(through_day AS INT) AS td, list_distinct(list_transform(list_concat(list_concat(regexp_extract_all(prose, 'through day (\\d{1,2})\\b', 1), regexp_extract_all(prose, '\\b(\\d{1,2}) of 31 days\\b', 1)),
-               list_concat(regexp_extract_all(prose, 'May 1[–\\-](\\d{1,2})\\b', 1), regexp_extract_all(prose, '(?:Data|Coverage) through 2026-05-(\\d{2})\\b', 1))), lambda d: CAST(d AS INT))) AS claims FROM fld"""),
+           ("fld", "SELECT report_id, has_block, prose, " + ", ".join(f"{_fld(f)} AS {f}" for f in (*P.VINTAGE_REQUIRED, "decile_method")) + f", {_ITEMS} AS inputs FROM blk"),
+           ("cl", f"""SELECT *, TRY_CAST(through_day AS INT) AS td, list_distinct(list_transform(list_concat(
+               regexp_extract_all(prose, coalesce({_AFTER}, '(?:through day )([0-9]{{1,2}})\\b'), 1), regexp_extract_all(prose, coalesce({_COUNT}, '(never)^'), 1)),
+               lambda d: CAST(d AS INT))) AS claims FROM fld"""),
            ("schema_bad", "SELECT report_id, unnest(list_filter([" + ", ".join(f"CASE WHEN {f} IS NULL THEN 'missing required field ''{f}''' END" for f in P.VINTAGE_REQUIRED) + """,
                CASE WHEN status NOT IN ('frozen', 'live') THEN 'bad status ' || status END, CASE WHEN decile_method NOT IN ('rank_ceil_v1', 'ratio_div10_v0') THEN 'unknown decile_method ' || decile_method END,
-               CASE WHEN status = 'live' AND inputs IS NULL THEN 'live report must list ''inputs''' END], lambda x: x IS NOT NULL)) AS finding FROM cl WHERE has_block"""),
+               CASE WHEN status = 'live' AND len(inputs) = 0 THEN 'live report must list ''inputs''' END], lambda x: x IS NOT NULL)) AS finding FROM cl WHERE has_block"""),
            ("good", "SELECT * FROM cl WHERE has_block AND report_id NOT IN (SELECT report_id FROM schema_bad)"),
-           ("cur", "SELECT year || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS coverage_month, max(partial_month_through_day) AS now FROM mtd GROUP BY 1"))
+           ("cur", "SELECT 'monthly' AS input, year || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS coverage_month, max(partial_month_through_day) AS now FROM mtd GROUP BY ALL"),
+           ("named", "SELECT report_id, coverage_month, td, unnest(inputs) AS input FROM good WHERE status = 'live'"))
 
 
 @query("i21_vintage_audit", """
@@ -240,17 +248,17 @@ VINTAGE = (("blk", f"SELECT report_id, regexp_matches(markdown, '(?s)```vintage[
     UNION ALL SELECT report_id, 'prose contains ''' || tok || '''' FROM (SELECT *, unnest(['÷ 10', '÷10', '/ 10']) AS tok FROM good) WHERE decile_method = 'rank_ceil_v1' AND contains(prose, tok)
     UNION ALL SELECT report_id, 'live decile_method differs from current' FROM good WHERE status = 'live' AND decile_method <> 'rank_ceil_v1'
     UNION ALL SELECT report_id, 'live baseline_years differ from current' FROM good WHERE status = 'live' AND baseline_years <> '[2005, 2025]'
-    UNION ALL SELECT report_id, CASE WHEN now IS NULL THEN 'cannot determine current through_day' ELSE 'live through_day ' || td || ' differs from current ' || now END
-      FROM good LEFT JOIN cur USING (coverage_month) WHERE status = 'live' AND (now IS NULL OR now <> td)""", ("reports", "mtd"), (), VINTAGE)
+    UNION ALL SELECT report_id, CASE WHEN now IS NULL THEN 'cannot determine current through_day in ' || input ELSE 'live through_day ' || td || ' differs from current ' || now || ' in ' || input END
+      FROM named LEFT JOIN cur USING (input, coverage_month) WHERE now IS NULL OR now <> td""", ("reports", "mtd"), (), VINTAGE)
 def _(spark, sf):
     current = V.current_through_days(B.mtd_df(spark, sf), "monthly")
     return V.audit(B.reports_df(spark, sf), current)
 
 
-@query("i21_vintage_blocks", "SELECT report_id, has_block, status, coverage_month, td AS through_day, decile_method, array_to_string(list_sort(claims), ',') AS claims FROM cl", ("reports",), (), VINTAGE[:3])
+@query("i21_vintage_blocks", "SELECT report_id, has_block, status, coverage_month, td AS through_day, decile_method, coalesce(array_to_string(inputs, ','), '') AS inputs, array_to_string(list_sort(claims), ',') AS claims FROM cl", ("reports",), (), VINTAGE[:3])
 def _(spark, sf):
     r = V.parse_blocks(B.reports_df(spark, sf)).withColumn("claims", F.array_join(F.transform(V.coverage_days(), lambda d: d.cast("string")), ","))
-    return r.select("report_id", "has_block", "status", "coverage_month", "through_day", "decile_method", "claims")
+    return r.select("report_id", "has_block", "status", "coverage_month", "through_day", "decile_method", F.coalesce(F.array_join("inputs", ","), F.lit("")).alias("inputs"), "claims")
 
 
 # --- streams -----------------------------------------------------------------------------

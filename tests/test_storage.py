@@ -94,8 +94,22 @@ def test_report_audit(spark):
     got = rows(V.audit(df, V.current_through_days(hist, "mtd")))
     assert got == sorted([
         (2, "prose coverage-day 27 does not match through_day 19"), (2, "prose contains '/ 10'"), (3, "missing vintage block"), (4, "missing required field 'coverage_month'"),
-        (5, "live report must list 'inputs'"), (6, "prose coverage-day 7 does not match through_day 19"), (6, "live through_day 19 differs from current 31"),
-        (6, "cannot determine current through_day")], key=repr)
+        (5, "live report must list 'inputs'"), (6, "prose coverage-day 7 does not match through_day 19"), (6, "live through_day 19 differs from current 31 in mtd"),
+        (6, "cannot determine current through_day in other")], key=repr)
+
+
+def test_blocks_in_list_form_and_other_months(spark):
+    block = "\n```vintage\n# pinned\nstatus: 'live'  # for now\nreport_date: 2026-07-01\ncoverage_month: \"2026-06\"\nthrough_day: 19\nbaseline_years:\n  - 2005\n  - 2025\ninputs:\n- a.csv # first\n  # none here\n  - \"b.csv\"\ndecile_method: rank_ceil_v1\n```\n"
+    texts = {1: "June 1–19, 19 of 30 days; Coverage through 2026-06-19; May 1-7; 8 of 31 days; Data through 2026-05-09." + block, 2: "June 1-18." + block,
+             3: block.replace("inputs:\n- a.csv # first\n  # none here\n  - \"b.csv\"\n", "inputs: []\n"), 4: "```vintage\n\n```", 5: None, 6: ""}
+    df = spark.createDataFrame(list(texts.items()), "report_id int, markdown string")
+    parsed = {r["report_id"]: r for r in V.parse_blocks(df).withColumn("claims", V.coverage_days()).collect()}
+    assert parsed[1]["inputs"] == ["a.csv", "b.csv"] and parsed[1]["claims"] == [19] and parsed[2]["claims"] == [18]
+    assert (parsed[1]["status"], parsed[1]["coverage_month"], parsed[1]["baseline_years"]) == ("live", "2026-06", "[2005, 2025]")
+    current = spark.createDataFrame([("a.csv", "2026-06", 19), ("b.csv", "2026-06", 20)], "input string, coverage_month string, current_through_day int")
+    got = rows(V.audit(df.where("report_id < 4"), current))
+    assert got == sorted([(1, "live through_day 19 differs from current 20 in b.csv"), (2, "live through_day 19 differs from current 20 in b.csv"),
+                          (2, "prose coverage-day 18 does not match through_day 19"), (3, "live report must list 'inputs'")], key=repr)
 
 
 def test_stream_rolling_equals_batch(spark):
