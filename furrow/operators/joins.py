@@ -134,14 +134,24 @@ def unique_name_match(left: DataFrame, right: DataFrame, left_id: str, left_name
 
 def fallback_area(current: DataFrame, correspondence: DataFrame, earlier: DataFrame, crop: str = "wheat",
                   source_year: str = "2015-16", base_year: str = "2020-21") -> DataFrame:
-    """Fill suppressed areas of one crop from an earlier census over good correspondences."""
-    good = correspondence.where(F.col("quality") == "Good").join(earlier, "region_2011").where(
-        F.col("estimate").isNotNull()).select("sa2_code", F.col("estimate").alias("_fallback"), "ratio")
-    out = current.join(good.dropDuplicates(["sa2_code"]), "sa2_code", "left")
+    """Fill suppressed areas of one crop from an earlier census over good correspondences, and say from where.
+
+    A region may overlap several earlier ones: of those with an estimate, the one of the greatest ratio counts, then that of
+    the least code. ``area_fallback_reason`` names it; ``correspondence`` may have its name in ``name_2011``.
+    """
+    name = F.col("name_2011") if "name_2011" in correspondence.columns else F.col("region_2011")
+    pick = F.struct("ratio", F.col("estimate").alias("estimate"), name.cast("string").alias("name"))
+    # one grouping folds the overlaps: the least (minus ratio, code) is the greatest ratio, and among equal ones the least code
+    good = (correspondence.where(F.col("quality") == "Good").join(earlier, "region_2011").where(F.col("estimate").isNotNull())
+            .groupBy("sa2_code").agg(F.min_by(pick, F.struct(-F.col("ratio"), "region_2011")).alias("_pick"))
+            .select("sa2_code", F.col("_pick.estimate").alias("_fallback"), F.col("_pick.ratio").alias("ratio"), F.col("_pick.name").alias("_name")))
+    out = current.join(good, "sa2_code", "left")
     use = F.col("area_ha").isNull() & F.col("_fallback").isNotNull() & (F.col("crop") == crop)
+    reason = F.format_string(f"Uses {source_year} ABS fallback area (2011 SA2 '%s', ratio=%.4f); {base_year} {crop} area not published (np)", "_name", F.col("ratio").cast("double"))
     return (
         out.withColumn("area_ha_for_weighting", F.when(use, F.col("_fallback")).otherwise(F.col("area_ha")))
         .withColumn("area_source_year", S.cases(
             (use, source_year), (F.col("area_ha").isNotNull(), base_year), otherwise=""))
-        .withColumn("area_is_fallback", use).drop("_fallback", "ratio")
+        .withColumn("area_fallback_reason", F.when(use, reason).otherwise(F.lit("")))
+        .withColumn("area_is_fallback", use).drop("_fallback", "ratio", "_name")
     )

@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from furrow import params as P
+from furrow.functions import scalar as S
 from furrow.functions.scalar import planar_distance
 from furrow.operators.aggregates import weighted_mean
+from furrow.session import stored
+
+# Ways to take a region's rainfall from a grid.
+METHODS = ("centroid", "crop_weighted")
 
 
 def _bin(c, size: float) -> Column:
@@ -208,6 +213,59 @@ def zonal_mean(grid: DataFrame, weights: DataFrame, time: Sequence[str] = ("year
         F.bool_or("fallback").alias("fallback"))
 
 
+def method_weights(edges: DataFrame, cells: DataFrame, lat0: float, lon0: float, res: float, n_cols: int, floor: float = P.CROP_FLOOR,
+                   methods: Sequence[str] = METHODS) -> DataFrame:
+    """``region, method, cell_id, weight, fallback``: one sparse table a grid, for any period and both ways of extraction.
+
+    ``centroid`` is the cell nearest the outline's mean vertex with weight 1, ``crop_weighted`` the region's cells by cropland
+    fraction. Store it and multiply it with as many periods as wanted.
+    """
+    unknown = set(methods) - set(METHODS)
+    if unknown:
+        raise ValueError(f"unknown methods {sorted(unknown)}")
+    parts = []
+    if "centroid" in methods:
+        near = nearest_site(ring_centroid(edges), cells, "cell_id", "region", site_lat="lat", site_lon="lon")
+        parts.append(near.select("region", F.lit("centroid").alias("method"), "cell_id", F.lit(1.0).alias("weight"), F.lit(False).alias("fallback")))
+    if "crop_weighted" in methods:
+        own = region_cell_weights(edges, cells, lat0, lon0, res, n_cols, floor)
+        parts.append(own.select("region", F.lit("crop_weighted").alias("method"), "cell_id", "weight", "fallback"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def zonal_extract(grid: DataFrame, table: DataFrame, time: Sequence[str] = ("year", "month"), value: str = "mm") -> DataFrame:
+    """``region, method, *time, value, n_cells, fallback``: the grid times a weight table, renormalised over the cells with data.
+
+    One join and one grouping of the grid's scan, whatever the number of methods.
+    """
+    return grid.join(table, "cell_id").groupBy("region", "method", *time).agg(
+        weighted_mean(value, "weight").alias(value), F.count(value).alias("n_cells"), F.bool_or("fallback").alias("fallback"))
+
+
+def partial_month_regions(daily: DataFrame, table: DataFrame, year: int, month: int, value: str = "mm") -> DataFrame:
+    """Month-to-date rainfall of each region and method, from one scan of the month's days.
+
+    The last day is the last one on which any cell of the grid has data, so sums need no cut. A cell that lacks a day up to it
+    leaves the crop-weighted mean, and counts 0 for that day in the centroid form; a centroid cell without any data has none.
+    """
+    days = daily.where((F.col("year") == year) & (F.col("month") == month)).groupBy("cell_id").agg(
+        F.sum(value).alias("_sum"), F.count(value).alias("_days"), F.max(F.when(F.col(value).isNotNull(), F.col("day"))).alias("_last"))
+    cells = stored(days, "partial-month")
+    last = cells.agg(F.max("_last")).first()[0]
+    if last is None:
+        raise ValueError(f"no data in {year}-{month:02d}")
+    centroid = F.col("method") == "centroid"
+    whole = F.when(centroid | (F.col("_days") == last), F.col("_sum"))
+    out = cells.join(table, "cell_id").select("region", "method", "weight", "fallback", whole.alias("_mm")).groupBy("region", "method").agg(
+        weighted_mean("_mm", "weight").alias("rainfall_mm"), F.count("_mm").alias("n_cells"), F.bool_or("fallback").alias("fallback"))
+    flag = S.cases((centroid & F.col("rainfall_mm").isNull(), "nodata"), (centroid, "partial_month"), (F.col("fallback"), "cropfrac_centroid_fallback"), otherwise="ok")
+    return out.select("region", "method", F.lit(year).alias("year"), F.lit(month).alias("month"), "rainfall_mm", "n_cells", flag.alias("quality_flag"),
+                      F.lit(True).alias("is_partial_month"), F.lit(last).alias("partial_month_through_day"))
+
+
 def partial_month(daily: DataFrame, year: int, month: int, value: str = "mm") -> DataFrame:
     """Rows of one month up to the last day on which any cell has data, with that day attached."""
     rows = daily.where((F.col("year") == year) & (F.col("month") == month))

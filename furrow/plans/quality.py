@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from furrow import params as P
 from furrow.functions import scalar as S
 from furrow.operators import aggregates as A
 from furrow.operators.timeseries import date_gaps
+from furrow.session import scratch_path, stored
+from furrow.sources.sinks import log_run, upsert
 
 DAY_PATTERN = r"^\d{4}-\d{2}-\d{2}"
 
@@ -74,6 +76,37 @@ def filter_values(obs: DataFrame, accept_synthetic: bool = False, accept_interpo
     return obs
 
 
+def ingest(raw: DataFrame, table: str, quarantine: str, run_log: str, run_id: str, started_at, min_confidence: float = 0.3,
+           rules: P.QualityRules = P.QualityRules(), variables: dict[str, str] | None = None) -> dict:
+    """Landed vendor rows into the observation table; returns the run's figures.
+
+    The feed is read once: its normalised rows are stored, judged by station, and the judged rows written in two parts while
+    their number is observed. Accepted values go through the quality filter into the upsert, with ``started_at`` as their time of
+    ingest; rejected rows go to ``quarantine`` by run; the run log gets one row. A repeated run writes the same rows again.
+    """
+    spark = raw.sparkSession
+    at = F.lit(started_at).cast("timestamp")
+    obs = stored(normalise_raw(raw, variables).withColumn("ingested_at", at), "ingest")
+    good = A.confidence_score(A.quality_ratios(obs, rules=rules), rules=rules).select("station_id", (F.col("confidence_score") >= min_confidence).alias("accepted"))
+    seen = Observation(f"ingest-{run_id}")
+    judged = obs.join(good, "station_id", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False))).observe(
+        seen, F.count(F.lit(1)).alias("records"), F.count_if("accepted").alias("accepted"))
+    path = scratch_path(spark, "judged")
+    judged.write.partitionBy("accepted").parquet(path)
+    parts = spark.read.schema(judged.schema).parquet(path)
+    accepted = parts.where("accepted").drop("accepted")
+    upsert(filter_values(accepted, rules.accept_synthetic, rules.accept_interpolated), table)
+    parts.where("NOT accepted").drop("accepted").write.mode("overwrite").parquet(f"{quarantine}/run_id={run_id}")
+    figures = seen.get
+    stations = accepted.select("station_id").distinct().count()
+    share = figures["accepted"] / figures["records"] if figures["records"] else None
+    run = spark.range(1).select(
+        F.lit(run_id).alias("run_id"), at.alias("started_at"), F.current_timestamp().alias("finished_at"), F.lit(stations).cast("int").alias("stations"),
+        F.lit(figures["accepted"]).cast("long").alias("records"), F.lit(share).cast("double").alias("success_rate"), F.lit("success").alias("status"))
+    log_run(run, run_log)
+    return {**figures, "stations": stations}
+
+
 def ingest_batch(raw: DataFrame, min_confidence: float = 0.3, rules: P.QualityRules = P.QualityRules(),
                  variables: dict[str, str] | None = None) -> DataFrame:
     """Landed vendor rows to accepted observations, ready for the upsert sink."""

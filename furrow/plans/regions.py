@@ -61,7 +61,7 @@ def build_crop_context(universe: DataFrame, crops: Sequence[tuple[str, str, str,
         out = joins.fallback_area(out.withColumnRenamed("main_code", "sa2_code"), correspondence, earlier, fallback_crop)
         out = out.withColumnRenamed("sa2_code", "main_code")
     else:
-        out = out.withColumn("area_ha_for_weighting", F.col("area_ha")).withColumn("area_is_fallback", F.lit(False))
+        out = out.withColumn("area_ha_for_weighting", F.col("area_ha")).withColumn("area_is_fallback", F.lit(False)).withColumn("area_fallback_reason", F.lit(""))
     known = F.col("main_code").isNotNull()
     notes = F.array_compact(F.array(
         F.when(known & F.col("area_ha").isNull(), "area suppressed"),

@@ -305,5 +305,21 @@ def east_west(ranks: DataFrame, lon: DataFrame, areas: DataFrame, group: str, wi
 
 def with_total(rows: DataFrame, key: str, label: str, sums: Sequence[str]) -> DataFrame:
     """Rows per key plus a total row, from one rollup."""
-    return rows.rollup(key).agg(*[F.sum(c).alias(c) for c in sums]).withColumn(key, F.coalesce(F.col(key), F.lit(label)))
+    return level_totals(rows, [key], [label], sums)
+
+
+def level_totals(rows: DataFrame, keys: Sequence[str], labels: Sequence[str], sums: Sequence[str] = (), means: dict[str, tuple[str, str]] | None = None,
+                 least: Sequence[str] = (), most: Sequence[str] = ()) -> DataFrame:
+    """Rows per key and the totals above them, from one rollup of mergeable sums.
+
+    A total is made of its members, not of the rows below it: ``means`` maps a name to (value, weight), whose weighted mean
+    is divided out after the sums are merged, so a state's ratio is that of its regions' members. ``least`` and ``most`` give
+    ``min_`` and ``max_`` columns. A total row has its level's label in place of the key; null keys stay null.
+    """
+    aggregates = [F.sum(c).alias(c) for c in sums] + [weighted_mean(v, w).alias(name) for name, (v, w) in (means or {}).items()]
+    aggregates += [F.min(c).alias(f"min_{c}") for c in least] + [F.max(c).alias(f"max_{c}") for c in most]
+    out = rows.rollup(*keys).agg(*aggregates, *[F.grouping(k).alias(f"_total{i}") for i, k in enumerate(keys)])
+    for i, (k, label) in enumerate(zip(keys, labels, strict=True)):
+        out = out.withColumn(k, F.when(F.col(f"_total{i}") == 1, F.lit(label)).otherwise(F.col(k)))
+    return out.drop(*[f"_total{i}" for i in range(len(keys))])
 

@@ -72,6 +72,15 @@ def upsert(batch: DataFrame, path: str, keys=("station_id", "date"), order: str
     _remove(spark, stage)
 
 
+def merge_dates(batch: DataFrame, path: str, keys=("station_id", "date"), order: str = "ingested_at", date: str = "date") -> None:
+    """Insert or replace by key in a table laid out by date; only the batch's dates are rewritten."""
+    spark, rows = batch.sparkSession, batch
+    if path_exists(spark, path):
+        touched = batch.select(date).distinct()
+        rows = spark.read.parquet(path).join(touched, date, "left_semi").unionByName(batch, allowMissingColumns=True)
+    _overwrite_partitions(last_wins(rows, keys, order), path, date)
+
+
 def replace_dates(batch: DataFrame, path: str, date: str = "date") -> None:
     """Delete the batch's dates from the table and append the batch."""
     _overwrite_partitions(batch, path, date)
@@ -86,10 +95,9 @@ def write_by_type(events: DataFrame, path: str, dates=()) -> None:
     (events.hint("rebalance", "date").sortWithinPartitions("date", "event_type")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path))
     if dates:
-        some = {r["date"] for r in spark.read.parquet(path).where(F.col("date").isin(list(dates))).join(
-            events.select("date").distinct(), "date", "left_semi").select("date").distinct().collect()}
+        some = {str(r["date"]) for r in events.where(F.col("date").isin(list(dates))).select("date").distinct().collect()}  # at most ``dates``
         for d in dates:
-            if d not in some:
+            if str(d) not in some:
                 _remove(spark, f"{path}/date={d}")
 
 

@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from furrow.functions import scalar as S
 from furrow.operators.sets import keep_last
-from furrow.session import scratch_path
-from furrow.sources.sinks import upsert
+from furrow.session import scratch_path, stored
+from furrow.sources.sinks import last_wins, merge_dates, path_exists, replace_dates, upsert
 
 
 def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
@@ -37,6 +37,36 @@ def start_ingest(stream: DataFrame, table: str, checkpoint: str, order: str = "i
             .trigger(availableNow=True).start())
 
 
+def late_data_writer(table: str, ledger: str, delay_days: int = 14, order: str = "ingested_at", date: str = "date"):
+    """A writer for ``foreachBatch``: rows within ``delay_days`` of the newest date seen update their key, later ones replace their date.
+
+    The ledger has a row for each batch with the newest date seen up to it. A batch that is in it changes nothing, so a
+    replay after a failure, or a second run of the stream, is harmless; the limit of a batch comes from the batches before it,
+    so a replay of one that failed half-way splits it as before. Late rows are the truth about their date: what the table had
+    for it goes.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        if path_exists(spark, f"{ledger}/batch={number}"):
+            return
+        rows = stored(batch, "late")
+        seen = spark.read.parquet(ledger).where(F.col("batch") < number).agg(F.max("newest")).first()[0] if path_exists(spark, ledger) else None
+        limit = F.date_sub(F.lit(seen).cast("date"), delay_days)
+        late = F.coalesce(F.col(date) < limit, F.lit(False))
+        merge_dates(rows.where(~late), table, order=order, date=date)
+        replace_dates(last_wins(rows.where(late), order=order), table, date)
+        newest = rows.agg(F.max(date).alias("newest")).select(F.greatest("newest", F.lit(seen).cast("date")).alias("newest"))
+        newest.write.mode("overwrite").parquet(f"{ledger}/batch={number}")
+
+    return write
+
+
+def start_late_data(stream: DataFrame, table: str, ledger: str, checkpoint: str, **options) -> StreamingQuery:
+    """Run ``late_data_writer`` over all available input."""
+    return (stream.writeStream.foreachBatch(late_data_writer(table, ledger, **options)).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def threshold_events(stream: DataFrame) -> DataFrame:
     """Stateless frost and heat flags."""
     frost, heat = S.frost_severity_flat("min_temp"), S.heat_severity_flat("max_temp")

@@ -361,6 +361,15 @@ def _(spark, sf):
     return WN.east_west(r.join(main, "sa2_code"), lon, _areas(spark, sf), "sd_code", "may")
 
 
+@query("d44_ratio_totals", """
+    SELECT CASE WHEN grouping(state) = 1 THEN 'AUSTRALIA' ELSE state END AS state, CASE WHEN grouping(sa3_name) = 1 THEN 'ALL' ELSE sa3_name END AS sa3_name, sum(production_t) AS production_t,
+           sum(production_t / area_ha_for_weighting * area_ha_for_weighting) / sum(area_ha_for_weighting) FILTER (production_t IS NOT NULL) AS yield_t_ha, min(area_ha) AS min_area_ha, max(area_ha) AS max_area_ha
+    FROM crop_context WHERE area_ha_for_weighting > 0 GROUP BY ROLLUP (state, sa3_name)""", ("crop_context",), ("yield_t_ha",))
+def _(spark, sf):
+    rows = B.crop_context_df(spark, sf).where("area_ha_for_weighting > 0").withColumn("_yield", F.col("production_t") / F.col("area_ha_for_weighting"))
+    return WN.level_totals(rows, ["state", "sa3_name"], ["AUSTRALIA", "ALL"], ["production_t"], {"yield_t_ha": ("_yield", "area_ha_for_weighting")}, ["area_ha"], ["area_ha"])
+
+
 @query("d44_with_total", """
     SELECT coalesce(state, 'AUSTRALIA') AS state, sum(production_t) AS production_t, sum(area_ha) AS area_ha FROM crop_context GROUP BY ROLLUP (state)""", ("crop_context",))
 def _(spark, sf):
@@ -545,16 +554,25 @@ def _(spark, sf):
 @query("c17_fallback_area", """
     SELECT sa2_code, crop, area_ha, coalesce(area_ha, CASE WHEN crop = 'building' AND n_nationkey % 3 <> 1 THEN est END) AS area_ha_for_weighting,
            area_ha IS NULL AND crop = 'building' AND n_nationkey % 3 <> 1 AS area_is_fallback,
-           CASE WHEN area_ha IS NULL AND crop = 'building' AND n_nationkey % 3 <> 1 THEN '2015-16' WHEN area_ha IS NOT NULL THEN '2020-21' ELSE '' END AS area_source_year
+           CASE WHEN area_ha IS NULL AND crop = 'building' AND n_nationkey % 3 <> 1 THEN '2015-16' WHEN area_ha IS NOT NULL THEN '2020-21' ELSE '' END AS area_source_year,
+           CASE WHEN area_ha IS NULL AND crop = 'building' AND n_nationkey % 3 <> 1 THEN 'Uses 2015-16 ABS fallback area (2011 SA2 ''Old ' || n_nationkey || ''', ratio=0.7500); 2020-21 building area not published (np)' ELSE '' END AS area_fallback_reason
     FROM crop_context JOIN (SELECT s_nationkey AS n_nationkey, count(*) * 100::DOUBLE AS est FROM supplier GROUP BY 1) USING (n_nationkey)""", ("crop_context",))
 def _(spark, sf):
+    cur = B.crop_context_df(spark, sf).select("sa2_code", "crop", "area_ha")
+    return joins.fallback_area(cur, *_earlier_areas(spark, sf), "building")
+
+
+def _earlier_areas(spark, sf):
+    """Correspondence with earlier regions, and their estimates."""
     r = B.regions_df(spark, sf)
-    corr = r.select("sa2_code", F.concat(F.lit("old_"), F.col("n_nationkey").cast("string")).alias("region_2011"), F.lit(1.0).alias("ratio"),
-                    F.when(F.col("n_nationkey") % 3 == 1, "Poor").otherwise("Good").alias("quality"))
+    # two overlaps each: with the own earlier region, and a smaller one with the next
+    n = F.explode(F.array(F.struct(F.col("n_nationkey").alias("old"), F.lit(0.75).alias("ratio")), F.struct(((F.col("n_nationkey") + 1) % 25).alias("old"), F.lit(0.25).alias("ratio"))))
+    corr = r.select("sa2_code", "n_nationkey", n.alias("o")).select(
+        "sa2_code", F.concat(F.lit("old_"), F.col("o.old").cast("string")).alias("region_2011"), F.concat(F.lit("Old "), F.col("o.old").cast("string")).alias("name_2011"), "o.ratio",
+        F.when(F.col("n_nationkey") % 3 == 1, "Poor").otherwise("Good").alias("quality"))
     earlier = B.table(spark, sf, "supplier").groupBy("s_nationkey").agg((F.count(F.lit(1)) * 100.0).alias("estimate")).select(
         F.concat(F.lit("old_"), F.col("s_nationkey").cast("string")).alias("region_2011"), "estimate")
-    cur = B.crop_context_df(spark, sf).select("sa2_code", "crop", "area_ha")
-    return joins.fallback_area(cur, corr, earlier, "building")
+    return corr, earlier
 
 
 @query("c18_universe_by_crops", """
@@ -692,16 +710,20 @@ def _(spark, sf):
            CASE WHEN n_nationkey % 5 <> 2 THEN 'matched' WHEN n_nationkey % 10 = 2 THEN 'matched_via_label' ELSE 'unmatched' END AS boundary_status,
            CASE WHEN n_nationkey % 5 <> 2 OR n_nationkey % 10 = 2 THEN area_ha END AS area_ha, CASE WHEN n_nationkey % 5 <> 2 OR n_nationkey % 10 = 2 THEN production_t END AS production_t,
            CASE WHEN n_nationkey % 5 <> 2 OR n_nationkey % 10 = 2 THEN area_ha / nullif(sum(area_ha) OVER (PARTITION BY sa2_code), 0) END AS area_share,
-           CASE WHEN n_nationkey % 5 = 2 AND n_nationkey % 10 <> 2 THEN 'SA2 not in boundary file; no census lookup' WHEN area_ha IS NULL THEN 'area suppressed; yield suppressed' ELSE 'yield suppressed' END AS notes
-    FROM crop_context WHERE crop IN ('building', 'machinery')""", ("crop_context",), ("area_share",))
+           CASE WHEN n_nationkey % 5 <> 2 OR n_nationkey % 10 = 2 THEN coalesce(area_ha, CASE WHEN fb THEN est END) END AS area_ha_for_weighting,
+           CASE WHEN fb THEN 'Uses 2015-16 ABS fallback area (2011 SA2 ''Old ' || n_nationkey || ''', ratio=0.7500); 2020-21 building area not published (np)' ELSE '' END AS area_fallback_reason,
+           CASE WHEN n_nationkey % 5 = 2 AND n_nationkey % 10 <> 2 THEN 'SA2 not in boundary file; no census lookup' WHEN fb THEN 'area suppressed; yield suppressed; area_ha_for_weighting from fallback'
+                WHEN area_ha IS NULL THEN 'area suppressed; yield suppressed' ELSE 'yield suppressed' END AS notes
+    FROM (SELECT *, area_ha IS NULL AND crop = 'building' AND n_nationkey % 3 <> 1 AND (n_nationkey % 5 <> 2 OR n_nationkey % 10 = 2) AS fb FROM crop_context)
+    LEFT JOIN (SELECT s_nationkey AS n_nationkey, count(*) * 100::DOUBLE AS est FROM supplier GROUP BY 1) USING (n_nationkey) WHERE crop IN ('building', 'machinery')""", ("crop_context",), ("area_share",))
 def _(spark, sf):
     n = F.col("n_nationkey")
     uni = B.regions_df(spark, sf).select(
         "sa2_name", F.substring("sa2_code", 1, 1).alias("state_digit"), F.when(n % 5 != 2, F.col("sa2_code")).alias("main_code"), "state_name")
     labels = B.regions_df(spark, sf).select(F.col("sa2_code").alias("region_code"), F.when((n % 5 == 2) & (n % 10 != 2), "elsewhere").otherwise(F.col("sa2_name")).alias("region_label"))
     crops = [(c, f"{c.upper()}_A", f"{c.upper()}_P", f"{c.upper()}_Y") for c in ("building", "machinery")]
-    out = RG.build_crop_context(uni, crops, _census(spark, sf), labels)
-    return out.select("main_code", "sa2_name", "crop", "boundary_status", "area_ha", "production_t", "area_share", "notes")
+    out = RG.build_crop_context(uni, crops, _census(spark, sf), labels, *_earlier_areas(spark, sf), fallback_crop="building")
+    return out.select("main_code", "sa2_name", "crop", "boundary_status", "area_ha", "production_t", "area_share", "area_ha_for_weighting", "area_fallback_reason", "notes")
 
 
 @query("i22_crop_context_for_events", """

@@ -111,11 +111,8 @@ _CENT = f"SELECT region, CAST(round((avg(y1) + 44) / 0.05) AS BIGINT) * {B.GRID_
         FROM (SELECT region, avg(y1) AS lat, avg(x1) AS lon FROM edges WHERE ring = 0 GROUP BY 1) c, cells q) WHERE rn = 1) USING (cell_id)
     UNION ALL SELECT region, year, month, {_ZONAL}, 'crop_weighted' FROM grid_month JOIN cw USING (cell_id) GROUP BY 1, 2, 3""", ("cropfrac", "edges", "grid_month"), ("mm",), WEIGHTS)
 def _(spark, sf):
-    grid = B.grid_month_df(spark, sf)
-    near = SP.nearest_site(SP.ring_centroid(B.edges_df(spark, sf)), B.cropfrac_df(spark, sf), "cell_id", "region", site_lat="lat", site_lon="lon")
-    centroid = grid.join(near.select("region", "cell_id"), "cell_id").select("region", "year", "month", "mm", F.lit("centroid").alias("method"))
-    weighted = SP.zonal_mean(grid, _weights(spark, sf)).select("region", "year", "month", "mm", F.lit("crop_weighted").alias("method"))
-    return centroid.unionByName(weighted)
+    table = SP.method_weights(B.edges_df(spark, sf), B.cropfrac_df(spark, sf), *GRID)
+    return SP.zonal_extract(B.grid_month_df(spark, sf), table).select("region", "year", "month", "mm", "method")
 
 
 _PART = ("part_m", "SELECT * FROM grid_daily WHERE year = 2001 AND month = 11 AND day <= (SELECT max(day) FROM grid_daily WHERE year = 2001 AND month = 11 AND mm IS NOT NULL)")
@@ -130,6 +127,20 @@ def _(spark, sf):
     return SP.partial_month_cells(part, False).join(whole, ["cell_id", "through_day"])
 
 
+@query("d41_partial_month_regions", """
+    SELECT region, 'centroid' AS method, mm AS rainfall_mm, CASE WHEN mm IS NULL THEN 'nodata' ELSE 'partial_month' END AS quality_flag, through_day
+    FROM sums JOIN (SELECT region, cell_id FROM (SELECT region, cell_id, row_number() OVER (PARTITION BY region ORDER BY sqrt(pow(c.lat - q.lat, 2) + pow(c.lon - q.lon, 2)), cell_id) AS rn
+        FROM (SELECT region, avg(y1) AS lat, avg(x1) AS lon FROM edges WHERE ring = 0 GROUP BY 1) c, cells q) WHERE rn = 1) USING (cell_id)
+    UNION ALL SELECT region, 'crop_weighted', sum(whole * weight)::DOUBLE / nullif(sum(weight) FILTER (whole IS NOT NULL), 0),
+      CASE WHEN bool_or(fallback) THEN 'cropfrac_centroid_fallback' ELSE 'ok' END, max(through_day) FROM (
+        SELECT *, CASE WHEN days = through_day THEN mm END AS whole FROM sums) JOIN cw USING (cell_id) GROUP BY region""", ("grid_daily", "cropfrac", "edges"), ("rainfall_mm",),
+       WEIGHTS + (_PART, ("sums", "SELECT cell_id, sum(mm) AS mm, count(mm) AS days, (SELECT max(day) FROM part_m) AS through_day FROM part_m GROUP BY 1")))
+def _(spark, sf):
+    table = SP.method_weights(B.edges_df(spark, sf), B.cropfrac_df(spark, sf), *GRID)
+    out = SP.partial_month_regions(B.grid_daily_df(spark, sf), table, 2001, 11)
+    return out.select("region", "method", "rainfall_mm", "quality_flag", F.col("partial_month_through_day").alias("through_day"))
+
+
 @query("a6_read_grid", "SELECT cell_id, year, mm FROM grid_month WHERE month = 5 AND year BETWEEN 1995 AND 2001", ("grid_month",))
 def _(spark, sf):
     return read_grid(B.grid_month_df(spark, sf), 5, 2001, 1995, 2000, check=False).select("cell_id", "year", "mm")

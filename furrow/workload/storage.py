@@ -106,6 +106,22 @@ def _(spark, sf):
     return Q.ingest_batch(_raw(spark, sf), 0.5).select("station_id", "date", "rainfall", "min_temp")
 
 
+@query("i6_ingest_to_table", """
+    SELECT station_id, date, CASE WHEN rainfall_quality IN (999, 35) THEN NULL ELSE rainfall END AS rainfall, CASE WHEN min_temp_quality IN (999, 35) THEN NULL ELSE min_temp END AS min_temp, kept AS accepted
+    FROM (SELECT *, station_id IN (SELECT station_id FROM (SELECT station_id, rainfall_completeness * CASE WHEN rainfall_synthetic_ratio > 0.2 THEN 0.7 ELSE 1 END * CASE WHEN rainfall_observed_ratio < 0.3 THEN 0.5 ELSE 1 END * 0.4
+      + min_temp_completeness * CASE WHEN min_temp_synthetic_ratio > 0.2 THEN 0.7 ELSE 1 END * CASE WHEN min_temp_observed_ratio < 0.3 THEN 0.5 ELSE 1 END * 0.3 AS score FROM ratios) WHERE score >= 0.5) AS kept FROM obs) WHERE kept
+    UNION ALL SELECT 'rejected', NULL, (SELECT count(*) FROM obs) - max(n), NULL, false FROM (SELECT count(*) AS n FROM obs WHERE station_id IN (SELECT station_id FROM (SELECT station_id, rainfall_completeness * CASE WHEN rainfall_synthetic_ratio > 0.2 THEN 0.7 ELSE 1 END * CASE WHEN rainfall_observed_ratio < 0.3 THEN 0.5 ELSE 1 END * 0.4
+      + min_temp_completeness * CASE WHEN min_temp_synthetic_ratio > 0.2 THEN 0.7 ELSE 1 END * CASE WHEN min_temp_observed_ratio < 0.3 THEN 0.5 ELSE 1 END * 0.3 AS score FROM ratios) WHERE score >= 0.5))""", ("obs",), (), SCORED[:1])
+def _(spark, sf):
+    path = scratch_path(spark, "ingest")
+    for run in ("r1", "r1"):  # the second run changes nothing
+        Q.ingest(_raw(spark, sf), f"{path}/table", f"{path}/quarantine", f"{path}/runs", run, "2026-01-01 00:00:00", 0.5)
+    kept = spark.read.parquet(f"{path}/table").select("station_id", "date", "rainfall", "min_temp", F.lit(True).alias("accepted"))
+    rejected = spark.read.parquet(f"{path}/quarantine").agg(F.count(F.lit(1)).cast("double").alias("rainfall")).select(
+        F.lit("rejected").alias("station_id"), F.lit(None).cast("date").alias("date"), "rainfall", F.lit(None).cast("double").alias("min_temp"), F.lit(False).alias("accepted"))
+    return kept.unionByName(rejected)
+
+
 def _at(text):
     return F.lit(text).cast("timestamp")
 
@@ -326,13 +342,22 @@ def _(spark, sf):
 
 
 @query("j6_late_data_replaces_date", """
-    SELECT station_id, d AS date, CASE WHEN d = DATE '2024-01-10' THEN v + 1 ELSE v END AS value FROM days""", (), ("value",), (_DAYS,))
+    SELECT station_id, d AS date, CASE WHEN d = (SELECT max(d) FROM days) THEN v * 2 WHEN d = (SELECT min(d) FROM days) THEN v + 1 ELSE v END AS value FROM days
+    WHERE d <> (SELECT min(d) FROM days) OR CAST(station_id AS BIGINT) % 2 = 0""", (), ("value",), (_DAYS,))
 def _(spark, sf):
     path = f"{sf}/events.parquet"
     daily = spark.read.parquet(path).groupBy(F.col("user_id").cast("string").alias("station_id"), F.to_date("ts").alias("date")).agg(F.sum("value").alias("value"))
-    table = scratch_path(spark, "late")
-    sinks.replace_dates(daily, table)
-    sinks.replace_dates(daily.where("date = DATE '2024-01-10'").withColumn("value", F.col("value") + 1), table)
+    landing, table, ledger = scratch_path(spark, "landing"), scratch_path(spark, "late"), scratch_path(spark, "ledger")
+    low, high = daily.agg(F.min("date"), F.max("date")).first()
+    all_days = daily.withColumn("ingested_at", _at("2026-01-01 00:00:00"))
+    newest = daily.where(F.col("date") == F.lit(high)).withColumn("value", F.col("value") * 2).withColumn("ingested_at", _at("2026-01-02 00:00:00"))
+    # far behind the watermark, and for half of the stations only: the other half leaves that date
+    oldest = daily.where((F.col("date") == F.lit(low)) & (F.col("station_id").cast("bigint") % 2 == 0)).withColumn("value", F.col("value") + 1).withColumn("ingested_at", _at("2026-01-03 00:00:00"))
+    for batch in (all_days, newest, oldest):
+        batch.coalesce(1).write.mode("append").parquet(landing)
+        stream = J.read_stream(spark, landing, all_days.schema, max_files=1)
+        # a new checkpoint each time: batches that the ledger knows are replayed and change nothing
+        J.start_late_data(stream, table, ledger, scratch_path(spark, "ckpt")).awaitTermination()
     return spark.read.parquet(table).select("station_id", "date", "value")
 
 

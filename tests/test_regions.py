@@ -171,6 +171,24 @@ def test_no_data_rows_enter_every_season_and_count_in_the_universe(spark):
     assert got[2025]["rainfall_total_apr_oct_mm_wt"] == 300.0 and got[2025]["excluded_no_data_sa2s"] == "C" and got[2025]["n_sa2s_insufficient_season"] == 1
 
 
+def test_totals_come_from_members(spark):
+    df = spark.createDataFrame([("A", "a", 1.0, 1.0), ("A", "a", 3.0, 3.0), ("A", "b", 10.0, 6.0), (None, "c", 5.0, 2.0), ("B", "d", None, 9.0)], "state string, sd string, v double, w double")
+    got = rows(WN.level_totals(df, ["state", "sd"], ["ALL", "all"], ["w"], {"mean": ("v", "w")}, ["v"], ["v"]), "state", "sd", "w", "mean", "min_v", "max_v")
+    assert ("A", "all", 10.0, 7.0, 1.0, 10.0) in got and ("A", "a", 4.0, 2.5, 1.0, 3.0) in got and ("ALL", "all", 21.0, 80 / 12, 1.0, 10.0) in got
+    assert ("B", "all", 9.0, None, None, None) in got and (None, "all", 2.0, 5.0, 5.0, 5.0) in got and len(got) == 8
+
+
+def test_fallback_area_says_from_where(spark):
+    from furrow.operators import joins
+    current = spark.createDataFrame([("r1", "wheat", None), ("r1", "oats", None), ("r2", "wheat", 7.0), ("r3", "wheat", None)], "sa2_code string, crop string, area_ha double")
+    corr = spark.createDataFrame([("r1", "o2", "Two", 0.4, "Good"), ("r1", "o1", "One", 0.4, "Good"), ("r1", "o0", "Nil", 0.9, "Poor"), ("r1", "o4", "Four", 0.8, "Good"), ("r3", "o9", "Nine", 1.0, "Good")],
+                                 "sa2_code string, region_2011 string, name_2011 string, ratio double, quality string")
+    earlier = spark.createDataFrame([("o0", 1.0), ("o1", 11.0), ("o2", 12.0), ("o4", None)], "region_2011 string, estimate double")
+    got = rows(joins.fallback_area(current, corr, earlier), "sa2_code", "crop", "area_ha_for_weighting", "area_fallback_reason")
+    reason = "Uses 2015-16 ABS fallback area (2011 SA2 'One', ratio=0.4000); 2020-21 wheat area not published (np)"
+    assert got == [("r1", "oats", None, ""), ("r1", "wheat", 11.0, reason), ("r2", "wheat", 7.0, ""), ("r3", "wheat", None, "")]
+
+
 def test_monthly_features_partial_month(spark):
     data = [("WA", "501021007", "X", 2026, m, 10.0, m == 5, 20 if m == 5 else None) for m in range(1, 6)] + [("WA", "501021007", "X", 2025, m, 5.0, False, None) for m in range(1, 13)]
     df = spark.createDataFrame(data, "state_name string, sa2_code string, sa2_name string, year int, month int, rainfall_mm double, is_partial_month boolean, partial_month_through_day int")

@@ -84,6 +84,16 @@ def test_zonal_means(spark):
     assert got["mm"] == 20.0 and got["fallback"]
 
 
+def test_partial_month_of_regions_by_method(spark):
+    daily = spark.createDataFrame([(c, 2026, 5, d, mm) for c, mms in ((1, (1.0, 2.0, 3.0, None)), (2, (5.0, None, 1.0, None)), (3, (None, None, None, None)), (4, (2.0, 2.0, 2.0, None)))
+                                   for d, mm in enumerate(mms, 1)], "cell_id long, year int, month int, day int, mm double")
+    table = spark.createDataFrame([("r", "centroid", 2, 1.0, False), ("r", "crop_weighted", 1, 0.5, False), ("r", "crop_weighted", 2, 0.5, False), ("r", "crop_weighted", 4, 0.25, False),
+                                   ("s", "centroid", 3, 1.0, False), ("s", "crop_weighted", 3, 1.0, True)], "region string, method string, cell_id long, weight double, fallback boolean")
+    got = rows(SP.partial_month_regions(daily, table, 2026, 5), "region", "method", "rainfall_mm", "n_cells", "quality_flag", "partial_month_through_day")
+    assert got == [("r", "centroid", 6.0, 1, "partial_month", 3), ("r", "crop_weighted", 6.0, 2, "ok", 3), ("s", "centroid", None, 0, "nodata", 3),
+                   ("s", "crop_weighted", None, 0, "cropfrac_centroid_fallback", 3)]
+
+
 def test_partial_month_missing_day(spark):
     daily = spark.createDataFrame([(1, 2026, 5, d, v) for d, v in ((1, 2.0), (2, None), (3, 4.0), (4, None))] + [(2, 2026, 5, d, 1.0) for d in (1, 2, 3)],
                                   "cell_id int, year int, month int, day int, mm double")

@@ -112,6 +112,49 @@ def test_blocks_in_list_form_and_other_months(spark):
                           (2, "prose coverage-day 18 does not match through_day 19"), (3, "live report must list 'inputs'")], key=repr)
 
 
+def test_late_rows_replace_their_date_and_replays_change_nothing(spark):
+    landing, table, ledger = scratch_path(spark, "land"), scratch_path(spark, "table"), scratch_path(spark, "ledger")
+    first = batch(spark, ("a", "2026-01-01", 1.0, "2026-02-01"), ("b", "2026-01-01", 2.0, "2026-02-01"), ("a", "2026-02-01", 3.0, "2026-02-01"), ("b", "2026-02-01", 4.0, "2026-02-01"))
+    second = batch(spark, ("a", "2026-02-01", 9.0, "2026-02-02"), ("a", "2026-02-02", 5.0, "2026-02-02"), ("b", "2026-01-01", 7.0, "2026-02-02"))
+    write = J.late_data_writer(table, ledger)
+    for number, rows_ in ((0, first), (1, second), (1, first), (0, second)):
+        write(rows_, number)
+    want = [("a", day("2026-02-01"), 9.0), ("a", day("2026-02-02"), 5.0), ("b", day("2026-01-01"), 7.0), ("b", day("2026-02-01"), 4.0)]
+    assert rows(spark.read.parquet(table), "station_id", "date", "rainfall") == want
+    first.coalesce(1).write.parquet(landing)
+    J.start_late_data(J.read_stream(spark, landing, first.schema), table, ledger, scratch_path(spark, "ckpt")).awaitTermination()
+    assert rows(spark.read.parquet(table), "station_id", "date", "rainfall") == want
+
+
+def test_first_event_log_without_events(spark):
+    path = scratch_path(spark, "log")
+    none = spark.createDataFrame([], "station_id string, date date, event_type string")
+    sinks.write_by_type(none, path, [day("2026-01-01")])
+    sinks.write_by_type(spark.createDataFrame([("a", day("2026-01-01"), "frost"), ("a", day("2026-01-02"), "frost")], none.schema), path, [day("2026-01-01"), day("2026-01-02")])
+    sinks.write_by_type(none, path, [day("2026-01-01")])
+    assert rows(spark.read.parquet(path).select("date")) == [(day("2026-01-02"),)]
+
+
+def test_ingest_reads_the_feed_once_and_ends_in_the_table(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    data = [("1", f"2026-01-{d:02d}", float(d), 0, 5.0, 0, 20.0, 0) for d in range(1, 11)] + [("2", f"2026-01-{d:02d}", 1.0, 999, 1.0, 999, 1.0, 999) for d in range(1, 5)]
+    schema = "station_id string, `YYYY-MM-DD` string, daily_rain double, daily_rain_source int, min_temp double, min_temp_source int, max_temp double, max_temp_source int"
+    raw = spark.createDataFrame(data, schema)
+    raw = raw.mapInArrow(counted, raw.schema)
+    path = scratch_path(spark, "ingest")
+    got = Q.ingest(raw, f"{path}/t", f"{path}/q", f"{path}/runs", "r1", "2026-01-11 00:00:00", 0.5)
+    assert got == {"records": 14, "accepted": 10, "stations": 1} and read.value == 14
+    Q.ingest(raw, f"{path}/t", f"{path}/q", f"{path}/runs", "r1", "2026-01-11 00:00:00", 0.5)
+    assert spark.read.parquet(f"{path}/t").count() == 10 and spark.read.parquet(f"{path}/q").count() == 4
+    assert rows(spark.read.parquet(f"{path}/runs"), "run_id", "stations", "records") == [("r1", 1, 10)] * 2
+
+
 def test_stream_rolling_equals_batch(spark):
     from furrow.operators.timeseries import rolling_totals
     data = [(s, day("2026-01-01") + dt.timedelta(i), float(i % 5)) for s in ("a", "b") for i in range(20) if not (s == "b" and i == 7)]
