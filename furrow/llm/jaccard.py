@@ -279,26 +279,31 @@ def _wanted(label: np.ndarray, points: np.ndarray, mine: np.ndarray, other: np.n
 
 def _small_blocks(blocks: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) across components in blocks of at most ``SMALL`` nodes, as the trees and count vectors allow."""
-    work = blocks.join(nodes.select("node", "groups"), "node")
+    # a pair belongs to the least of the blocks that both are in, so it comes out once; a node has no more blocks than prefix shingles
+    places = blocks.groupBy("node").agg(F.collect_list("sig").alias("sigs"))
+    work = blocks.join(nodes.select("node", "groups"), "node").join(places, "node")
     # a count vector takes about half a byte a shingle, and a row some more
     volume = blocks.agg(F.sum(F.least(F.lit(FINEST), F.col("n") / 2) + ROW_BYTES)).first()[0] or 0
     units = 1 + int(volume) // UNIT_BYTES
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         blobs = dict(zip(pdf["node"].tolist(), pdf["groups"], strict=True))
+        sigs = {n: frozenset(s.tolist()) for n, s in pdf.drop_duplicates("node")[["node", "sigs"]].itertuples(index=False)}
         found = [np.empty((0, 2), dtype=np.int64)]
-        for _, own in pdf.groupby("sig", sort=False):
+        for sig, own in pdf.groupby("sig", sort=False):
             node, label = own["node"].to_numpy(), own["label"].to_numpy()
             everywhere = np.ones(len(node), dtype=bool)
             points = np.stack([folded(_vector(g), COARSE) for g in own["groups"]])
             q, p = _wanted(label, points, everywhere, everywhere, percent)
-            found.append(np.stack((np.minimum(node[q], node[p]), np.maximum(node[q], node[p])), axis=1))
-        some = np.unique(np.concatenate(found), axis=0)
+            both = np.unique(np.stack((np.minimum(node[q], node[p]), np.maximum(node[q], node[p])), axis=1), axis=0)
+            first = [min(sigs[x] & sigs[y]) == sig for x, y in both.tolist()]
+            found.append(both[np.array(first, dtype=bool)])
+        some = np.concatenate(found)
         keep = [may_link(_vector(blobs[x]), _vector(blobs[y]), percent) for x, y in some.tolist()]
         return pd.DataFrame(some[np.array(keep, dtype=bool)], columns=["a", "b"])
 
     unit = F.pmod(F.xxhash64("sig"), F.lit(units)).alias("unit")
-    return work.select(unit, "sig", "node", "label", "groups").groupBy("unit").applyInPandas(pairs, "a bigint, b bigint").distinct()
+    return work.select(unit, "sig", "node", "label", "groups", "sigs").groupBy("unit").applyInPandas(pairs, "a bigint, b bigint")
 
 
 def shared_shingles(a: list[np.ndarray], b: list[np.ndarray], step: int = 4096) -> np.ndarray:
