@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +55,11 @@ def in_order(df: DataFrame, order: list[Column], name: str, n: int | None = None
     return kept(ranged, name)
 
 
+def release() -> None:
+    """Hand memory that Arrow keeps for later use back to the system, at the end of a task; Python workers are reused."""
+    pa.default_memory_pool().release_unused()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values (the public splitmix finaliser)."""
     x = x.astype(np.uint64, copy=True)

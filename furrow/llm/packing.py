@@ -12,13 +12,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import kept, query, span_hashes, table
+from furrow.llm.common import kept, query, release, span_hashes, table
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 2048
 END_ID = 0
 PIECES_A_GROUP = 4096
-BATCH_CHARACTERS = 1 << 20
+BATCH_CHARACTERS = 1 << 21
 
 # texts of these characters only, without runs of white space, fall into pieces that are encoded alone
 _ODD = re.compile("[^\n -~À-ÖØ-öø-ɏ]")
@@ -141,6 +141,8 @@ def token_pieces(text: Column, path: str | None = None, capacity: int = CAPACITY
                 crcs[-1] = zlib.crc32(end, crcs[-1])  # the end id closes the last piece
                 out.append([{"start": s, "length": n, "ids_crc32": c} for (s, n), c in zip(parts, crcs, strict=True)])
             yield pd.Series(out)
+            del out, texts
+            release()
 
     return pieces(text)
 
