@@ -18,7 +18,7 @@ TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 2048
 END_ID = 0
 PIECES_A_GROUP = 4096
-BATCH_CHARACTERS = 1 << 21
+BATCH_CHARACTERS = 1 << 22  # tokenised at once; fewer take less memory and more time, the result is the same
 
 # texts of these characters only, without runs of white space, fall into pieces that are encoded alone
 _ODD = re.compile("[^\n -~À-ÖØ-öø-ɏ]")
@@ -49,11 +49,12 @@ class Encoder:
     to ``tokenizers`` whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, batch_characters: int = BATCH_CHARACTERS):
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
 
+        self.batch_characters = batch_characters
         self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -74,7 +75,7 @@ class Encoder:
         at = 0
         while at < len(texts):
             start, size = at, 0
-            while at < len(texts) and (at == start or size < BATCH_CHARACTERS):
+            while at < len(texts) and (at == start or size < self.batch_characters):
                 size += len(texts[at] or "")
                 at += 1
             yield from self._chunk(texts[start:at])
@@ -127,12 +128,12 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
-def token_pieces(text: Column, path: str | None = None, capacity: int = CAPACITY) -> Column:
+def token_pieces(text: Column, path: str | None = None, capacity: int = CAPACITY, batch_characters: int = BATCH_CHARACTERS) -> Column:
     """Array of (start, length, ids_crc32) of a text's pieces; the end id closes every text, null is empty."""
 
     @F.pandas_udf("array<struct<start:bigint,length:bigint,ids_crc32:bigint>>")
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode, end = Encoder(path or tokenizer_path()), END_ID.to_bytes(4, "little")
+        encode, end = Encoder(path or tokenizer_path(), batch_characters), END_ID.to_bytes(4, "little")
         for texts in batches:
             out = []
             for ids in encode(texts.tolist()):
@@ -221,14 +222,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, pieces_a_group: int = PIEC
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
-                   capacity: int = CAPACITY) -> DataFrame:
+                   capacity: int = CAPACITY, batch_characters: int = BATCH_CHARACTERS) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset``: every input row's pieces and their places.
 
     Null and empty texts are the end id alone. Equal rows and rows that repeat an id are packed one by one; null ids are
     kept. Texts longer than ``capacity`` ids are cut, the first piece taking what is left over.
     """
     pieces = kept(  # ids travel as text: null ones would turn a batch's whole numbers into floats
-        docs.select(F.col(id_col).cast("string").alias("doc_id"), token_pieces(F.col(text_col), path, capacity).alias("_pieces"))
+        docs.select(F.col(id_col).cast("string").alias("doc_id"), token_pieces(F.col(text_col), path, capacity, batch_characters).alias("_pieces"))
         .select("doc_id", F.posexplode("_pieces").alias("piece", "_p"))
         .select("doc_id", "piece", "_p.start", "_p.length", "_p.ids_crc32", F.monotonically_increasing_id().alias("uid")), "pieces")
     return pack(pieces, capacity).drop("uid").withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
