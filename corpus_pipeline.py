@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences."""
-    return pack_documents(docs)
+    return pack_documents(docs, batch_characters=1 << 20)  # workers still hold what the stages before left
 
 
 STAGES: list[tuple[str, Stage]] = [
