@@ -14,6 +14,7 @@ from pyspark.sql.window import Window as W
 
 from furrow.functions import ranks as R
 from furrow.functions import scalar as S
+from furrow.session import stored
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str = "rows") -> DataFrame:
@@ -164,9 +165,9 @@ def weighted_deciles(history: DataFrame, weights: DataFrame, on: Sequence[str] =
     universe = usable.groupBy(*scope).agg(F.sum(weight).alias("universe_area"), F.count(F.lit(1)).alias("n_universe"))
     rows = history.join(usable.select(*dict.fromkeys([*on, *scope]), weight), list(dict.fromkeys([*on, *scope])))
     key = [*scope, "month"]
-    # one row per region and month with its years as an array: built once, read by both branches below
-    per_region = rows.groupBy(*key, region, F.col(weight).alias("_w")).agg(F.collect_list(F.struct(
-        "year", F.col(value).alias("v"), F.coalesce("is_partial_month", F.lit(False)).alias("p"))).alias("_years"))
+    # one row per region and month with its years as an array: stored, for both branches below read it
+    per_region = stored(rows.groupBy(*key, region, F.col(weight).alias("_w")).agg(F.collect_list(F.struct(
+        "year", F.col(value).alias("v"), F.coalesce("is_partial_month", F.lit(False)).alias("p"))).alias("_years")), "region-years")
     years = per_region.select(*key, region, "_w", F.explode("_years").alias("y"))
     v, w = F.col("y.v"), F.col("_w")
     has = v.isNotNull()

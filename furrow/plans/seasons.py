@@ -13,6 +13,7 @@ from furrow.operators import joins, sets
 from furrow.operators.aggregates import aggregate_to_region, season_features_monthly, weighted_mean
 from furrow.operators.ranking import weighted_deciles
 from furrow.operators.timeseries import season_features
+from furrow.session import stored
 
 
 def station_season_regions(obs: DataFrame, station_map: DataFrame, min_coverage: float = 0.8, region: str = "sa2_code") -> DataFrame:
@@ -48,9 +49,12 @@ def join_crop_context(features: DataFrame, crops: DataFrame) -> DataFrame:
 
 
 def weighted_summary(joined: DataFrame, crop: str = "wheat", weight: str = "area_ha_for_weighting",
-                     metrics: Sequence[str] = P.WEIGHTED_METRICS) -> DataFrame:
-    """One row per state and season: eligibility counts, area coverage, weighted metrics, name lists."""
-    rows = sets.replicate_into_seasons(joined.where(F.col("crop") == crop), "rainfall_feature_quality_flag", "season_year", ["state"])
+                     metrics: Sequence[str] = P.WEIGHTED_METRICS, source_year: str = "2015-16", base_year: str = "2020-21") -> DataFrame:
+    """One row per state and season: eligibility counts, area coverage, weighted metrics, name lists, fallback caveat.
+
+    The crop's joined rows are stored: seasons, rows with a season and rows without one are all read from them.
+    """
+    rows = sets.replicate_into_seasons(stored(joined.where(F.col("crop") == crop), "crop-seasons"), "rainfall_feature_quality_flag", "season_year", ["state"])
     flag, w = F.col("rainfall_feature_quality_flag"), F.col(weight)
     complete = flag.isin(*P.COMPLETE_FLAGS)
     eligible = complete & w.isNotNull()
@@ -69,8 +73,10 @@ def weighted_summary(joined: DataFrame, crop: str = "wheat", weight: str = "area
         names(flag == "no_data").alias("excluded_no_data_sa2s"), names(complete & w.isNull()).alias("excluded_complete_no_area_sa2s"),
         names(fallback).alias("fallback_area_sa2s"),
     )
+    caveat = F.format_string(f"Uses {source_year} ABS fallback area for %s because {base_year} {crop} area was not published.", "fallback_area_sa2s")
     return (
-        out.withColumn("total_area_ha", F.when(F.col("_eligible") > 0, F.col("_eligible")))
+        out.withColumn("area_fallback_caveat", F.when(F.col("fallback_area_sa2s") == "", "").otherwise(caveat))
+        .withColumn("total_area_ha", F.when(F.col("_eligible") > 0, F.col("_eligible")))
         .withColumn("mapped_area_ha", F.when(F.col("_mapped") > 0, F.col("_mapped")))
         .withColumn("coverage_share", F.coalesce("_eligible", F.lit(0.0)) / F.when(F.col("_mapped") > 0, F.col("_mapped")))
         .withColumn("crop", F.lit(crop)).drop("_eligible", "_mapped")

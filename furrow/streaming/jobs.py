@@ -6,15 +6,21 @@ shared folder and a lost executor only repeats its tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from furrow.functions import scalar as S
 from furrow.operators.sets import keep_last
 from furrow.session import scratch_path, stored
 from furrow.sources.sinks import last_wins, merge_dates, path_exists, replace_dates, upsert
 
+DAY_MS = 86_400_000
+
 
 def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
@@ -108,11 +114,75 @@ def runs(stream: DataFrame, delay: str = "2 days") -> DataFrame:
                     (F.datediff("_b", "_a") + 1).alias("run_length")))
 
 
+def _merged(runs: list[tuple[int, int, bool]]) -> list[tuple[int, int, bool]]:
+    """Runs (first day, last day, changed) that touch or overlap made one."""
+    out: list[tuple[int, int, bool]] = []
+    for first, last, changed in sorted(runs):
+        if out and first <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], last), out[-1][2] or changed)
+        else:
+            out.append((first, last, changed))
+    return out
+
+
+def _advance(key: tuple, chunks: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Take a station's new nights into its runs and give all nights of the runs that changed.
+
+    The state keeps the runs a night may still reach; a timer at the oldest one's end wakes stations without new nights.
+    """
+    runs = [(a, b, False) for a, b in zip(*state.get)] if state.exists else []
+    for chunk in chunks:
+        if len(chunk):
+            runs = _merged(runs + [(int(d), int(d), True) for d in chunk["day"].unique()])
+    for first, last, changed in runs:
+        if changed:
+            n = last - first + 1
+            yield pd.DataFrame({"station_id": key[0], "date": pd.to_datetime(range(first, last + 1), unit="D").date,
+                                "run_position": range(1, n + 1), "run_length": n})
+    watermark = state.getCurrentWatermarkMs()
+    still = [(a, b) for a, b, _ in runs if (b + 1) * DAY_MS >= watermark]
+    if still:
+        state.update(([a for a, _ in still], [b for _, b in still]))
+        state.setTimeoutTimestamp((min(b for _, b in still) + 2) * DAY_MS)
+    elif state.exists:
+        state.remove()
+
+
+def run_positions(stream: DataFrame, delay: str = "2 days") -> DataFrame:
+    """Position and length of every event night in its run, open runs included; an update stream.
+
+    A batch gives all nights of the runs it changed, so each night's last version equals the batch form's numbers after every
+    batch. Rows without station or time are left out, repeats of a night count once, and nights behind the watermark are dropped.
+    A station's state is bounded by the runs that end within ``delay`` of the newest night.
+    """
+    day = stream.where(F.col("station_id").isNotNull() & F.col("event_time").isNotNull()).select(
+        "station_id", F.date_trunc("day", "event_time").alias("event_time"))
+    nights = day.withWatermark("event_time", delay).withColumn("day", F.unix_date(F.col("event_time").cast("date")))
+    return nights.groupBy("station_id").applyInPandasWithState(
+        _advance, "station_id string, date date, run_position int, run_length bigint", "starts array<int>, ends array<int>", "update",
+        GroupStateTimeout.EventTimeTimeout)
+
+
 def freshness(stream: DataFrame, region: str = "region") -> DataFrame:
     """Newest observation per region; run in complete mode and compare with the cutoff."""
     return stream.groupBy(region).agg(F.max("event_time").cast("date").alias("max_obs_date"))
 
 
+def append_updates(result: DataFrame, out: str, checkpoint: str) -> None:
+    """Run an update stream over all input not seen yet; each batch's rows go to a folder of its number, so a replay rewrites them."""
+    def write(batch: DataFrame, i: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={i}")
+
+    (result.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("update")
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+def latest_versions(result: DataFrame, out: str, keys: tuple[str, ...]) -> DataFrame:
+    """Each key's last version among the files of ``append_updates``."""
+    versions = result.sparkSession.read.option("basePath", out).parquet(out)
+    return keep_last(versions, keys, [F.desc("batch")]).select(*result.columns)
+
+
 def run_to_files(result: DataFrame, name: str, mode: str = "append", keys: tuple[str, ...] = ()) -> DataFrame:
     """Run a stream over all available input and return its output as a batch frame.
 

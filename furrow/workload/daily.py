@@ -352,7 +352,7 @@ def _(spark, sf):
 @query("d32_monthly_event_matrix", "SELECT CAST(month(date) AS INT) AS month, " + ", ".join(f"count(*) FILTER (event_type = '{t}') AS {t}" for t in D.EVENT_TYPES)
        + ", count(*) AS total FROM ev WHERE year(date) = 1998 GROUP BY ROLLUP (CAST(month(date) AS INT))", ("dense_obs",), (), EVENTS)
 def _(spark, sf):
-    return D.monthly_matrix(events(spark, sf), 1998)
+    return D.monthly_matrix(E.detect_events(B.dense_obs_df(spark, sf), "1998-01-01", "1998-12-31"), 1998)
 
 
 @query("d33_peak_events", """

@@ -393,10 +393,12 @@ SUMMARY_SQL = f"""SELECT state, CAST(season_year AS INT) AS season_year, count(*
     {', '.join(f"sum({m} * w) FILTER (comp AND w > 0) / nullif(sum(w) FILTER (comp AND w > 0 AND {m} IS NOT NULL), 0) AS {m}_wt" for m in _METRICS)},
     coalesce(string_agg(sa2_name, '; ' ORDER BY sa2_name) FILTER (comp AND w IS NOT NULL), '') AS eligible_sa2s,
     coalesce(string_agg(sa2_name, '; ' ORDER BY sa2_name) FILTER (rainfall_feature_quality_flag = 'no_data'), '') AS excluded_no_data_sa2s,
-    coalesce(string_agg(sa2_name, '; ' ORDER BY sa2_name) FILTER (comp AND w IS NOT NULL AND area_is_fallback), '') AS fallback_area_sa2s
+    coalesce(string_agg(sa2_name, '; ' ORDER BY sa2_name) FILTER (comp AND w IS NOT NULL AND area_is_fallback), '') AS fallback_area_sa2s,
+    coalesce('Uses 2015-16 ABS fallback area for ' || string_agg(sa2_name, '; ' ORDER BY sa2_name) FILTER (comp AND w IS NOT NULL AND area_is_fallback)
+             || ' because 2020-21 building area was not published.', '') AS area_fallback_caveat
   FROM tag GROUP BY 1, 2"""
 _SUMM_COLS = ("state", "season_year", "n_sa2s_universe", "n_sa2s_complete", "n_sa2s_eligible", "n_sa2s_insufficient_season", "n_sa2s_no_data", "n_sa2s_complete_no_area", "coverage_share",
-              "mapped_area_ha", *[f"{m}_wt" for m in _METRICS], "eligible_sa2s", "excluded_no_data_sa2s", "fallback_area_sa2s")
+              "mapped_area_ha", *[f"{m}_wt" for m in _METRICS], "eligible_sa2s", "excluded_no_data_sa2s", "fallback_area_sa2s", "area_fallback_caveat")
 _SUMM_ROUND = ("coverage_share", *[f"{m}_wt" for m in _METRICS])
 
 

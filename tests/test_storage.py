@@ -174,3 +174,30 @@ def test_stream_ingest_drops_repeats(spark):
     for _ in range(2):
         J.start_ingest(J.deduplicated(J.read_stream(spark, landing, b.schema)), table, scratch_path(spark, "ckpt")).awaitTermination()
     assert rows(spark.read.parquet(table), "station_id", "rainfall") == [("a", 1.0), ("b", 2.0)]
+
+
+def test_positions_in_open_runs_after_every_delivery(spark):
+    from furrow.operators.timeseries import consecutive_runs
+    schema = "station_id string, event_time timestamp"
+    at = lambda s, d: (s, dt.datetime.fromisoformat(d + "T05:00:00"))
+    deliveries = [
+        [at("a", "2026-05-01"), at("a", "2026-05-02"), at("a", "2026-05-02"), at("b", "2026-05-02"), (None, None)],
+        [at("a", "2026-05-03"), at("b", "2026-05-04")],  # goes on with an open run; leaves a gap
+        [at("b", "2026-05-03"), at("a", "2026-05-09")],  # fills that gap within the delay
+        [at("c", "2026-05-20")],
+        [],
+    ]
+    landing, out, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "positions"), scratch_path(spark, "ckpt")
+    seen = []
+    for new in deliveries:
+        seen += [r for r in new if r[0]]
+        spark.createDataFrame(new, schema).coalesce(1).write.mode("append").parquet(landing)
+        stream = J.run_positions(J.read_stream(spark, landing, spark.createDataFrame([], schema).schema))
+        J.append_updates(stream, out, checkpoint)
+        nights = spark.createDataFrame(seen, schema).select("station_id", F.to_date("event_time").alias("date")).distinct()
+        want = consecutive_runs(nights).select("station_id", "date", "run_position", "run_length")
+        assert rows(J.latest_versions(stream, out, ("station_id", "date"))) == rows(want)
+    # far behind the watermark: dropped, and the closed run stays as it was
+    spark.createDataFrame([at("a", "2026-05-04")], schema).coalesce(1).write.mode("append").parquet(landing)
+    J.append_updates(J.run_positions(J.read_stream(spark, landing, spark.createDataFrame([], schema).schema)), out, checkpoint)
+    assert rows(J.latest_versions(stream, out, ("station_id", "date"))) == rows(want)
