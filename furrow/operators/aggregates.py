@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from furrow import params as P
 from furrow.functions import scalar as S
+from furrow.session import stored
 
 MEASURES = ("min_temp", "max_temp", "rainfall")
 
@@ -163,22 +166,30 @@ def aggregate_to_region(station_features: DataFrame, station_map: DataFrame, min
         F.coalesce("in_crop_coverage_ratio", F.lit(0.0)), "is_in_progress", min_coverage)).drop("is_in_progress")
 
 
+_CODES = {"observed": P.OBSERVED_CODES, "interpolated": P.INTERPOLATED_CODES, "synthetic": (P.SYNTHETIC_CODE,), "missing": (P.MISSING_CODE,)}
+
+
+def code_counts(variables: Iterable[str] = MEASURES) -> list[Column]:
+    """Rows, and rows of each kind of code for each variable, as aggregates."""
+    return [F.count(F.lit(1)).alias("record_count")] + [
+        F.count_if(F.col(f"{v}_quality").isin(*codes)).alias(f"{v}_{kind}_n") for v in variables for kind, codes in _CODES.items()]
+
+
+def code_ratios(counts: DataFrame, variables: Iterable[str] = MEASURES, rules: P.QualityRules = P.QualityRules()) -> DataFrame:
+    """``code_counts`` turned into shares of the rows, with the completeness of each variable."""
+    counted, cols = [f"{v}_{kind}_n" for v in variables for kind in _CODES], []
+    for v in variables:
+        share = {kind: F.col(f"{v}_{kind}_n") / F.col("record_count") for kind in _CODES}
+        cols += [share[kind].alias(f"{v}_{kind}_ratio") for kind in _CODES]
+        cols.append((share["observed"] + share["interpolated"] if rules.accept_interpolated else share["observed"]).alias(f"{v}_completeness"))
+    return counts.select(*[c for c in counts.columns if c not in counted], *cols)
+
+
 def quality_ratios(obs: DataFrame, variables: Iterable[str] = MEASURES, station: str = "station_id",
                    rules: P.QualityRules = P.QualityRules()) -> DataFrame:
     """Share of observed, interpolated, synthetic and missing codes per station and variable."""
-    n = F.count(F.lit(1))
-    cols = [n.alias("record_count")]
-    for v in variables:
-        q = F.col(f"{v}_quality")
-        share = lambda cond: F.count_if(cond) / n
-        observed, interpolated = share(q.isin(*P.OBSERVED_CODES)), share(q.isin(*P.INTERPOLATED_CODES))
-        cols += [
-            observed.alias(f"{v}_observed_ratio"), interpolated.alias(f"{v}_interpolated_ratio"),
-            share(q == P.SYNTHETIC_CODE).alias(f"{v}_synthetic_ratio"),
-            share(q == P.MISSING_CODE).alias(f"{v}_missing_ratio"),
-            (observed + interpolated if rules.accept_interpolated else observed).alias(f"{v}_completeness"),
-        ]
-    return obs.groupBy(station).agg(*cols)
+    variables = list(variables)
+    return code_ratios(obs.groupBy(station).agg(*code_counts(variables)), variables, rules)
 
 
 def confidence_score(ratios: DataFrame, variables: Iterable[str] = MEASURES,
@@ -270,49 +281,55 @@ def freshness_verdict(fresh: DataFrame) -> DataFrame:
                      F.when((n > 0) & (ok == n), "PASS").otherwise("FAIL").alias("verdict"))
 
 
-def order_statistic(df: DataFrame, value: str, rank: int, buckets: int = 4096) -> float:
-    """The ``rank``-th smallest value (0-based) of a column, by narrowing bucket counts.
+def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float] = (0.5,), by: Sequence[str] = (), buckets: int = 4096) -> DataFrame:
+    """Exact quantiles of every group, between neighbours by their distance: ``by``, ``n`` and the array ``quantiles``.
 
-    NULL and NaN are missing; infinities are the ends of the order. Every round aggregates the values
-    still in question into equal-width buckets and keeps the one that holds the rank; at most
-    ``buckets`` rows reach the driver and no values are gathered.
+    NULL and NaN are missing, infinities are the ends of the order, NULL keys are a group; groups without values have no
+    row. No group is gathered or sorted: every wanted rank of every group is a range of values, and a round counts all
+    ranges' values in equal-width buckets, in one pass, and narrows each range to the values of the bucket that holds its
+    rank, until all ranges are single values. The ends of a range have buckets of their own, so every round narrows it.
     """
-    v = F.col(value).cast("double")
-    end = float("inf")
-    data = df.where(v.isNotNull() & ~F.isnan(v)).select(v.alias("v"))
-    finite = (F.col("v") > -end) & (F.col("v") < end)
-    span = data.agg(F.count_if(F.col("v") == -end).alias("low"), F.count_if(finite).alias("n"),
-                    F.min(F.when(finite, F.col("v"))).alias("lo"), F.max(F.when(finite, F.col("v"))).alias("hi")).first()
-    if rank < span["low"]:
-        return -end
-    rank -= span["low"]
-    if rank >= span["n"]:
-        return end
-    lo, hi = span["lo"], span["hi"]
-    while lo < hi:
-        width = hi / buckets - lo / buckets or hi - lo
-        bucket = F.least(F.lit(float(buckets)), F.col("v") / width - lo / width).cast("int").alias("b")
-        rows = (data.where(F.col("v").between(lo, hi)).groupBy(bucket)
-                .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
-        before = lo, hi
-        for row in sorted(rows, key=lambda r: r["lo"]):
-            if rank < row["c"]:
-                lo, hi = row["lo"], row["hi"]
-                break
-            rank -= row["c"]
-        if (lo, hi) == before:
-            raise ArithmeticError(f"buckets between {lo} and {hi} do not separate the values")
-    return lo
+    key = F.struct(*(by or [F.lit(0).alias("_all")]))
+    number = F.col(value).cast("double")
+    data = stored(df.where(number.isNotNull() & ~F.isnan(number)).select(key.alias("_g"), number.alias("_v")), "values")
+    position = [(F.col("n") - 1) * q for q in quantiles]
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in position])))
+    places = (data.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+              .withColumn("_rank", F.explode(ranks)).withColumn("_left", F.col("_rank")))
+    most = sys.float_info.max
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    low = F.greatest(lo, F.lit(-most)) / 2  # halves, so that no difference overflows
+    part = (v / 2 - low) / F.nullif(F.least(hi, F.lit(most)) / 2 - low, F.lit(0.0))
+    inner = F.least(F.coalesce(F.floor(part * (buckets - 2)), F.lit(0)), F.lit(buckets - 3)) + 1
+    bucket = F.when(v == hi, buckets).when(v == lo, 0).otherwise(inner).alias("_b")
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("_g", "_lo", "_hi")]
+    order = W.partitionBy("_g", "_lo", "_hi").orderBy("_b").rowsBetween(W.unboundedPreceding, 0)  # a row a bucket
+    while True:
+        places = stored(places.select("_g", "n", "_rank", "_left", "_lo", "_hi"), "ranks")
+        open_ = places.where("_lo < _hi")
+        if open_.isEmpty():
+            break
+        ranges = open_.select(F.col("_g").alias("_h"), "_lo", "_hi").distinct()
+        counts = (data.join(ranges, F.col("_g").eqNullSafe(F.col("_h")) & v.between(lo, hi)).groupBy("_g", "_lo", "_hi", bucket)
+                  .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+                  .withColumn("_upto", F.sum("_c").over(order)))
+        begin = F.col("t._upto") - F.col("t._c")
+        holds = (F.col("s._left") >= begin) & (F.col("s._left") < F.col("t._upto"))
+        narrowed = open_.alias("s").join(counts.alias("t"), [*same, holds]).select(
+            "s._g", "s.n", "s._rank", (F.col("s._left") - begin).alias("_left"), F.col("t._least").alias("_lo"), F.col("t._most").alias("_hi"))
+        places = places.where("_lo >= _hi").unionByName(narrowed)
+    found = places.groupBy("_g", "n").agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_lo"))).alias("_at"))
+    values = []
+    for p in position:
+        a, b, f = F.element_at("_at", F.floor(p)), F.element_at("_at", F.ceil(p)), p - F.floor(p)
+        values.append(F.when(a == b, a).otherwise(a * (1 - f) + b * f))
+    return found.select(*[F.col(f"_g.`{c}`").alias(c) for c in by], "n", F.array(*values).alias("quantiles"))
 
 
 def exact_median(df: DataFrame, value: str) -> float | None:
     """Exact median of a numeric column over a whole table; NULL and NaN are missing."""
-    v = F.col(value).cast("double")
-    n = df.where(v.isNotNull() & ~F.isnan(v)).count()
-    if n == 0:
-        return None
-    mid = [order_statistic(df, value, r) for r in sorted({(n - 1) // 2, n // 2})]
-    return mid[0] if mid[0] == mid[-1] else sum(mid) / len(mid)
+    row = exact_quantiles(df, value).first()
+    return row["quantiles"][0] if row else None
 
 
 def landuse_area(pixels: DataFrame, keys: Sequence[str], area: str = "area_ha") -> DataFrame:

@@ -44,6 +44,11 @@ def led_join(left: DataFrame, right: DataFrame, on: str, flag: str, renamed: str
     return out.withColumn(renamed, F.coalesce(flag, F.lit("no_data"))).drop(flag)
 
 
+def weighted_measure(facts: DataFrame, weights: DataFrame, on: Sequence[str], value: str, weight: str, name: str) -> DataFrame:
+    """Facts that have a weight, with value times weight."""
+    return facts.join(weights.select(*on, weight), list(on)).withColumn(name, F.col(value) * F.col(weight)).drop(weight)
+
+
 def bridge(facts: DataFrame, concordance: DataFrame, areas: DataFrame, key: str = "sa2_code",
            area: str = "area", strict: bool = True) -> DataFrame:
     """Split-allocation bridge: weight = allocation ratio x area, an unknown area counting as 0.

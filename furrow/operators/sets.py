@@ -42,3 +42,30 @@ def override_universe(base: DataFrame, override: DataFrame, scope: str) -> DataF
     """Rows of the override, plus base rows whose scope the override does not cover."""
     rest = base.join(override.select(scope).distinct(), scope, "left_anti")
     return override.unionByName(rest)
+
+
+def append_current(history: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of the running year after those of the years before, by name; no row is merged or dropped."""
+    return history.select(*columns).unionByName(current.select(*columns))
+
+
+def membership(df: DataFrame, targets: DataFrame, key: str, labels=("in_target", "outside"), name: str = "side") -> DataFrame:
+    """Rows labelled by whether their key is among the targets' keys, in one join; a NULL key is outside."""
+    known = targets.select(F.col(key).alias("_key")).distinct()
+    return df.join(known, F.col(key) == F.col("_key"), "left").withColumn(
+        name, F.when(F.col("_key").isNotNull(), labels[0]).otherwise(labels[1])).drop("_key")
+
+
+def with_every(universe: DataFrame, facts: DataFrame, keys: Sequence[str], column: str, values: Sequence[str]) -> DataFrame:
+    """Facts of each key of the universe for every one of a few values, NULL where there are none; other facts go."""
+    grid = universe.select(*keys).distinct().withColumn(column, F.explode(F.array(*[F.lit(v) for v in values])))
+    return grid.join(facts, [*keys, column], "left")
+
+
+def tiers(df: DataFrame, value: str, floors: dict[str, float], rest: str, keep: Sequence[str] | None = None, name: str = "tier") -> DataFrame:
+    """Rows with the name of the highest floor they reach, else ``rest``; only the tiers to keep, if given."""
+    tier = F.lit(rest)
+    for label, floor in sorted(floors.items(), key=lambda f: f[1]):
+        tier = F.when(F.col(value) >= floor, label).otherwise(tier)
+    out = df.withColumn(name, tier)
+    return out if keep is None else out.where(F.col(name).isin(*keep))

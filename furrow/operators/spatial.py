@@ -17,6 +17,7 @@ from furrow import params as P
 from furrow.functions import scalar as S
 from furrow.functions.scalar import planar_distance
 from furrow.operators.aggregates import weighted_mean
+from furrow.operators.topk import first_n
 from furrow.session import stored
 
 # Ways to take a region's rainfall from a grid.
@@ -302,7 +303,7 @@ def gap_grid(bounds: DataFrame, res: float, edges: DataFrame | None, sites: Data
     if edges is not None:
         pts = pts.join(points_in_polygons(pts, edges).select("point_id").distinct(), "point_id", "left_semi")
     pts = far_from(pts, sites, radius)
-    return pts.orderBy("lat", "lon").limit(limit) if limit else pts
+    return first_n(pts, ["lat", "lon", "point_id"], limit) if limit is not None else pts
 
 
 def cropland_fraction(pixels: DataFrame, fine: str = "fine_cell", coarse: str = "cell_id", code: str = "code") -> DataFrame:

@@ -21,6 +21,17 @@ def both_ends(df: DataFrame, keys: Sequence[str], by: Sequence[str], k: int, lab
     return low.unionByName(high)
 
 
+def extremes(df: DataFrame, keys: Sequence[str], by: Sequence[str], name: str, labels=("driest", "wettest")) -> DataFrame:
+    """Name of each group's lowest and highest row by several columns in turn, then by the name; folds on the map side."""
+    order = F.struct(*by, name)
+    return df.groupBy(*keys).agg(F.min_by(name, order).alias(labels[0]), F.max_by(name, order).alias(labels[1]))
+
+
+def first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first n rows of a fixed order; every task keeps n."""
+    return df.orderBy(*order).limit(n)
+
+
 def extremes_of_largest(df: DataFrame, keys: Sequence[str], size: str, by: str, tie: str, k: int = 8) -> DataFrame:
     """Among each group's k largest rows, the lowest and the highest by another column."""
     large = top_k(df, keys, [F.desc(size), F.asc(tie)], k, "_k")

@@ -3,16 +3,63 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from furrow.functions import scalar as S
 from furrow.operators import joins
 from furrow.operators.topk import top_k
+from furrow.session import stored
 
 EVENT_TYPES = ("frost", "heat", "rainfall", "development_rain", "seeding_rain")
 SEEDING_ORDER = {"adequate": 0, "marginal": 1, "marginal_low": 2, "inadequate": 3}
 
 
+def in_year(events: DataFrame, year: int) -> DataFrame:
+    """Events of a calendar year, by a range of the date itself, which a scan can skip files by."""
+    return events.where(F.col("date").between(F.lit(f"{year}-01-01").cast("date"), F.lit(f"{year}-12-31").cast("date")))
+
+
+def daily_digest(events: DataFrame, stations: DataFrame) -> DataFrame:
+    """Events by type, stations affected and the largest harvest rain per date and state; needs a known station."""
+    et = F.col("event_type")
+    rows = events.join(stations.select("station_id", "state_name"), "station_id")
+    return rows.groupBy("date", "state_name").agg(
+        F.count(F.lit(1)).alias("total_events"), *[F.count_if(et == t).alias(f"{t}_events") for t in EVENT_TYPES],
+        F.countDistinct("station_id").alias("stations_affected"), F.max(F.when(et == "rainfall", F.col("value"))).alias("wettest"))
+
+
+def season_summary(events: DataFrame, season: int, k: int = 5) -> DataFrame:
+    """A season's tables in one long table, told apart by ``section``.
+
+    ``month``: events by month and type, NULL for all months or all types; ``peak``: the strongest frost, heat and
+    harvest-rain event; ``stressed``: the station with most development events; ``top``: the ``k`` stations with most events.
+    Events are read once, into a count and the strongest event per station, month and type; all sections are made of those.
+    """
+    et = F.col("event_type")
+    strength = F.when(et == "frost", -F.col("value")).otherwise(F.col("value"))
+    worst = F.struct("date", "severity", "value")
+    cells = stored(in_year(events, season).groupBy("station_id", F.month("date").alias("month"), "event_type").agg(
+        F.count(F.lit(1)).alias("n_events"), F.max(strength).alias("strength"),
+        F.min_by(worst, F.struct(-strength, F.col("date"))).alias("worst")), "season-cells")
+    n = F.sum("n_events").alias("n_events")
+
+    def section(name: str, rows: DataFrame) -> DataFrame:
+        types = {"rank": "int", "month": "int", "event_type": "string", "station_id": "string", "date": "date", "severity": "string",
+                 "value": "double", "n_events": "long"}
+        return rows.select(F.lit(name).alias("section"), *[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()])
+
+    pick = F.min_by(F.struct("station_id", "worst"), F.struct(-F.col("strength"), F.col("station_id"), F.col("worst.date")))
+    peaks = cells.where(et.isin("frost", "heat", "rainfall")).groupBy("event_type").agg(pick.alias("p")).select("event_type", "p.station_id", "p.worst.*")
+    by_station = cells.groupBy("station_id").agg(n)
+    stressed = cells.where(et == "development_rain").groupBy("station_id").agg(n).orderBy(F.desc("n_events"), "station_id").limit(1)
+    top = by_station.orderBy(F.desc("n_events"), "station_id").limit(k)
+    ranked = top.withColumn("rank", F.row_number().over(W.orderBy(F.desc("n_events"), "station_id")))  # k rows
+    parts = [section("month", cells.cube("month", "event_type").agg(n)), section("peak", peaks),
+             section("stressed", stressed), section("top", ranked)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 def daily_counts(events: DataFrame) -> DataFrame:
     """Events by type and stations affected per date."""
     et = F.col("event_type")
@@ -46,7 +93,7 @@ def region_severity(events: DataFrame, stations: DataFrame) -> DataFrame:
 
 def monthly_matrix(events: DataFrame, season: int) -> DataFrame:
     """Month by event type with totals on both sides."""
-    rows = events.where(F.year("date") == season).withColumn("month", F.month("date"))
+    rows = in_year(events, season).withColumn("month", F.month("date"))
     et = F.col("event_type")
     return rows.rollup("month").agg(
         *[F.count_if(et == t).alias(t) for t in EVENT_TYPES], F.count(F.lit(1)).alias("total"))

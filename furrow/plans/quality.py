@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from furrow import params as P
 from furrow.functions import scalar as S
 from furrow.operators import aggregates as A
-from furrow.operators.timeseries import date_gaps
 from furrow.session import scratch_path, stored
 from furrow.sources.sinks import log_run, upsert
 
@@ -50,15 +50,28 @@ def validate_feed(raw: DataFrame, variables: dict[str, str] | None = None) -> tu
 
 
 def quality_report(obs: DataFrame, rules: P.QualityRules = P.QualityRules()) -> DataFrame:
-    """Ratios, confidence, class and issues per station, gaps included."""
-    scored = A.confidence_score(A.quality_ratios(obs, rules=rules), rules=rules)
-    gaps = date_gaps(obs).groupBy("station_id").agg(
-        F.count(F.lit(1)).alias("n_gaps"), F.sum("gap_days").alias("missing_days"))
-    span = obs.groupBy("station_id").agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"))
-    out = scored.join(span, "station_id").join(gaps, "station_id", "left")
+    """Ratios, confidence, class and issues per station, with its first and last date and the gaps between.
+
+    One scan: codes are counted and days marked as bits of a long by station and 64 days, folded on the map side; what goes
+    along a station is one row for 64 days. A run of days begins at a marked bit whose day before is not marked, and there is
+    one gap fewer than runs. Rows without a station are left out; rows without a date count in the ratios only.
+    """
+    day, bit = F.unix_date("date"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.unix_date("date"), F.lit(64)))
+    words = obs.where(F.col("station_id").isNotNull()).groupBy("station_id", F.floor(day / 64).alias("_word")).agg(
+        *A.code_counts(), F.bit_or(bit).alias("_days"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    along = W.partitionBy("station_id").orderBy("_word")
+    next_to = F.coalesce(F.lag("_word").over(along) == F.col("_word") - 1, F.lit(False))
+    carried = F.when(next_to, F.shiftrightunsigned(F.lag("_days").over(along), 63)).otherwise(F.lit(0).cast("long"))
+    begins = F.col("_days").bitwiseAND(F.bitwise_not(F.shiftleft("_days", 1).bitwiseOR(carried)))
+    counts = [c for c in words.columns if c == "record_count" or c.endswith("_n")]
+    stations = words.withColumn("_begins", begins).groupBy("station_id").agg(
+        *[F.sum(c).alias(c) for c in counts], F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
+        F.sum(F.bit_count("_days")).alias("_marked"), F.sum(F.bit_count("_begins")).alias("_runs"))
+    scored = A.confidence_score(A.code_ratios(stations, rules=rules), rules=rules)
+    missing = F.datediff("last_date", "first_date") + 1 - F.col("_marked")
     return (
-        out.withColumn("n_gaps", F.coalesce("n_gaps", F.lit(0)))
-        .withColumn("missing_days", F.coalesce("missing_days", F.lit(0)))
+        scored.withColumn("n_gaps", F.coalesce(F.col("_runs") - 1, F.lit(0).cast("long")))
+        .withColumn("missing_days", F.coalesce(missing, F.lit(0).cast("long"))).drop("_marked", "_runs")
         .withColumn("issues", F.when(F.col("n_gaps") > 0, F.array_append("issues", F.lit("date_gaps"))).otherwise(F.col("issues")))
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from furrow.functions import scalar as S
 from furrow.operators import aggregates as A
 from furrow.operators import joins, spatial
+from furrow.session import stored
 
 
 CROP_FIELDS = ("crop", "area_code", "production_code", "yield_code")
@@ -140,11 +141,23 @@ def station_select(stations: DataFrame, states=None, regions=None, min_area=None
     return stations
 
 
+def _area_stats() -> list:
+    return [F.count(F.lit(1)).alias("total_stations"), F.countDistinct("state_name").alias("n_states"),
+            F.min("cropping_area").alias("area_min"), F.max("cropping_area").alias("area_max"), F.avg("cropping_area").alias("area_mean"),
+            F.min("latitude").alias("lat_min"), F.max("latitude").alias("lat_max"), F.min("longitude").alias("lon_min"), F.max("longitude").alias("lon_max")]
+
+
 def station_stats(stations: DataFrame) -> DataFrame:
     """One row: count, area extremes, mean, exact median, bounds."""
     median = A.exact_median(stations, "cropping_area")
-    return stations.agg(
-        F.count(F.lit(1)).alias("total_stations"), F.countDistinct("state_name").alias("n_states"),
-        F.min("cropping_area").alias("area_min"), F.max("cropping_area").alias("area_max"), F.avg("cropping_area").alias("area_mean"),
-        F.lit(median).cast("double").alias("area_median"), F.min("latitude").alias("lat_min"), F.max("latitude").alias("lat_max"),
-        F.min("longitude").alias("lon_min"), F.max("longitude").alias("lon_max"))
+    return stations.agg(*_area_stats(), F.lit(median).cast("double").alias("area_median"))
+
+
+def station_stats_by_state(stations: DataFrame, quantiles=(0.25, 0.5, 0.75), total: str = "ALL") -> DataFrame:
+    """The same by state and for all stations, with exact quantiles of the area; ranks of all groups are found together."""
+    levels = stored(stations.withColumn("_level", F.explode(F.array(F.struct(F.lit(0).alias("all"), F.col("state_name").alias("state")),
+                                                                    F.struct(F.lit(1).alias("all"), F.lit(total).alias("state"))))), "station-levels")
+    found = A.exact_quantiles(levels, "cropping_area", quantiles, ["_level"]).select(F.col("_level").alias("_l"), "quantiles")
+    stats = levels.groupBy("_level").agg(*_area_stats()).join(found, F.col("_level").eqNullSafe(F.col("_l")), "left")
+    named = [F.get("quantiles", F.lit(i)).alias(f"area_p{round(q * 100)}") for i, q in enumerate(quantiles)]
+    return stats.select(F.col("_level.state").alias("state_name"), *[c for c in stats.columns if c not in ("_level", "_l", "quantiles")], *named)

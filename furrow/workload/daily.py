@@ -9,7 +9,7 @@ from furrow.functions import scalar as S
 from furrow.operators import aggregates as A
 from furrow.operators import sets
 from furrow.operators import timeseries as TS
-from furrow.operators.topk import business_order, top_k
+from furrow.operators.topk import business_order, first_n, top_k
 from furrow.plans import digest as D
 from furrow.plans import events as E
 from furrow.plans import quality as Q
@@ -425,18 +425,29 @@ def _(spark, sf):
 
 @query("f10_capped_points", "SELECT point_id, lat, lon FROM points ORDER BY lat, lon, point_id LIMIT 50", ("points",))
 def _(spark, sf):
-    return B.points_df(spark, sf).orderBy("lat", "lon", "point_id").limit(50)
+    return first_n(B.points_df(spark, sf), ["lat", "lon", "point_id"], 50)
 
 
 @query("i20_daily_digest", f"""
     SELECT date, state_name, count(*) AS total_events, {_TYPES}, count(DISTINCT station_id) AS stations_affected, max(value) FILTER (event_type = 'rainfall') AS wettest
     FROM ev JOIN names USING (station_id) GROUP BY 1, 2""", ("dense_obs", "regions"), (), EVENTS + (NAMES,))
 def _(spark, sf):
-    ev = events(spark, sf).join(_station_names(spark, sf), "station_id")
-    et = F.col("event_type")
-    return ev.groupBy("date", "state_name").agg(
-        F.count(F.lit(1)).alias("total_events"), *[F.count_if(et == t).alias(f"{t}_events") for t in D.EVENT_TYPES],
-        F.countDistinct("station_id").alias("stations_affected"), F.max(F.when(et == "rainfall", F.col("value"))).alias("wettest"))
+    return D.daily_digest(events(spark, sf), _station_names(spark, sf))
+
+
+_SEASON = ("sev", "SELECT *, CAST(month(date) AS INT) AS month FROM ev WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'")
+
+
+@query("i20_season_summary", """
+    SELECT 'month' AS section, NULL::INT AS rank, month, event_type, NULL::VARCHAR AS station_id, NULL::DATE AS date, NULL::VARCHAR AS severity, NULL::DOUBLE AS value, count(*) AS n_events FROM sev GROUP BY CUBE (month, event_type)
+    UNION ALL SELECT 'peak', NULL, NULL, event_type, station_id, date, severity, value, NULL FROM (SELECT *, row_number() OVER (PARTITION BY event_type
+      ORDER BY CASE WHEN event_type = 'frost' THEN value ELSE -value END, station_id, date) AS rn FROM sev WHERE event_type IN ('frost', 'heat', 'rainfall')) WHERE rn = 1
+    UNION ALL SELECT * FROM (SELECT 'stressed', NULL, NULL, NULL, station_id, NULL, NULL, NULL, count(*) FROM sev WHERE event_type = 'development_rain' GROUP BY station_id ORDER BY count(*) DESC, station_id LIMIT 1)
+    UNION ALL SELECT 'top', CAST(rank AS INT), NULL, NULL, station_id, NULL, NULL, NULL, n FROM (
+      SELECT station_id, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, station_id) AS rank FROM sev GROUP BY station_id) WHERE rank <= 5""",
+       ("dense_obs",), (), EVENTS + (_SEASON,))
+def _(spark, sf):
+    return D.season_summary(E.detect_events(B.dense_obs_df(spark, sf), "1998-01-01", "1998-12-31"), 1998)
 
 
 @query("f2_top_events_per_state", """

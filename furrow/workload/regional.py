@@ -382,8 +382,7 @@ def _(spark, sf):
     SELECT state, arg_min(sd_code, decile * 1000000 + pct_of_median) AS driest, arg_max(sd_code, decile * 1000000 + pct_of_median) AS wettest FROM sdr GROUP BY 1""",
        (*HM, "concordance", "weights"), (), SD_REVIEW)
 def _(spark, sf):
-    key = F.struct("decile", "pct_of_median")
-    return _sd_rows(spark, sf).groupBy("state").agg(F.min_by("sd_code", key).alias("driest"), F.max_by("sd_code", key).alias("wettest"))
+    return topk.extremes(_sd_rows(spark, sf), ["state"], ["decile", "pct_of_median"], "sd_code")
 
 
 @query("f4_extremes_of_largest", """
@@ -438,8 +437,8 @@ def _(spark, sf):
 
 @query("c5_measure_times_weight", "SELECT sa2_code, state_name, year, month, rainfall_mm * weight AS volume FROM region_month JOIN weights USING (sa2_code, state_name)", ("region_month", "weights"), ("volume",))
 def _(spark, sf):
-    j = B.region_month_df(spark, sf).join(B.weights_df(spark, sf).drop("sa2_5"), ["sa2_code", "state_name"])
-    return j.select("sa2_code", "state_name", "year", "month", (F.col("rainfall_mm") * F.col("weight")).alias("volume"))
+    j = joins.weighted_measure(B.region_month_df(spark, sf), B.weights_df(spark, sf), ["sa2_code", "state_name"], "rainfall_mm", "weight", "volume")
+    return j.select("sa2_code", "state_name", "year", "month", "volume")
 
 
 @query("c7_split_allocation_bridge", """
@@ -462,9 +461,7 @@ def _(spark, sf):
     UNION ALL SELECT station_id, 'outside' FROM stations WHERE sa2_5 NOT IN (SELECT station_sa2_5dig16 FROM crop_context GROUP BY 1 HAVING coalesce(sum(area_ha), 0) >= 1500)""", ("stations", "crop_context"))
 def _(spark, sf):
     targets = A.region_areas(B.crop_context_df(spark, sf), min_area=1500.0).select("sa2_5")
-    st = B.stations_df(spark, sf).select("station_id", "sa2_5")
-    return st.join(targets, "sa2_5", "left_semi").select("station_id", F.lit("in_target").alias("side")).unionByName(
-        st.join(targets, "sa2_5", "left_anti").select("station_id", F.lit("outside").alias("side")))
+    return sets.membership(B.stations_df(spark, sf), targets, "sa2_5").select("station_id", "side")
 
 
 @query("c10_strict_inner", """
@@ -579,9 +576,9 @@ def _earlier_areas(spark, sf):
     SELECT sa2_code, crop, count(area_ha) AS n_known FROM (SELECT sa2_code, unnest(['building', 'machinery', 'millet']) AS crop FROM regions) LEFT JOIN (SELECT sa2_code, crop, area_ha FROM crop_context) USING (sa2_code, crop) GROUP BY 1, 2""",
        ("regions", "crop_context"))
 def _(spark, sf):
-    crops = F.array(*[F.lit(c) for c in ("building", "machinery", "millet")])
-    grid = B.regions_df(spark, sf).select("sa2_code", F.explode(crops).alias("crop"))
-    return grid.join(B.crop_context_df(spark, sf).select("sa2_code", "crop", "area_ha"), ["sa2_code", "crop"], "left").groupBy("sa2_code", "crop").agg(F.count("area_ha").alias("n_known"))
+    facts = B.crop_context_df(spark, sf).select("sa2_code", "crop", "area_ha")
+    every = sets.with_every(B.regions_df(spark, sf), facts, ["sa2_code"], "crop", ("building", "machinery", "millet"))
+    return every.groupBy("sa2_code", "crop").agg(F.count("area_ha").alias("n_known"))
 
 
 # --- sets --------------------------------------------------------------------------------
@@ -591,7 +588,7 @@ def _(spark, sf):
 def _(spark, sf):
     cols = ["state_name", "sa2_code", "year", "month", "rainfall_mm"]
     history, mtd = B.history_and_mtd(spark, sf)
-    return history.select(*cols).unionByName(mtd.select(*cols))
+    return sets.append_current(history, mtd, cols)
 
 
 @query("g5_key_differences", """
@@ -612,8 +609,8 @@ def _(spark, sf):
 @query("g7_tier_union", """
     SELECT station_id, CASE WHEN cropping_area >= 6000 THEN 'active' ELSE 'unverified' END AS tier FROM stations WHERE cropping_area >= 3000""", ("stations",))
 def _(spark, sf):
-    tier = F.when(F.col("cropping_area") >= 6000, "active").when(F.col("cropping_area") >= 3000, "unverified").otherwise("inactive")
-    return B.stations_df(spark, sf).select("station_id", tier.alias("tier")).where(F.col("tier").isin("active", "unverified"))
+    floors = {"active": 6000, "unverified": 3000}
+    return sets.tiers(B.stations_df(spark, sf), "cropping_area", floors, "inactive", keep=list(floors)).select("station_id", "tier")
 
 
 # --- crop context, coverage, freshness ---------------------------------------------------
@@ -741,6 +738,24 @@ def _(spark, sf):
     return RG.station_stats(B.stations_df(spark, sf))
 
 
+@query("d37_stats_by_state", """
+    SELECT CASE WHEN grouping(state_name) = 1 THEN 'ALL' ELSE state_name END AS state_name, count(*) AS total_stations, count(DISTINCT state_name) AS n_states, min(cropping_area) AS area_min,
+           max(cropping_area) AS area_max, avg(cropping_area) AS area_mean, min(latitude) AS lat_min, max(latitude) AS lat_max, min(longitude) AS lon_min, max(longitude) AS lon_max,
+           quantile_cont(cropping_area, 0.25) AS area_p25, quantile_cont(cropping_area, 0.5) AS area_p50, quantile_cont(cropping_area, 0.75) AS area_p75
+    FROM stations GROUP BY ROLLUP (state_name)""", ("stations",), ("area_mean", "area_p25", "area_p50", "area_p75"))
+def _(spark, sf):
+    return RG.station_stats_by_state(B.stations_df(spark, sf))
+
+
+@query("d37_observed_quantiles", """
+    SELECT station_id, CAST(year(date) AS INT) AS year, count(*) AS n, quantile_cont(rainfall, 0.1) AS p10, quantile_cont(rainfall, 0.5) AS p50, quantile_cont(rainfall, 0.9) AS p90
+    FROM obs WHERE rainfall IS NOT NULL GROUP BY 1, 2""", ("obs",), ("p10", "p50", "p90"))
+def _(spark, sf):
+    obs = B.obs_df(spark, sf).withColumn("year", F.year("date"))
+    q = A.exact_quantiles(obs, "rainfall", (0.1, 0.5, 0.9), ["station_id", "year"])
+    return q.select("station_id", "year", "n", *[F.get("quantiles", F.lit(i)).alias(c) for i, c in enumerate(("p10", "p50", "p90"))])
+
+
 @query("d37_stations_by_state", "SELECT state_name, count(*) AS n FROM stations GROUP BY 1", ("stations",))
 def _(spark, sf):
     return B.stations_df(spark, sf).groupBy("state_name").agg(F.count(F.lit(1)).alias("n"))

@@ -245,3 +245,46 @@ def test_sets(spark):
     ([float("-inf"), float("-inf"), 2.0], float("-inf")), ([float("nan")], None), ([-1.7e308, 1.7e308, 0.0], 0.0)])
 def test_exact_median_with_values_that_are_no_numbers(spark, values, want):
     assert A.exact_median(spark.createDataFrame([(v,) for v in values], "v double"), "v") == want
+
+
+def test_exact_quantiles_of_groups(spark):
+    import random
+
+    rng = random.Random(5)
+    data = [("a", rng.gauss(0, 1) ** 9) for _ in range(700)] + [("b", float(rng.randint(0, 3))) for _ in range(300)] + [(None, 4.0)] + [
+        ("c", float("inf")), ("c", float("-inf")), ("c", 2.0), ("d", None), ("d", float("nan")), ("e", 5e-324), ("e", 1e-323), ("e", 0.0), ("a", None)]
+    df = spark.createDataFrame(data, "k string, v double")
+    got = {r["k"]: (r["n"], r["quantiles"]) for r in A.exact_quantiles(df, "v", (0.0, 0.37, 0.5, 1.0), ["k"], buckets=16).collect()}
+    assert got.keys() == {"a", "b", "c", "e", None}
+    assert got[None] == (1, [4.0] * 4) and got["c"] == (3, [float("-inf"), float("-inf"), 2.0, float("inf")])
+    for k in "abe":
+        values = sorted(v for key, v in data if key == k and v is not None)
+        for q, g in zip((0.0, 0.37, 0.5, 1.0), got[k][1]):
+            at = (len(values) - 1) * q
+            low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+            assert g == pytest.approx(low + (high - low) * (at - int(at)), rel=1e-12, abs=1e-323)
+    assert A.exact_quantiles(df.where("false"), "v", (0.5,), ["k"]).count() == 0
+
+
+def test_stations_by_state_with_their_total(spark):
+    st = spark.createDataFrame([("WA", 1.0, -30.0, 115.0), ("WA", 3.0, -31.0, 116.0), ("SA", 10.0, -34.0, 138.0), ("NT", None, -20.0, 130.0)],
+                               "state_name string, cropping_area double, latitude double, longitude double")
+    got = rows(RG.station_stats_by_state(st), "state_name", "total_stations", "n_states", "area_p50", "lat_min")
+    assert got == [("ALL", 4, 3, 3.0, -34.0), ("NT", 1, 1, None, -20.0), ("SA", 1, 1, 10.0, -34.0), ("WA", 2, 1, 2.0, -31.0)]
+
+
+def test_membership_universe_and_tiers(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, k string")
+    keys = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    assert rows(sets.membership(df, keys, "k"), "id", "side") == [(1, "in_target"), (2, "outside"), (3, "outside")]
+    facts = spark.createDataFrame([("a", "wheat", 1.0), ("z", "wheat", 2.0), ("a", "rye", 3.0)], "k string, crop string, v double")
+    every = sets.with_every(df.where("k IS NOT NULL"), facts, ["k"], "crop", ["wheat", "oats"])
+    assert rows(every, "k", "crop", "v") == [("a", "oats", None), ("a", "wheat", 1.0), ("b", "oats", None), ("b", "wheat", None)]
+    area = spark.createDataFrame([(1, 5.0), (2, 3.0), (3, 1.0), (4, None)], "id int, area double")
+    assert rows(sets.tiers(area, "area", {"high": 5, "low": 3}, "none"), "id", "tier") == [(1, "high"), (2, "low"), (3, "none"), (4, "none")]
+    assert rows(sets.tiers(area, "area", {"high": 5, "low": 3}, "none", keep=["low"]), "id") == [(2,)]
+
+
+def test_extremes_by_two_keys(spark):
+    df = spark.createDataFrame([("s", "x", 1, 5.0), ("s", "y", 1, 4.0), ("s", "z", 9, 1.0), ("t", "w", 2, 2.0)], "s string, n string, d int, p double")
+    assert rows(topk.extremes(df, ["s"], ["d", "p"], "n")) == [("s", "y", "z"), ("t", "w", "w")]

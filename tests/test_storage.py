@@ -201,3 +201,43 @@ def test_positions_in_open_runs_after_every_delivery(spark):
     spark.createDataFrame([at("a", "2026-05-04")], schema).coalesce(1).write.mode("append").parquet(landing)
     J.append_updates(J.run_positions(J.read_stream(spark, landing, spark.createDataFrame([], schema).schema)), out, checkpoint)
     assert rows(J.latest_versions(stream, out, ("station_id", "date"))) == rows(want)
+
+
+def test_report_finds_gaps_across_words_of_days(spark):
+    import random
+
+    rng, base = random.Random(3), day("1969-11-20")  # days before and after the epoch
+    record = {s: sorted(rng.sample(range(400), n)) for s, n in (("a", 390), ("b", 30), ("c", 1))}
+    record["d"] = [*range(100), *range(300, 310)]
+    data = [(s, base + dt.timedelta(i), 1.0, 1.0, 1.0, 0, 0, 0) for s, days in record.items() for i in days for _ in range(1 + i % 2)]
+    data += [("a", None, 1.0, 1.0, 1.0, 999, 999, 999), ("e", None, 1.0, 1.0, 1.0, 0, 0, 0), (None, base, 1.0, 1.0, 1.0, 0, 0, 0)]
+    nullable = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in readers.OBSERVATIONS)
+    report = Q.quality_report(spark.createDataFrame(data, nullable))
+    got = {r["station_id"]: r for r in report.collect()}
+    assert got.keys() == {*"abcde"}
+    for s, days in record.items():
+        gaps = [b - a - 1 for a, b in zip(days, days[1:]) if b - a > 1]
+        assert (got[s]["n_gaps"], got[s]["missing_days"]) == (len(gaps), sum(gaps))
+        assert (got[s]["first_date"], got[s]["last_date"]) == (base + dt.timedelta(days[0]), base + dt.timedelta(days[-1]))
+    assert (got["e"]["first_date"], got["e"]["n_gaps"], got["e"]["missing_days"]) == (None, 0, 0)
+    assert got["a"]["record_count"] == sum(1 + i % 2 for i in record["a"]) + 1
+
+
+def test_report_scans_once(spark, tmp_path):
+    path = str(tmp_path / "obs")
+    obs(spark, [0] * 10).write.parquet(path)
+    plan = Q.quality_report(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") + plan.count("FileScan") <= 2 and "Join" not in plan
+
+
+def test_season_summary(spark):
+    from furrow.plans import digest as D
+
+    data = [("a", day("2026-01-05"), "heat", "high", 41.0), ("b", day("2026-01-05"), "heat", "low", 36.0), ("a", day("2026-06-01"), "frost", "light", -1.0),
+            ("b", day("2026-06-02"), "frost", "severe", -4.0), ("b", day("2026-07-02"), "development_rain", "dry_spell", 0.0), ("b", day("2025-07-02"), "frost", "severe", -9.0)]
+    got = D.season_summary(spark.createDataFrame(data, "station_id string, date date, event_type string, severity string, value double"), 2026, 1).collect()
+    assert {(r["month"], r["event_type"]): r["n_events"] for r in got if r["section"] == "month"} == {
+        (1, "heat"): 2, (6, "frost"): 2, (7, "development_rain"): 1, (1, None): 2, (6, None): 2, (7, None): 1, (None, "heat"): 2, (None, "frost"): 2,
+        (None, "development_rain"): 1, (None, None): 5}
+    assert {(r["event_type"], r["station_id"], r["value"]) for r in got if r["section"] == "peak"} == {("heat", "a", 41.0), ("frost", "b", -4.0)}
+    assert [(r["section"], r["rank"], r["station_id"], r["n_events"]) for r in got if r["section"] in ("stressed", "top")] == [("stressed", None, "b", 1), ("top", 1, "b", 3)]
