@@ -56,19 +56,30 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), share: float = 1.5, max_
     return ranked.withColumn("target", F.when(level, most.cast("double")).otherwise(shared) if weight_left else most.cast("double"))
 
 
+def _each(df: DataFrame, number: str, name: str) -> DataFrame:
+    """Each row ``number`` times, numbered from 1 in ``name``; no array holds more than a block of numbers."""
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(number) - 1) / ROWS_A_BUCKET))
+    first = F.col("_block") * ROWS_A_BUCKET + 1
+    return (df.where(F.col(number) > 0).withColumn("_block", F.explode(blocks))
+            .withColumn(name, F.explode(F.sequence(first, F.least(first + ROWS_A_BUCKET - 1, F.col(number))))).drop("_block"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=(5, 2, 1), share: float = 1.5, max_repeats: int = 2, seed: str = ":mix") -> DataFrame:
-    """How often the mix takes each document: ``doc_id, source, size, source_size, target, copies, rows``.
+    """How often the mix takes each document: ``doc_id, source, size, source_size, target, copies, rows, unit_rows, first``.
 
     Every document of a source gets, in the source's shuffled order and once per repeat, the virtual finish time
     (words of its source up to its end) / (its source's target). All of them are range-sorted by that time, and the
     mix is what comes before the running total of words passes ``share`` times all words.
 
-    One row per distinct (id, source, size); ``rows`` counts the input rows behind it, which are taken or left
-    together. Null text counts no words; documents without words have ``copies`` 0, as do all of an empty table's.
-    Null sources are one source, null ids are ids like any other. Further columns of ``docs`` play no part.
+    Rows of equal id, source and size are a unit: they stand together in the shuffled order, one behind the other, each with
+    its own finish time, so that the budget may end among them. One row per unit and number of copies; ``rows`` counts the
+    input rows of the unit that are taken so often, ``first`` those that are taken more often. Null text counts no words;
+    documents without words have ``copies`` 0, as do all of an empty table's. Null sources are one source, null ids are one
+    id. Further columns of ``docs`` play no part.
 
-    A hot source is split: its words are summed by ranges of the shuffle key first, so a window holds one range only.
+    A hot source is split: its words are summed by ranges of the shuffle key first, so a window holds one range only. A hot
+    unit is one row of its window, and its rows are numbered in blocks that are dealt out to all tasks.
     """
     spark = docs.sparkSession
     units = kept(
@@ -77,7 +88,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .withColumn("h", shuffle_key(F.col("doc_id"), seed)).withColumn("words", F.col("size") * F.col("rows")), "mix-units")
     per_source = units.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = kept(source_targets(per_source, weights, share, max_repeats), "mix-targets")
-    n_units, total = units.agg(F.count(F.lit(1)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    n_units, n_rows, most_rows, total = units.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.max("rows"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
     budget = share * total
 
     ranges = max(1, n_units // ROWS_A_BUCKET)
@@ -86,38 +98,80 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sums = placed.groupBy("rank", "range").agg(F.sum("words").alias("_words"))
     offsets = sums.select("rank", "range", (F.sum("_words").over(W.partitionBy("rank").orderBy("range")) - F.col("_words")).alias("_before"))
     order = W.partitionBy("rank", "range").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    finish = (F.col("repeat") * F.col("source_size") + F.col("_end")) / F.col("target")
-    queue = (placed.join(offsets, ["rank", "range"]).withColumn("_end", F.col("_before") + F.sum("words").over(order))
-             .withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
+    ended = (placed.join(offsets, ["rank", "range"])
+             .withColumn("_begin", F.col("_before") + F.sum("words").over(order) - F.col("words")))
+    if most_rows > 1:
+        blocks = ended.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / ROWS_A_BUCKET))))
+        if most_rows > ROWS_A_BUCKET:
+            blocks = blocks.repartition("rank", "h", "doc_id", "size", "_b")
+        first = F.col("_b") * ROWS_A_BUCKET + 1
+        ended = blocks.withColumn("row", F.explode(F.sequence(first, F.least(first + ROWS_A_BUCKET - 1, F.col("rows"))))).drop("_b")
+    else:
+        ended = ended.withColumn("row", F.lit(1).cast("long"))
+    finish = (F.col("repeat") * F.col("source_size") + F.col("_begin") + F.col("row") * F.col("size")) / F.col("target")
+    queue = (ended.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
              .withColumn("finish", F.when(F.col("target") > 0, finish).otherwise(F.lit(float("inf"))))
-             .select("rank", "h", "doc_id", "source", "size", "rows", "words", "source_size", "target", "repeat", "finish"))
+             .select("rank", "h", "doc_id", "source", "size", "rows", "row", "source_size", "target", "repeat", "finish"))
 
-    by_time = [F.col(c) for c in ("finish", "rank", "h", "doc_id", "size", "repeat")]
-    ranged = in_order(queue, by_time, "mix-queue", max(partitions(spark), n_units // 100_000))
-    parts = ranged.groupBy("_part").agg(F.sum("words").alias("_words"))
+    by_time = [F.col(c) for c in ("finish", "rank", "h", "doc_id", "size", "row", "repeat")]
+    ranged = in_order(queue, by_time, "mix-queue", max(partitions(spark), n_rows // 100_000))
+    parts = ranged.groupBy("_part").agg(F.sum("size").alias("_words"))
     before = parts.select("_part", (F.sum("_words").over(W.orderBy("_part")) - F.col("_words")).alias("_before"))  # one row per partition
-    run = F.col("_before") + F.sum("words").over(W.partitionBy("_part").orderBy(*by_time).rowsBetween(W.unboundedPreceding, 0))
+    run = F.col("_before") + F.sum("size").over(W.partitionBy("_part").orderBy(*by_time).rowsBetween(W.unboundedPreceding, 0))
     taken = (F.col("_run") <= F.lit(budget)) & (F.col("size") > 0)
-    return (ranged.join(before, "_part").withColumn("_run", run)
-            .groupBy("doc_id", "source", "size", "rows", "source_size", "target")
-            .agg(F.sum(taken.cast("int")).alias("copies")))
+    # of a unit the rows taken k times or more are its first ones
+    counted = [F.count_if(taken & (F.col("repeat") == k)) for k in range(max_repeats)]
+    found = (ranged.join(before, "_part").withColumn("_run", run)
+             .groupBy("doc_id", "source", "size", "rows", "source_size", "target").agg(F.array(*counted).alias("_taken")))
+    level = F.transform(F.sequence(F.lit(0), F.lit(max_repeats)), lambda k: F.struct(
+        k.cast("long").alias("copies"), (F.when(k == 0, F.col("rows")).otherwise(F.get("_taken", k - 1)) - F.coalesce(F.get("_taken", k), F.lit(0))).alias("rows"),
+        F.coalesce(F.get("_taken", k), F.lit(0)).alias("first")))
+    return found.withColumn("_l", F.explode(F.filter(level, lambda v: v["rows"] > 0))).select(
+        "doc_id", "source", "size", "source_size", "target", "_l.copies", "_l.rows", F.col("rows").alias("unit_rows"), "_l.first")
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The rows of ``docs``, all columns kept, each repeated as often as the mix takes it; rows it leaves out go."""
+    """The rows of ``docs``, all columns kept, each repeated as often as the mix takes it; rows it leaves out go.
+
+    Where the mix takes rows of one unit differently often, the unit's rows are numbered by the hash of their text, in
+    sorted ranges, so that no task holds a unit; only such units are numbered.
+    """
     columns = docs.columns
-    taken = mix(docs, id_col, text_col, source_col, **options).where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies")
+    unit = [F.col("_id"), F.col("_source"), F.col("_size")]
+
+    def taken(rows: DataFrame, *more) -> DataFrame:
+        return rows.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies", *more)
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        copies = rows.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        return copies.select(*[F.col(f"_doc.`{c}`").alias(c) for c in columns])
+
+    mixed = kept(mix(docs, id_col, text_col, source_col, **options), "mix-taken")
     whole = docs.select(F.struct("*").alias("_doc"), word_count(F.col(text_col)).alias("_words"))
     same = (F.col(f"_doc.`{id_col}`").eqNullSafe(F.col("_id")) & F.col(f"_doc.`{source_col}`").eqNullSafe(F.col("_source"))
             & (F.col("_words") == F.col("_size")))
-    return (whole.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-            .select(*[F.col(f"_doc.`{c}`").alias(c) for c in columns]))
+    out = repeated(whole.join(taken(mixed.where("rows = unit_rows AND copies > 0")), same))
+    uneven = mixed.where("rows < unit_rows")
+    if uneven.isEmpty():
+        return out
+    units = taken(uneven).drop("copies").distinct()
+    by_text = [*unit, F.xxhash64(F.col(f"_doc.`{text_col}`")), F.col("_at")]
+    ranged = in_order(whole.withColumn("_at", F.monotonically_increasing_id()).join(units, same), by_text, "mix-uneven")
+    parts = ranged.groupBy(*unit, "_part").agg(F.count(F.lit(1)).alias("_c"))
+    before = parts.withColumn("_before", F.sum("_c").over(W.partitionBy(*unit).orderBy("_part")) - F.col("_c")).drop("_c")  # a row per part
+    row = F.row_number().over(W.partitionBy(*unit, "_part").orderBy(*by_text))
+    met = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("_id", "_source", "_size")]
+    placed = ranged.withColumn("_row", row).alias("a").join(before.alias("b"), [*met, F.col("a._part") == F.col("b._part")]).select(
+        "a._id", "a._source", "a._size", "_doc", (F.col("_row") + F.col("_before")).alias("_place"))
+    levels = taken(uneven, F.col("first"), F.col("rows"))
+    reached = (F.col("_place") > F.col("first")) & (F.col("_place") <= F.col("first") + F.col("rows"))
+    return out.unionByName(repeated(placed.alias("a").join(levels.alias("b"), [*met, reached])))
 
 
 OP5_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+  SELECT doc_id, source, row_number() OVER (PARTITION BY doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)) AS j,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
          ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':mix'), 1, 15))::BIGINT AS h
   FROM documents),
 s AS (
@@ -135,18 +189,17 @@ t AS (
          CASE WHEN full_ THEN CAST(2 * source_size AS DOUBLE) ELSE (c.budget - CAST(k.capped AS DOUBLE)) * c.weight / CAST(k.weight_left AS DOUBLE) END AS target
   FROM c CROSS JOIN k),
 q AS (
-  SELECT d.doc_id, d.size, d.h, t.source_size, t.rank, t.target, t.budget, r.e,
-         CAST(r.e * t.source_size + sum(d.size) OVER (PARTITION BY t.rank, r.e ORDER BY d.h, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS DOUBLE) / t.target AS finish
+  SELECT d.doc_id, d.size, d.h, d.j, t.source_size, t.rank, t.target, t.budget, r.e,
+         CAST(r.e * t.source_size + sum(d.size) OVER (PARTITION BY t.rank, r.e ORDER BY d.h, d.doc_id, d.size, d.j ROWS UNBOUNDED PRECEDING) AS DOUBLE) / t.target AS finish
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source CROSS JOIN (SELECT unnest([0, 1]) AS e) AS r),
 g AS (
-  SELECT *, sum(size) OVER (ORDER BY finish, rank, h, doc_id, size, e ROWS UNBOUNDED PRECEDING) <= budget AS taken FROM q)
+  SELECT *, sum(size) OVER (ORDER BY finish, rank, h, doc_id, size, j, e ROWS UNBOUNDED PRECEDING) <= budget AS taken FROM q)
 SELECT doc_id, size, source_size, target, CAST(sum(CASE WHEN taken THEN size ELSE 0 END) AS BIGINT) AS taken
-FROM g GROUP BY doc_id, size, source_size, target
+FROM g GROUP BY doc_id, rank, j, size, source_size, target
 """
 
 
 @query("op5_fair_queueing_mix", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mix(table(spark, sf_dir, "documents"))
-    return (taken.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-            .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")))
+    return _each(taken, "rows", "_row").select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

@@ -1,8 +1,6 @@
 import hashlib
 import random
 
-from pyspark.sql import functions as F
-
 from furrow.llm import mixing
 
 SCHEMA = "doc_id bigint, text string, source string, rank int, h string, size double"
@@ -58,15 +56,33 @@ def test_mix_equals_brute_force_and_keeps_targets(spark, monkeypatch):
     assert sum(taken) <= 1.5 * sum(size)
 
 
-def test_repeated_rows_and_null_ids_go_together_and_reruns_agree(spark):
-    rows = [(1, "a b c", "x")] * 3 + [(None, "d e", "x"), (None, "d e", "x"), (2, "f", "y"), (1, "a b c d", "x")]
-    once = sorted(map(tuple, mixing.mix(docs(spark, rows)).collect()), key=repr)
-    again = sorted(map(tuple, mixing.mix(docs(spark, rows[::-1]).repartition(3)).collect()), key=repr)
-    assert once == again
+def test_rows_of_a_unit_are_taken_one_by_one_and_reruns_agree(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS_A_BUCKET", 7)
+    rows = [(1, "a b c", "x")] * 30 + [(1, "a b d", "x")] * 9 + [(None, "d e", "x"), (None, "d e", "x"), (2, "f", "y"), (1, "a b c d", "x")] + [(None, "q r", "z")] * 40
+    size, target, taken = expected(rows)
+    got = mixing.mix(docs(spark, rows)).collect()
+    assert sum(r["rows"] for r in got) == len(rows)
+    assert sorted((r["doc_id"] or 0, r["size"], r["target"], r["size"] * r["copies"]) for r in got for _ in range(r["rows"])) == sorted(
+        (r[0] or 0, n, t, k) for r, n, t, k in zip(rows, size, target, taken, strict=True))
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, mixing.mix(docs(spark, rows[::-1]).repartition(3)).collect()), key=repr)
     out = mixing.mixed_documents(docs(spark, rows))
     assert out.columns == ["doc_id", "text", "source", "rank", "h", "size"]
-    counts = {(r["doc_id"], r["text"]): r["n"] for r in out.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert counts.get((1, "a b c"), 0) % 3 == 0 and counts.get((None, "d e"), 0) % 2 == 0
+    counts = {}
+    for r in out.collect():
+        counts[r["doc_id"], r["source"], len(r["text"].split())] = counts.get((r["doc_id"], r["source"], len(r["text"].split())), 0) + 1
+    want = {}
+    for (i, t, s), k, n in zip(rows, taken, size, strict=True):
+        want[i, s, n] = want.get((i, s, n), 0) + k // n
+    assert counts == {key: n for key, n in want.items() if n}
+
+
+def test_targets_hold_with_null_and_repeated_ids(spark):
+    text = " ".join("w" * 10)
+    rows = [(7, text, "s0")] * 600 + [(i, text, "s1") for i in range(300)] + [(None, text, "s2")] * 300
+    got, by = mixing.mix(docs(spark, rows)).collect(), {}
+    for r in got:
+        by.setdefault((r["source"], r["target"]), []).append(r["rows"] * r["size"] * r["copies"])
+    assert all(abs(target - sum(words)) <= 20 for (_, target), words in by.items()) and len(by) == 3
 
 
 def test_empty_table_and_table_without_words(spark):
