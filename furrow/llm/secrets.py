@@ -25,7 +25,8 @@ LEAST_VALUE, LEAST_ACCESS = 6, 20
 
 TRAINING_DOCUMENTS = 20_000
 DIGESTS = 8  # random strings for each of them
-LEAST_CANDIDATE = 16
+LEAST_CANDIDATE = 12  # shorter ones are no longer than a mistyped word
+LEAST_UNTAUGHT = 16
 MARGIN = 12.0
 MASK = "[SECRET]"
 
@@ -53,8 +54,8 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
 
 
 def _may_be_random(string: str) -> bool:
-    """Long strings with a digit are candidates; they are no samples of ordinary ones either."""
-    return len(string) >= LEAST_CANDIDATE and _DIGIT.search(string) is not None
+    """Long strings with a digit are no samples of ordinary ones: they may be secrets that no fixed pattern names."""
+    return len(string) >= LEAST_UNTAUGHT and _DIGIT.search(string) is not None
 
 
 def _transitions(strings: list[str]) -> np.ndarray:
@@ -70,7 +71,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows:
 
     Learnt from about ``rows`` documents picked by a hash of the id. Random: values that the fixed patterns find in them,
     and base64 digests of their ids. Ordinary: their other words of four characters and more, but for those that are
-    candidates themselves. Both with add-one smoothing.
+    long and hold a digit. Both with add-one smoothing.
     An empty table leaves the digest-free uniform models, whose ratios are 0.
     """
     every = max(1, math.ceil(docs.count() / rows))
@@ -108,13 +109,19 @@ def likelihood_ratio(ratios: np.ndarray, string: str) -> float:
 
 
 def all_spans(text: str, ratios: np.ndarray, margin: float = MARGIN) -> list[tuple[int, int, int, int]]:
-    """The fixed patterns' spans, and strings whose ratio is over ``margin`` and that touch none of them."""
+    """The fixed patterns' spans, and strings whose ratio is over ``margin``.
+
+    The models judge every string of ``LEAST_CANDIDATE`` characters and more, whatever it is made of. A string that reaches beyond a fixed span
+    inside it is a span besides; one inside a fixed span, or next to an assignment's, is that span's already.
+    """
     spans = base_spans(text)
-    taken = [(s, e) for s, _, e, _ in spans]
     more = []
     for m in _CANDIDATE.finditer(text):
         s, e = m.span()
-        if _may_be_random(m.group()) and not any(a < e and s < b for a, b in taken) and likelihood_ratio(ratios, m.group()) > margin:
+        met = [(a, k, b) for a, k, b, _ in spans if a < e and s < b]
+        if any(k == 0 or (a <= s and e <= b) for a, k, b in met):
+            continue
+        if likelihood_ratio(ratios, m.group()) > margin:
             more.append((s, 3, e, s))
     return sorted(spans + more)
 

@@ -39,3 +39,18 @@ def test_random_strings_are_found_and_words_are_not(spark):
     out = {r["doc_id"]: r for r in secrets.masked_documents(df.withColumnRenamed("spans", "n_chars"), chars_col=None).collect()}
     assert out[500]["text"] == "é key [SECRET] end" and out[103]["text"] == 'x token = "[SECRET]" y' and out[501]["text"] is None
     assert secrets.find_secrets(df.where("false")).collect() == []
+
+
+def test_models_judge_letters_short_strings_and_what_encloses_a_fixed_span(spark):
+    rng = random.Random(11)
+    letters = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", k=40))
+    short, around = "7GqX2vKz9RwB4t", "Zq7" + hashlib.md5(b"x").hexdigest() + "XkT9vLqP"
+    capital = [w.capitalize() for w in ("berlin", "september", "wednesday", "nasa", "quixote", "xavier", "zanzibar", "kyoto", "victoria", "greenwich")]
+    rows = [(200 + i, " ".join(rng.choices([*capital, *(w.upper() for w in capital)], k=40) + [str(rng.randint(1900, 2030)) for _ in range(30)])) for i in range(90)]
+    rows += corpus() + [(500, f"key {letters} end"), (501, f"key {short} end"), (502, f"key {around} end"), (503, "internationalisation counterrevolutionaries")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: [(secrets.KINDS[k], r["spans"][i]["end"]) for i, (_, k, _, _) in enumerate(r["spans"])] for r in secrets.find_secrets(df).collect()}
+    assert got[500] == [("random", 44)] and got[501] == [("random", 18)] and got[503] == []
+    assert got[502][0] == ("random", 4 + len(around)) and len(got[502]) == 2 and got[502][1][0] == "hex"
+    out = {r["doc_id"]: r["text"] for r in secrets.masked_documents(df, chars_col=None).collect()}
+    assert out[502] == "key [SECRET] end" and out[500] == "key [SECRET] end" and all(out[i] == dict(rows)[i] for i in range(60))
