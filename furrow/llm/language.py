@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ SMOOTHING = 0.5
 STEPS = 12
 PENALTY = 6.0  # log n times this for each further language
 CELLS = 1_000_000  # of the likelihood table worked on at once
-_POINTS = 0x30000
+_POINTS = sys.maxunicode + 1
 _SPACE = 32
 
 _LUT: list[np.ndarray] = []
@@ -38,7 +39,7 @@ def _letters() -> np.ndarray:
 def trigrams(text: str) -> np.ndarray:
     """Buckets of a text's character trigrams; runs of other characters than letters count as one space. Empty without letters."""
     points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-    letters = _letters()[np.minimum(points, _POINTS - 1)] if len(points) else points
+    letters = _letters()[points] if len(points) else points
     padded = np.concatenate((np.array([_SPACE], np.uint32), letters, np.array([_SPACE], np.uint32)))
     padded = padded[np.append(True, (padded[1:] != _SPACE) | (padded[:-1] != _SPACE))]
     if len(padded) < 3:
