@@ -93,19 +93,20 @@ def ingest(raw: DataFrame, table: str, quarantine: str, run_log: str, run_id: st
            rules: P.QualityRules = P.QualityRules(), variables: dict[str, str] | None = None) -> dict:
     """Landed vendor rows into the observation table; returns the run's figures.
 
-    The feed is read once: its normalised rows are stored, judged by station, and the judged rows written in two parts while
-    their number is observed. Accepted values go through the quality filter into the upsert, with ``started_at`` as their time of
-    ingest; rejected rows go to ``quarantine`` by run; the run log gets one row. A repeated run writes the same rows again.
+    The feed is read once: its normalised rows are stored, judged by station, and the judged rows written while their number is
+    observed. The stations' judgement is hashed where it meets the rows, so no task sorts its share of them. Accepted values go
+    through the quality filter into the upsert, with ``started_at`` as their time of ingest; rejected rows go to ``quarantine``
+    by run; the run log gets one row. A repeated run writes the same rows again.
     """
     spark = raw.sparkSession
     at = F.lit(started_at).cast("timestamp")
     obs = stored(normalise_raw(raw, variables).withColumn("ingested_at", at), "ingest")
     good = A.confidence_score(A.quality_ratios(obs, rules=rules), rules=rules).select("station_id", (F.col("confidence_score") >= min_confidence).alias("accepted"))
     seen = Observation(f"ingest-{run_id}")
-    judged = obs.join(good, "station_id", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False))).observe(
+    judged = obs.join(good.hint("shuffle_hash"), "station_id", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False))).observe(
         seen, F.count(F.lit(1)).alias("records"), F.count_if("accepted").alias("accepted"))
     path = scratch_path(spark, "judged")
-    judged.write.partitionBy("accepted").parquet(path)
+    judged.write.parquet(path)
     parts = spark.read.schema(judged.schema).parquet(path)
     accepted = parts.where("accepted").drop("accepted")
     upsert(filter_values(accepted, rules.accept_synthetic, rules.accept_interpolated), table)

@@ -19,6 +19,7 @@ EXPORT_COLUMNS = (
     "state_name", "date", "event_type", "severity", "value", "threshold", "confidence", "data_quality", "crop_stage",
     "phenology_risk_multiplier", "flowering_window_active", "days_since_flowering_start", "risk_score", "detected_at",
 )
+ROWS_A_SLICE = 250_000  # of a partition that is merged
 RUN_LOG = T.StructType([
     T.StructField("run_id", T.StringType(), False), T.StructField("started_at", T.TimestampType()),
     T.StructField("finished_at", T.TimestampType()), T.StructField("stations", T.IntegerType()),
@@ -54,6 +55,25 @@ def last_wins(df: DataFrame, keys=("station_id", "date"), order: str = "ingested
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def _merge(rows: DataFrame, path: str, by: str, keys, order: str) -> None:
+    """Replace the partitions present in ``rows`` by the last row of each key; ``by`` follows from the key.
+
+    Rows are counted first and dealt out once, by partition and by slices of about ``ROWS_A_SLICE`` rows of a large one. A
+    task sorts some slices, and that order serves the choice of the last row and the files alike.
+    """
+    sizes = {r[by]: r["count"] for r in rows.groupBy(by).count().collect()}  # one row per partition to write
+    large = {value: 1 + n // ROWS_A_SLICE for value, n in sizes.items() if value is not None and n > ROWS_A_SLICE}
+    slices = F.lit(1)
+    if large:
+        of = F.create_map(*[F.lit(x) for pair in large.items() for x in pair])
+        slices = F.coalesce(F.try_element_at(of, F.col(by)), F.lit(1))
+    n = min(len(sizes) + sum(large.values()), 1 + sum(sizes.values()) // ROWS_A_SLICE)
+    w = W.partitionBy(by, "_slice", *keys).orderBy(F.col(order).desc_nulls_last(), F.xxhash64(*rows.columns))
+    dealt = rows.withColumn("_slice", F.pmod(F.xxhash64(*keys), slices)).repartition(max(1, n), by, "_slice")
+    last = dealt.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_slice")
+    last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
 def upsert(batch: DataFrame, path: str, keys=("station_id", "date"), order: str = "ingested_at") -> None:
     """Insert or replace by key, latest ingest winning; only the months in the batch are rewritten, once.
 
@@ -68,7 +88,7 @@ def upsert(batch: DataFrame, path: str, keys=("station_id", "date"), order: str
     if path_exists(spark, path):
         touched = [r["month"] for r in staged.select("month").distinct().collect()]
         rows = spark.read.parquet(path).where(F.col("month").isin(touched)).unionByName(staged, allowMissingColumns=True)
-    _overwrite_partitions(last_wins(rows, keys, order), path, "month")
+    _merge(rows, path, "month", keys, order)
     _remove(spark, stage)
 
 
@@ -78,7 +98,7 @@ def merge_dates(batch: DataFrame, path: str, keys=("station_id", "date"), order:
     if path_exists(spark, path):
         touched = batch.select(date).distinct()
         rows = spark.read.parquet(path).join(touched, date, "left_semi").unionByName(batch, allowMissingColumns=True)
-    _overwrite_partitions(last_wins(rows, keys, order), path, date)
+    _merge(rows, path, date, keys, order)
 
 
 def replace_dates(batch: DataFrame, path: str, date: str = "date") -> None:

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from tests.conftest import day, rows
 
@@ -28,6 +29,20 @@ def test_upsert_is_idempotent_and_last_wins(spark):
     assert got == [("a", day("2025-12-31"), 1.0), ("a", day("2026-01-01"), 9.0), ("b", day("2026-01-01"), 3.0), ("c", day("2026-01-01"), 5.0)]
 
 
+def test_large_months_are_merged_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_A_SLICE", 50)
+    path = scratch_path(spark, "sliced")
+    data = [(f"s{i}", "2026-01-01", float(i), "2026-02-01") for i in range(900)] + [("s1", "2026-02-01", 1.0, "2026-02-01")]
+    sinks.upsert(batch(spark, *data, *data[:300]), path)
+    newer = [(f"s{i}", "2026-01-01", -1.0, "2026-02-02") for i in range(0, 900, 3)]
+    sinks.upsert(batch(spark, *newer), path)
+    got = spark.read.parquet(path)
+    want = [(s, day(d), -1.0 if d == "2026-01-01" and int(s[1:]) % 3 == 0 else v) for s, d, v, _ in data]
+    assert rows(got, "station_id", "date", "rainfall") == sorted(want, key=repr)
+    held = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
+    assert len(held) > 8 and max(held) < 300
+
+
 def test_replace_date_touches_only_that_date(spark):
     path = scratch_path(spark, "r")
     sinks.replace_dates(batch(spark, ("a", "2026-01-01", 1.0, "2026-01-01"), ("b", "2026-01-02", 2.0, "2026-01-01")).drop("ingested_at"), path)
@@ -155,6 +170,25 @@ def test_ingest_reads_the_feed_once_and_ends_in_the_table(spark):
     assert rows(spark.read.parquet(f"{path}/runs"), "run_id", "stations", "records") == [("r1", 1, 10)] * 2
 
 
+def test_ingest_judges_rows_without_sorting_them(spark, monkeypatch):
+    plans, parquet = [], DataFrameWriter.parquet
+
+    def spied(self, *args, **options):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return parquet(self, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spied)
+    raw = spark.createDataFrame([("1", "2026-01-01", 1.0, 0), ("2", "2026-01-01", 1.0, 999)], "station_id string, `YYYY-MM-DD` string, daily_rain double, daily_rain_source int")
+    path, most = scratch_path(spark, "ingest"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        Q.ingest(raw, f"{path}/t", f"{path}/q", f"{path}/runs", "r1", "2026-01-11 00:00:00", 0.1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    judged = next(p for p in plans if "Join" in p)
+    assert "ShuffledHashJoin" in judged and "Sort " not in judged
+
+
 def test_stream_rolling_equals_batch(spark):
     from furrow.operators.timeseries import rolling_totals
     data = [(s, day("2026-01-01") + dt.timedelta(i), float(i % 5)) for s in ("a", "b") for i in range(20) if not (s == "b" and i == 7)]
