@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import kept, mix64, partitions, query, table, window_hashes, word_hashes
+from furrow.llm.common import forget, kept, mix64, partitions, query, release, table, window_hashes, word_hashes
 
 WORDS, PERCENT = 5, 75
 COARSE = 32  # groups of an R-tree's points
@@ -169,6 +169,8 @@ def profile(text: Column, common: np.ndarray, spark: SparkSession, percent: int
                     order = np.concatenate((s[~frequent], s[frequent]))
                 out.append((len(s), digest(s), _blob(count_vector(s)), order[:p].astype(np.int64)))
             yield pd.DataFrame(out, columns=["n", "node", "groups", "prefix"])
+            del out, texts
+            release()
 
     return of(text)
 
@@ -189,14 +191,17 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     vectors = [nodes.select(F.col("node").alias(x), F.col("groups").alias(f"g{x}")) for x in "ab"]
     sized = pairs.join(sizes[0], "a").join(sizes[1], "b").where(
         (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))).select("a", "b")
-    near = kept(sized, "sized").join(vectors[0], "a").join(vectors[1], "b")
+    sized = kept(sized, "sized")
+    near = sized.join(vectors[0], "a").join(vectors[1], "b")
 
     def allowed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             keep = [may_link(_vector(x), _vector(y), percent) for x, y in zip(pdf["ga"], pdf["gb"], strict=True)]
             yield pdf.loc[keep, ["a", "b"]]
 
-    return near.mapInPandas(allowed, "a bigint, b bigint")
+    out = kept(near.mapInPandas(allowed, "a bigint, b bigint"), "candidates")
+    forget(sized)
+    return out
 
 
 def _shingles(concerned: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -210,7 +215,9 @@ def _shingles(concerned: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: s
 
     few = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(few, F.col("id").eqNullSafe(F.col("_id")))
-    return kept(texts.select("node", "text").mapInPandas(sets, "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "shingles")
+    out = kept(texts.select("node", "text").mapInPandas(sets, "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "shingles")
+    forget(ids)
+    return out
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
@@ -222,7 +229,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     both = pairs.join(known.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
         known.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     shared, all_ = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
-    return both.where((100 + percent) * shared.cast("long") >= percent * all_.cast("long")).select("a", "b")
+    out = kept(both.where((100 + percent) * shared.cast("long") >= percent * all_.cast("long")).select("a", "b"), "verified")
+    forget(known)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -237,13 +246,14 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = kept(both.groupBy("a").agg(F.least("a", F.min("b")).alias("to")), "least")
         if names is None:
-            names = least.select(F.col("a").alias("node"), F.col("to").alias("label"))
+            names = kept(least.select(F.col("a").alias("node"), F.col("to").alias("label")), "names")
         else:
-            names = names.join(least, F.col("label") == F.col("a"), "left").select("node", F.coalesce("to", "label").alias("label"))
-        names = kept(names, "names")
+            old, names = names, kept(names.join(least, F.col("label") == F.col("a"), "left").select("node", F.coalesce("to", "label").alias("label")), "names")
+            forget(old)
         ends = edges.join(least, "a").select(F.col("to").alias("_a"), "b").join(least.withColumnRenamed("a", "b"), "b").select(
             F.least("_a", "to").alias("a"), F.greatest("_a", "to").alias("b"))
-        edges = kept(ends.where("a <> b").distinct(), "links")
+        old, edges = edges, kept(ends.where("a <> b").distinct(), "links")
+        forget(old, least)
     return names if names is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
@@ -256,7 +266,9 @@ def _open_blocks(rows: DataFrame, nodes: DataFrame, names: DataFrame) -> DataFra
     open_ = (labelled.groupBy("sig").agg(F.min("label").alias("_l"), F.max("label").alias("_m"), F.count(F.lit(1)).alias("size"),
                                          F.bit_xor(F.xxhash64("node")).alias("_x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("_y"))
              .where("_l <> _m and size > 2").groupBy("size", "_x", "_y").agg(F.min("sig").alias("sig")).select("sig", "size"))
-    return kept(labelled.join(open_, "sig").join(nodes.select("node", "n"), "node"), "open-blocks")
+    out = kept(labelled.join(open_, "sig").join(nodes.select("node", "n"), "node"), "open-blocks")
+    forget(labelled)
+    return out
 
 
 def _wanted(label: np.ndarray, points: np.ndarray, mine: np.ndarray, other: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -402,23 +414,32 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Data
     # a group of near copies has few leads, as each block takes its least node
     shared = signed.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("_last")).where("lead <> _last").select("sig", "lead")
     blocks = kept(signed.join(shared, "sig").distinct(), "blocks")
+    profiles, rows = rows, kept(rows.select("doc_id", "text_hash", "n", "node"), "rows")
+    forget(profiles)
 
     stars = blocks.where("node <> lead").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
-    links = kept(_verified(kept(_bounded(stars, nodes, percent), "candidates"), nodes, docs, id_col, text_col, percent), "verified")
+    candidates = _bounded(stars, nodes, percent)
+    links = _verified(candidates, nodes, docs, id_col, text_col, percent)
+    forget(candidates)
     names = components(links)
     open_ = _open_blocks(blocks.select("sig", "node"), nodes, names)
+    forget(blocks)
     small, large = open_.where(F.col("size") <= SMALL), open_.where(F.col("size") > SMALL)
     if large.head(1):
         sets = _shingles(large.select("node").distinct(), nodes, docs, id_col, text_col)
         links = kept(links.unionByName(_large_blocks(large, sets, percent)), "links")
+        forget(sets)
     if small.head(1):
         more = kept(_small_blocks(small, nodes, percent), "candidates")
         links = links.unionByName(_verified(more, nodes, docs, id_col, text_col, percent))
+        forget(more)
+    forget(open_)
     names = components(links)
 
     reps = nodes.join(names, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "rep")
     least = reps.groupBy("label").agg(F.min("rep").alias("component_id"))
-    found = reps.join(least, "label").select(F.col("node").alias("_node"), "label", "component_id")
+    found = kept(reps.join(least, "label").select(F.col("node").alias("_node"), "label", "component_id"), "components")
+    forget(nodes, names)
     joined = rows.select("doc_id", "text_hash", "n", "node").join(found, (F.col("n") > 0) & (F.col("node") == F.col("_node")), "left")
     return joined.select("doc_id", "text_hash", "n", "label", "component_id")
 

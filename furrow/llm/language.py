@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import fold, query, table
+from furrow.llm.common import fold, query, release, table
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -145,8 +145,11 @@ def languages(text: Column, model: Model, spark: SparkSession) -> Column:
     sent = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang:string,share:double,languages:array<string>>")
-    def mixed(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(sent.value.mixtures(texts.tolist()), columns=["lang", "share", "languages"])
+    def mixed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame(sent.value.mixtures(texts.tolist()), columns=["lang", "share", "languages"])
+            del texts
+            release()
 
     return mixed(text)
 

@@ -94,3 +94,15 @@ def test_shared_shingles():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 300, n)).astype(np.uint64) for n in (0, 5, 80, 200, 200)]
     assert jaccard.shared_shingles(sets, sets[::-1], step=64).tolist() == [[len(np.intersect1d(a, b)) for b in sets[::-1]] for a in sets]
+
+
+def test_files_of_earlier_steps_go(spark, monkeypatch, tmp_path):
+    from furrow import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    rows = corpus(5)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = jaccard.near_duplicates(df)
+    left = {p.name.rpartition("-")[0] for p in tmp_path.iterdir()}
+    assert {"rows", "components"} <= left and not left & {"profiles", "nodes", "blocks", "sized", "candidates", "concerned", "shingles", "labelled", "open-blocks", "least"}
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(expected(rows), key=repr)

@@ -89,3 +89,22 @@ def test_empty_table_and_table_without_words(spark):
     assert mixing.mix(docs(spark, [])).collect() == []
     assert [r["copies"] for r in mixing.mix(docs(spark, [(1, None, "a"), (2, "", None)])).collect()] == [0, 0]
     assert mixing.mixed_documents(docs(spark, [])).collect() == []
+
+
+def test_documents_do_not_travel_to_their_number_of_copies(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join("w" * rng.randint(1, 30)), rng.choice(["a", "b", None, "hot"])) for i in range(300)] + [(None, "v w x", "a"), (None, None, "b")]
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        out = mixing.mixed_documents(docs(spark, rows))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan and "NestedLoop" not in plan
+    size, _, taken = expected(rows)
+    counts = {}
+    for r in got:
+        counts[r["doc_id"]] = counts.get(r["doc_id"], 0) + 1
+    assert counts == {r[0]: k // n for r, n, k in zip(rows, size, taken, strict=True) if k}
