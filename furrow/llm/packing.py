@@ -2,29 +2,63 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import kept, query, release, span_hashes, table
+from furrow.llm.common import kept, mix64, query, release, table
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 2048
 END_ID = 0
 PIECES_A_GROUP = 4096
-BATCH_CHARACTERS = 1 << 22  # tokenised at once; fewer take less memory and more time, the result is the same
+BATCH_CHARACTERS = 1 << 20  # tokenised at once; the result is the same for any number
+KNOWN_UNITS, KNOWN_IDS = 1 << 18, 1 << 21  # that an encoder remembers at most
 
 # texts of these characters only, without runs of white space, fall into pieces that are encoded alone
 _ODD = re.compile("[^\n -~À-ÖØ-öø-ɏ]")
-_LETTER = np.array([chr(b).isalnum() and b < 128 or b >= 128 for b in range(256)])
-_MARK = np.array([32 < b < 127 and not chr(b).isalnum() for b in range(256)])
-_RUNS = ("  ", "\n\n", " \n", "\n ")
+_CUT, _STRANGE = 1, 2
+
+
+def _pair_kinds() -> np.ndarray:
+    """What a byte is after another (256 * byte + byte before): the start of a unit, or strange, so that the text goes whole."""
+    after, before = np.divmod(np.arange(1 << 16), 256)
+    letter = np.array([chr(b).isalnum() and b < 128 or b >= 128 for b in range(256)])
+    mark = np.array([32 < b < 127 and not chr(b).isalnum() for b in range(256)])
+    white = np.array([chr(b) in " \n" for b in range(256)])
+    control = np.array([(b < 32 and b != 10) or b == 127 for b in range(256)])
+    # a unit starts at white space, and at a mark after a letter or digit, where pieces of the vocabulary end anyway
+    cut_here = white[after] | (mark[after] & letter[before])
+    return (_CUT * cut_here + _STRANGE * (control[after] | (white[after] & white[before]))).astype(np.uint8)
+
+
+_PAIR_KINDS = _pair_kinds()
+_LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
+_LONG_UNIT = 64
+
+
+def unit_hashes(joined: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans without zero bytes, eight bytes at a time; ``joined`` ends in eight spare bytes."""
+    words = np.ndarray((len(joined) - 7,), dtype="<u8", buffer=joined, strides=(1,))
+    out = words[starts] & _LOW_BYTES[np.minimum(lengths, 8)]
+    more = np.flatnonzero(lengths > 8)
+    for at in range(8, _LONG_UNIT, 8):
+        more = more[lengths[more] > at]
+        if not len(more):
+            break
+        out[more] = mix64(out[more]) + (words[starts[more] + at] & _LOW_BYTES[np.minimum(lengths[more] - at, 8)])
+    for k in np.flatnonzero(lengths > _LONG_UNIT).tolist():
+        span = joined[starts[k] : starts[k] + lengths[k]]
+        out[k] = int.from_bytes(hashlib.blake2b(span, digest_size=8).digest(), "little")
+    return mix64(out)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -45,17 +79,15 @@ class Encoder:
 
     Ids are those of ``tokenizers`` for the vocabulary file. Common texts fall into units, a word with the space or line
     end before it or the marks behind it, that are encoded alone: the distinct units of a batch are found by their 64-bit
-    hashes and go through the same vocabulary as merge ranks. Texts with uncommon characters or runs of white space go
-    to ``tokenizers`` whole.
+    hashes, and those not met before go through the same vocabulary as merge ranks. The ids of the first
+    ``KNOWN_UNITS`` units are remembered. Texts with uncommon characters or runs of white space go to ``tokenizers`` whole.
     """
 
     def __init__(self, path: str, batch_characters: int = BATCH_CHARACTERS):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.batch_characters = batch_characters
-        self.whole = Tokenizer.from_file(path)
+        self.path, self.batch_characters = path, batch_characters
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec.get("added_tokens", ())]
@@ -65,10 +97,15 @@ class Encoder:
         self.token_bytes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, i in ranks.items():
             self.token_bytes[i] = len(token)
+        # remembered units: hashes in order, and where in the ids each one's begin and how many they are
+        self.hashes, self.first, self.many = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        self.ids = np.empty(0, dtype="<u4")
+
+    @cached_property
+    def whole(self):
+        from tokenizers import Tokenizer
 
-    def _plain(self, text: str) -> bool:
-        return not (_ODD.search(text) or text[0] in " \n" or text[-1] in " \n" or any(r in text for r in _RUNS)
-                    or any(s in text for s in self.special))
+        return Tokenizer.from_file(self.path)
 
     def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text, in order."""
@@ -81,43 +118,88 @@ class Encoder:
             yield from self._chunk(texts[start:at])
 
     def _chunk(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        plain = [bool(t) and self._plain(t) for t in texts]
-        ids, bounds = self._units([t.encode() for t, p in zip(texts, plain, strict=True) if p])
+        filled = [t for t in texts if t]
+        plain, ids, bounds = self._units(filled) if filled else ([], None, None)
         k = 0
-        for text, p in zip(texts, plain, strict=True):
-            if p:
+        for text in texts:
+            if not text:
+                yield np.empty(0, dtype="<u4")
+                continue
+            if plain[k]:
                 yield ids[bounds[k] : bounds[k + 1]]
-                k += 1
             else:
-                yield np.array(self.whole.encode(text, add_special_tokens=False).ids if text else [], dtype="<u4")
-
-    def _units(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and where each text's begin (one entry more at the end)."""
-        if not texts:
-            return np.empty(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
-        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-        begins = np.cumsum([0] + [len(t) for t in texts])
-        # a unit starts at white space, and at a mark after a letter or digit, where pieces of the vocabulary end anyway
-        cut_here = (data == 32) | (data == 10)
-        cut_here[1:] |= _MARK[data[1:]] & _LETTER[data[:-1]]
-        cut_here[begins[:-1]] = True
-        starts = np.flatnonzero(cut_here)
-        ends = np.append(starts[1:], len(data))
-        _, example, unit = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        # the distinct units, a line end (one id) after each, are encoded in one go and told apart by their lengths in bytes
-        lengths = ends[example] - starts[example]
-        joined_at = np.cumsum(lengths + 1) - (lengths + 1)
-        joined = np.full(int(lengths.sum()) + len(lengths), 10, dtype=np.uint8)
-        step = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        joined[np.repeat(joined_at, lengths) + step] = data[np.repeat(starts[example], lengths) + step]
-        flat = np.array(self.words.encode_ordinary(joined.tobytes().decode()), dtype="<u4")
-        offsets = np.cumsum(self.token_bytes[flat]) - self.token_bytes[flat]
-        first = np.searchsorted(offsets, joined_at)
-        many = np.append(first[1:], len(flat)) - first - 1
+                yield np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            k += 1
+
+    def _units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which texts are plain, the ids of those in a row, and where each text's begin (one entry more at the end)."""
+        parts = [t.encode() for t in texts]
+        begins = np.cumsum([0] + [len(p) for p in parts])
+        joined = b"".join([*parts, bytes(8)])
+        del parts
+        data = np.frombuffer(joined, dtype=np.uint8, count=int(begins[-1]))
+        kinds = np.empty(len(data), dtype=np.uint8)
+        kinds[0] = _PAIR_KINDS[256 * int(data[0])]
+        kinds[1:] = _PAIR_KINDS[np.ndarray((len(data) - 1,), dtype="<u2", buffer=joined, strides=(1,))]
+        plain = self._plain(texts, joined, data, begins, kinds)
+        kinds[begins[:-1]] |= _CUT
+        starts = np.flatnonzero(kinds & _CUT)
+        del kinds
+        lengths = np.diff(starts, append=len(data))
+        units = np.diff(np.append(np.searchsorted(starts, begins[:-1]), len(starts)))
+        if not plain.all():
+            stay = np.repeat(plain, units)
+            starts, lengths, units = starts[stay], lengths[stay], units * plain
+        unit, distinct = pd.factorize(unit_hashes(joined, starts, lengths))
+        example = np.empty(len(distinct), dtype=np.int64)
+        example[unit[::-1]] = np.arange(len(unit))[::-1]
+        first, many, pool = self._ids(distinct, joined, starts[example], lengths[example])
         counts = many[unit]
-        sums = np.cumsum(counts)
-        ids = flat[np.repeat(first[unit] - (sums - counts), counts) + np.arange(sums[-1])]
-        return ids, np.append(0, sums)[np.append(np.searchsorted(starts, begins[:-1]), len(starts))]
+        sums = np.append(0, np.cumsum(counts))
+        ids = pool[np.repeat(first[unit] - sums[:-1], counts) + np.arange(sums[-1])]
+        return plain, ids, sums[np.append(0, np.cumsum(units))]
+
+    def _plain(self, texts: list[str], joined: bytes, data: np.ndarray, begins: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """Whether each text has common characters only, no run of white space and none at its ends, and no special token."""
+        edges = data[begins[:-1]], data[begins[1:] - 1]
+        plain = ~np.logical_or.reduce([(e == 32) | (e == 10) for e in edges])
+        # a strange pair over a border is white space at the end of the text before and at the start of this one
+        plain[np.searchsorted(begins, np.flatnonzero(kinds & _STRANGE), side="right") - 1] = False
+        for k, text in enumerate(texts):
+            if plain[k] and not text.isascii() and _ODD.search(text):
+                plain[k] = False
+        for s in self.special:
+            if s.encode() in joined:
+                plain &= np.array([s not in t for t in texts])
+        return plain
+
+    def _ids(self, hashes: np.ndarray, joined: bytes, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(where they begin, how many, a pool) of the ids of distinct units."""
+        order = np.argsort(hashes)
+        row = np.empty(len(hashes), dtype=np.int64)
+        row[order] = np.searchsorted(self.hashes, hashes[order])  # faster in order
+        known = np.zeros(len(hashes), dtype=bool)
+        inside = row < len(self.hashes)
+        known[inside] = self.hashes[row[inside]] == hashes[inside]
+        first, many = np.empty(len(hashes), dtype=np.int64), np.empty(len(hashes), dtype=np.int64)
+        first[known], many[known] = self.first[row[known]], self.many[row[known]]
+        new = np.flatnonzero(~known)
+        if not len(new):
+            return first, many, self.ids
+        # the new units, a line end (one id) after each, are encoded in one go and told apart by their lengths in bytes
+        spans = [joined[s : s + n] for s, n in zip(starts[new].tolist(), lengths[new].tolist(), strict=True)]
+        flat = self.words.encode_to_numpy(b"\n".join([*spans, b""]).decode(), disallowed_special=()).astype("<u4")
+        joined_at = np.cumsum(lengths[new] + 1) - (lengths[new] + 1)
+        offsets = np.cumsum(self.token_bytes[flat]) - self.token_bytes[flat]
+        at = np.searchsorted(offsets, joined_at)
+        first[new], many[new] = len(self.ids) + at, np.append(at[1:], len(flat)) - at - 1
+        pool = np.concatenate((self.ids, flat))
+        if len(self.hashes) + len(new) <= KNOWN_UNITS and len(pool) <= KNOWN_IDS:
+            every = np.concatenate((self.hashes, hashes[new]))
+            order = np.argsort(every)
+            self.hashes, self.ids = every[order], pool
+            self.first, self.many = np.concatenate((self.first, first[new]))[order], np.concatenate((self.many, many[new]))[order]
+        return first, many, pool
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:

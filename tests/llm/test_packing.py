@@ -35,6 +35,39 @@ def test_ids_of_any_text(texts, whole, encoder):
     assert [ids.tolist() for ids in encoder(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+class Counted:
+    """Vocabulary that notes the bytes it is given."""
+
+    def __init__(self, words):
+        self.words, self.sizes = words, []
+
+    def encode_to_numpy(self, text, **options):
+        self.sizes.append(len(text))
+        return self.words.encode_to_numpy(text, **options)
+
+
+def test_units_met_before_are_not_encoded_again(whole):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["alpha", "beta's", "gamma,", "x" * 70, "y" * 65, "été", "12ab"], k=30)) for _ in range(200)]
+    texts[3:3] = ["odd \t text", None, "", "a<|endoftext|>b", "ends ", "日本 alpha"]
+    encoder = packing.Encoder(packing.tokenizer_path(), 1000)
+    encoder.words = Counted(encoder.words)
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in encoder(texts)] == want
+    assert sum(encoder.words.sizes) < 2000  # of about 60,000 characters
+    before = len(encoder.words.sizes)
+    assert [ids.tolist() for ids in encoder(texts)] == want and len(encoder.words.sizes) == before
+
+
+def test_ids_beyond_what_is_remembered(whole, monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_UNITS", 20)
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcé'9", k=rng.randint(1, 30))) for _ in range(5)) for _ in range(60)]
+    encoder = packing.Encoder(packing.tokenizer_path(), 100)
+    assert [ids.tolist() for ids in encoder(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(encoder.hashes) <= 20
+
+
 @settings(max_examples=60, deadline=None)
 @given(lengths=st.lists(st.integers(0, 50), max_size=60))
 def test_best_fit_decreasing_equals_a_search_of_all_bins(lengths):
