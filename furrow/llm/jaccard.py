@@ -143,6 +143,8 @@ def _common_shingles(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
             sets = list(_sets_of(pdf["text"]))
             values, n = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_counts=True)
             yield pd.DataFrame({"shingle": values.astype(np.int64), "n": n})
+            del pdf, sets, values, n
+            release()
 
     often = (sample.mapInPandas(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
              .where(F.col("n") >= SAMPLE_HITS).orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).select("shingle").toPandas())
@@ -198,6 +200,8 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         for pdf in batches:
             keep = [may_link(_vector(x), _vector(y), percent) for x, y in zip(pdf["ga"], pdf["gb"], strict=True)]
             yield pdf.loc[keep, ["a", "b"]]
+            del pdf
+            release()
 
     out = kept(near.mapInPandas(allowed, "a bigint, b bigint"), "candidates")
     forget(sized)
@@ -212,6 +216,8 @@ def _shingles(concerned: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: s
         for pdf in batches:
             own = [(node, s.astype(np.int64)) for s, node in zip(_sets_of(pdf["text"]), pdf["node"], strict=True) if len(s) and digest(s) == node]
             yield pd.DataFrame(own, columns=["node", "shingles"])
+            del pdf, own
+            release()
 
     few = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(few, F.col("id").eqNullSafe(F.col("_id")))

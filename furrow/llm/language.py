@@ -126,6 +126,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
                         held, size = [], 0
                 if held:
                     counts += np.bincount(np.concatenate(held), minlength=BUCKETS)
+                del held, texts
+            del pdf
+            release()
         for lang, counts in own.items():
             seen = np.flatnonzero(counts)
             yield pd.DataFrame({"lang": lang, "bucket": seen, "n": counts[seen]})

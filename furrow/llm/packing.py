@@ -312,7 +312,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     pieces = kept(  # ids travel as text: null ones would turn a batch's whole numbers into floats
         docs.select(F.col(id_col).cast("string").alias("doc_id"), token_pieces(F.col(text_col), path, capacity, batch_characters).alias("_pieces"))
-        .select("doc_id", F.posexplode("_pieces").alias("piece", "_p"))
+        .select("doc_id", F.posexplode_outer("_pieces").alias("piece", "_p"))  # none is empty; a plain one would tokenise twice, to filter first
         .select("doc_id", "piece", "_p.start", "_p.length", "_p.ids_crc32", F.monotonically_increasing_id().alias("uid")), "pieces")
     return pack(pieces, capacity).drop("uid").withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import query, table
+from furrow.llm.common import query, release, table
 
 # fixed patterns
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -91,6 +91,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows:
                 words += [w for w in _WORD.findall(text) if not _may_be_random(w)]
             random += _transitions(found)
             ordinary += _transitions(words)
+            del pdf, found, words
+            release()
         pair = np.flatnonzero(random + ordinary)
         yield pd.DataFrame({"pair": pair, "random": random[pair], "ordinary": ordinary[pair]})
 
@@ -133,9 +135,12 @@ def secret_spans(text: Column, ratios: np.ndarray, margin: float = MARGIN) -> Co
     """Array of (start, kind, end, value_start) in code points, end exclusive; null and empty texts have none."""
 
     @F.pandas_udf(SPANS)
-    def spans(texts: pd.Series) -> pd.Series:
+    def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         names = ("start", "kind", "end", "value_start")
-        return pd.Series([[dict(zip(names, s, strict=True)) for s in all_spans(t, ratios, margin)] if t else [] for t in texts])
+        for texts in batches:
+            yield pd.Series([[dict(zip(names, s, strict=True)) for s in all_spans(t, ratios, margin)] if t else [] for t in texts], dtype=object)
+            del texts
+            release()
 
     return spans(text)
 
@@ -152,16 +157,19 @@ def masked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ratios = train(docs, id_col, text_col)
 
     @F.pandas_udf("string")
-    def masked(texts: pd.Series) -> pd.Series:
-        out = []
-        for text in texts:
-            spans, parts, at = (all_spans(text, ratios, margin) if text else []), [], 0
-            for _, _, end, value in sorted(spans, key=lambda s: (s[3], s[2])):
-                if value >= at:
-                    parts += [text[at:value], MASK]
-                at = max(at, end)
-            out.append("".join([*parts, text[at:]]) if spans else text)
-        return pd.Series(out, dtype=object)
+    def masked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            out = []
+            for text in texts:
+                spans, parts, at = (all_spans(text, ratios, margin) if text else []), [], 0
+                for _, _, end, value in sorted(spans, key=lambda s: (s[3], s[2])):
+                    if value >= at:
+                        parts += [text[at:value], MASK]
+                    at = max(at, end)
+                out.append("".join([*parts, text[at:]]) if spans else text)
+            yield pd.Series(out, dtype=object)
+            del texts, out
+            release()
 
     whole = docs.withColumn(text_col, masked(F.col(text_col)))
     return whole.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType)) if chars_col in docs.columns else whole

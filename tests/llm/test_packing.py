@@ -110,6 +110,18 @@ def test_pieces_and_places(spark, whole):
     assert len(bins) <= -(-sum(r["length"] for r in out) // 2048) + 1
 
 
+def test_texts_are_tokenised_once(spark, monkeypatch):
+    plans = []
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df
+
+    monkeypatch.setattr(packing, "kept", noted)
+    packing.pack_documents(spark.createDataFrame([(1, "a")], "doc_id bigint, text string"))
+    assert [p.count("ArrowEvalPython") for p in plans] == [1]
+
+
 def test_cut_leaves_the_rest_to_the_first_piece():
     assert packing.cut(5000, 2048) == [(0, 904), (904, 2048), (2952, 2048)]
     assert packing.cut(4096, 2048) == [(0, 2048), (2048, 2048)] and packing.cut(1, 2048) == [(0, 1)]

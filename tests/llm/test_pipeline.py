@@ -3,6 +3,7 @@ from collections import Counter
 
 import corpus_pipeline
 from furrow.llm import packing
+from furrow.llm.common import release
 from tests.llm.test_jaccard import expected as components
 from tests.llm.test_mixing import expected as mixture
 
@@ -39,3 +40,28 @@ def test_stages_on_each_other_s_rows(spark):
     for r in packed:
         lengths[r["sequence_id"]] = lengths.get(r["sequence_id"], 0) + r["length"]
     assert max(lengths.values()) <= packing.CAPACITY
+
+
+def test_stages_send_few_rows_a_batch(spark):
+    df = spark.createDataFrame([(1, "a b c", "aa", "s", 5, "x")], SCHEMA)
+    before = spark.conf.get(corpus_pipeline.BATCH_ROWS)
+    try:
+        for given, want in (("10000", "1000"), ("0", "1000"), ("50", "50")):
+            spark.conf.set(corpus_pipeline.BATCH_ROWS, given)
+            dict(corpus_pipeline.STAGES)["secrets"](spark, df, "")
+            assert spark.conf.get(corpus_pipeline.BATCH_ROWS) == want
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_ROWS, before)
+
+
+def test_release_returns_memory_between_what_is_held():
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    texts = [bytes([65 + i % 26]) * 20_000 for i in range(10_000)]
+    texts[:] = texts[::500]
+    before = resident()
+    release()
+    assert before - resident() > 100_000_000
+    assert len(texts) == 20
