@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from furrow.llm.common import forget, kept, mix64, partitions, query, release, table, window_hashes, word_hashes
@@ -20,9 +20,9 @@ TILE = 1024
 SMALL = 512  # nodes of a block; the sets of larger ones travel
 ROW_BYTES, UNIT_BYTES = 400, 1 << 24  # of a row of a block, and of the blocks one task holds at a time
 TILE_BYTES = 1 << 24  # of shingle sets
-SIZE_STEP = 1.05  # sizes of one class of a large block differ by less
+SIZE_STEP = 1.05  # sizes of one class of a large block differ by less, or by as much as links allow if that is more
 BROADCAST_ROWS = 500_000  # of an id and a hash each
-SAMPLE_DOCUMENTS, SAMPLE_HITS, MOST_COMMON = 16_384, 5, 1 << 19
+SAMPLE_DOCUMENTS, SAMPLE_ONE_OF, SAMPLE_HITS, MOST_COMMON = 16_384, 16, 5, 1 << 19
 
 
 def shingle_sets(texts: list[str], n: int = WORDS) -> list[np.ndarray]:
@@ -130,12 +130,14 @@ class CountTree:
         return q[keep], point[keep]
 
 
-def _common_shingles(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
-    """Shingles of many documents, from about ``SAMPLE_DOCUMENTS`` of them; they come last in every prefix.
+def _common_shingles(docs: DataFrame, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of many documents and how often a sample holds them; they come last in every prefix, the commonest at its end.
 
-    Any list gives the same links: it only keeps passages that many texts share from making large blocks.
+    The sample is one document of ``SAMPLE_ONE_OF``, or about ``SAMPLE_DOCUMENTS`` where that is more. As it grows with the
+    table, the passages that it misses are in no more documents of a large table than of a small one. Any list gives the same
+    links: it only keeps passages that many texts share from making large blocks.
     """
-    every = max(1, math.ceil(docs.count() / SAMPLE_DOCUMENTS))
+    every = min(SAMPLE_ONE_OF, max(1, math.ceil(docs.count() / SAMPLE_DOCUMENTS)))
     sample = docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(every)) == 0).select(F.col(text_col).alias("text")).dropna()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -146,18 +148,21 @@ def _common_shingles(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
             del pdf, sets, values, n
             release()
 
-    often = (sample.mapInPandas(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-             .where(F.col("n") >= SAMPLE_HITS).orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).select("shingle").toPandas())
-    return np.sort(often["shingle"].to_numpy(dtype=np.int64).astype(np.uint64))
+    met = kept(sample.mapInPandas(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= SAMPLE_HITS), "met")
+    often = met.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).toPandas()
+    forget(met)
+    known = often["shingle"].to_numpy(dtype=np.int64).astype(np.uint64)
+    order = np.argsort(known)
+    return known[order], often["n"].to_numpy(dtype=np.int64)[order]
 
 
-def profile(text: Column, common: np.ndarray, spark: SparkSession, percent: int = PERCENT) -> Column:
+def profile(text: Column, common: tuple[np.ndarray, np.ndarray], spark: SparkSession, percent: int = PERCENT) -> Column:
     """(n, node, groups, prefix) of a text's shingle set."""
-    sent = spark.sparkContext.broadcast(common)  # at most MOST_COMMON hashes
+    sent = spark.sparkContext.broadcast(common)  # at most MOST_COMMON hashes and counts
 
     @F.pandas_udf("struct<n:bigint,node:bigint,groups:binary,prefix:array<bigint>>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = sent.value
+        known, often = sent.value
         for texts in batches:
             out = []
             for s in _sets_of(texts):
@@ -168,7 +173,7 @@ def profile(text: Column, common: np.ndarray, spark: SparkSession, percent: int
                 if len(known):
                     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     frequent = known[at] == s
-                    order = np.concatenate((s[~frequent], s[frequent]))
+                    order = np.concatenate((s[~frequent], s[frequent][np.argsort(often[at[frequent]], kind="stable")]))
                 out.append((len(s), digest(s), _blob(count_vector(s)), order[:p].astype(np.int64)))
             yield pd.DataFrame(out, columns=["n", "node", "groups", "prefix"])
             del out, texts
@@ -295,33 +300,49 @@ def _wanted(label: np.ndarray, points: np.ndarray, mine: np.ndarray, other: np.n
     return q[new], p[new]
 
 
+def _of_like_size(blocks: DataFrame, percent: int) -> DataFrame:
+    """``sig, run, node, label, n`` of those rows of small blocks that others of the block may link with, by size and component.
+
+    A run holds the rows whose sizes follow each other closely enough for links; no two rows of different runs can link.
+    """
+    by_size = Window.partitionBy("sig").orderBy("n", "node")
+    begins = F.coalesce((100 * F.lag("n").over(by_size) < percent * F.col("n")).cast("int"), F.lit(0))
+    run = Window.partitionBy("sig", "run")
+    runs = blocks.withColumn("_begins", begins).withColumn("run", F.sum("_begins").over(by_size))
+    mixed = runs.withColumn("_l", F.min("label").over(run)).withColumn("_m", F.max("label").over(run)).where("_l <> _m")
+    return mixed.select("sig", "run", "node", "label", "n")
+
+
 def _small_blocks(blocks: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) across components in blocks of at most ``SMALL`` nodes, as the trees and count vectors allow."""
+    like = kept(_of_like_size(blocks, percent), "like")
     # a pair belongs to the least of the blocks that both are in, so it comes out once; a node has no more blocks than prefix shingles
-    places = blocks.groupBy("node").agg(F.collect_list("sig").alias("sigs"))
-    work = blocks.join(nodes.select("node", "groups"), "node").join(places, "node")
+    places = like.groupBy("node").agg(F.collect_list("sig").alias("sigs"))
+    work = like.join(nodes.select("node", "groups"), "node").join(places, "node").withColumn("sigs", F.expr("filter(sigs, x -> x < sig)"))
     # a count vector takes about half a byte a shingle, and a row some more
-    volume = blocks.agg(F.sum(F.least(F.lit(FINEST), F.col("n") / 2) + ROW_BYTES)).first()[0] or 0
+    volume = like.agg(F.sum(F.least(F.lit(FINEST), F.col("n") / 2) + ROW_BYTES)).first()[0] or 0
     units = 1 + int(volume) // UNIT_BYTES
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         blobs = dict(zip(pdf["node"].tolist(), pdf["groups"], strict=True))
-        sigs = {n: frozenset(s.tolist()) for n, s in pdf.drop_duplicates("node")[["node", "sigs"]].itertuples(index=False)}
         found = [np.empty((0, 2), dtype=np.int64)]
-        for sig, own in pdf.groupby("sig", sort=False):
+        for _, own in pdf.groupby(["sig", "run"], sort=False):
             node, label = own["node"].to_numpy(), own["label"].to_numpy()
+            before = dict(zip(node.tolist(), (frozenset(s.tolist()) for s in own["sigs"]), strict=True))
             everywhere = np.ones(len(node), dtype=bool)
             points = np.stack([folded(_vector(g), COARSE) for g in own["groups"]])
             q, p = _wanted(label, points, everywhere, everywhere, percent)
             both = np.unique(np.stack((np.minimum(node[q], node[p]), np.maximum(node[q], node[p])), axis=1), axis=0)
-            first = [min(sigs[x] & sigs[y]) == sig for x, y in both.tolist()]
+            first = [before[x].isdisjoint(before[y]) for x, y in both.tolist()]
             found.append(both[np.array(first, dtype=bool)])
         some = np.concatenate(found)
         keep = [may_link(_vector(blobs[x]), _vector(blobs[y]), percent) for x, y in some.tolist()]
         return pd.DataFrame(some[np.array(keep, dtype=bool)], columns=["a", "b"])
 
     unit = F.pmod(F.xxhash64("sig"), F.lit(units)).alias("unit")
-    return work.select(unit, "sig", "node", "label", "groups", "sigs").groupBy("unit").applyInPandas(pairs, "a bigint, b bigint")
+    out = kept(work.select(unit, "sig", "run", "node", "label", "groups", "sigs").groupBy("unit").applyInPandas(pairs, "a bigint, b bigint"), "candidates")
+    forget(like)
+    return out
 
 
 def shared_shingles(a: list[np.ndarray], b: list[np.ndarray], step: int = 4096) -> np.ndarray:
@@ -343,29 +364,49 @@ def shared_shingles(a: list[np.ndarray], b: list[np.ndarray], step: int = 4096)
     return out.astype(np.int64)
 
 
-def _large_blocks(blocks: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join components in blocks of more than ``SMALL`` nodes.
+def _meetings(blocks: DataFrame, percent: int) -> DataFrame:
+    """``sig, i, j, tile, node, label`` of the rows of large blocks in each pair (i, j) of tiles that may hold links across components.
 
-    A block is cut into classes by set size and these into tiles by hash, from counts that are added up first, so that no task
-    numbers or holds a block. Tiles whose sizes allow a link meet in pairs, whole sets travel with them, and of the links
-    found a unit returns only those that join components it has not joined already, never all pairs.
+    A block is cut by set size, its commonest component apart from the others, and the parts into tiles by hash, from counts that
+    are added up first, so that no task numbers or holds a block. Tiles of the commonest component meet only those of others, and
+    a row goes only where its size allows a link: one odd text among many near copies takes them along once, not in all pairs.
     """
-    classed = blocks.withColumn("class", F.floor(F.log("n") / math.log(SIZE_STEP)).cast("int"))
-    classes = kept(classed.groupBy("sig", "class").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"),
+    counts = blocks.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("_n"))
+    main = counts.groupBy("sig").agg(F.max(F.struct("_n", "label")).alias("_most")).select("sig", F.col("_most.label").alias("_main"))
+    step = math.log(max(SIZE_STEP, 100 / percent))
+    part = 2 * F.floor(F.log("n") / step).cast("long") + (F.col("label") == F.col("_main")).cast("int")
+    parted = blocks.join(main, "sig").withColumn("part", part)
+    parts = kept(parted.groupBy("sig", "part").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min("label").alias("least"), F.max("label").alias("most"),
         F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n") * 8 / TILE_BYTES)).cast("int").alias("tiles")), "classes")
 
     def tile(k: Column) -> Column:
-        return F.col("class").cast("long") * (1 << 32) + k
+        return F.col("part") * (1 << 32) + k
 
-    tiled = classed.join(classes.select("sig", "class", "tiles"), ["sig", "class"]).select(
+    tiled = parted.join(parts.select("sig", "part", "tiles"), ["sig", "part"]).select(
         "sig", "node", "label", "n", tile(F.pmod(F.xxhash64("node"), F.col("tiles"))).alias("tile"))
-    every = classes.select("sig", "low", "high", "class", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("k")).select("sig", "low", "high", tile(F.col("k")).alias("tile"))
-    left = every.select("sig", F.col("tile").alias("i"), F.col("high").alias("_high"))
-    right = every.select("sig", F.col("tile").alias("j"), F.col("low").alias("_low"))
-    meets = left.join(right, "sig").where((F.col("i") <= F.col("j")) & (100 * F.col("_high") >= percent * F.col("_low"))).select("sig", "i", "j")
-    places = meets.select("sig", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"))
-    work = tiled.join(places, ["sig", "tile"]).join(shingles, "node")
+    every = parts.select("sig", "low", "high", "least", "most", (F.col("part") % 2 == 1).alias("main"),
+                         F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("k"), "part").withColumn("tile", tile(F.col("k"))).drop("k", "part")
+    left, right = (every.select("sig", *[F.col(c).alias(f"{x}_{c}") for c in every.columns[1:]]) for x in "ij")
+    allowed = (100 * F.col("i_high") >= percent * F.col("j_low")) & (100 * F.col("j_high") >= percent * F.col("i_low"))
+    once = ~F.col("i_main") & (F.col("j_main") | (F.col("i_tile") <= F.col("j_tile")))
+    mixed = F.least("i_least", "j_least") != F.greatest("i_most", "j_most")
+    meets = left.join(right, "sig").where(allowed & once & mixed)
+    here = F.array(*[F.struct(F.col(f"{x}_tile").alias("tile"), F.col(f"{y}_low").alias("low"), F.col(f"{y}_high").alias("high")) for x, y in ("ij", "ji")])
+    places = meets.select("sig", F.col("i_tile").alias("i"), F.col("j_tile").alias("j"), F.explode(F.array_distinct(here)).alias("_p")).select("sig", "i", "j", "_p.*")
+    fits = (100 * F.col("n") >= percent * F.col("low")) & (100 * F.col("high") >= percent * F.col("n"))
+    out = kept(tiled.join(places, ["sig", "tile"]).where(fits).select("sig", "i", "j", "tile", "node", "label"), "meetings")
+    forget(parts)
+    return out
+
+
+def _large_blocks(meetings: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components in blocks of more than ``SMALL`` nodes.
+
+    Whole sets travel with the tiles that meet, and of the links found a unit returns only those that join components it has not
+    joined already, never all pairs.
+    """
+    work = meetings.join(shingles, "node")
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
@@ -432,11 +473,12 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int) -> Data
     forget(blocks)
     small, large = open_.where(F.col("size") <= SMALL), open_.where(F.col("size") > SMALL)
     if large.head(1):
-        sets = _shingles(large.select("node").distinct(), nodes, docs, id_col, text_col)
-        links = kept(links.unionByName(_large_blocks(large, sets, percent)), "links")
-        forget(sets)
+        meetings = _meetings(large, percent)
+        sets = _shingles(meetings.select("node").distinct(), nodes, docs, id_col, text_col)
+        links = kept(links.unionByName(_large_blocks(meetings, sets, percent)), "links")
+        forget(meetings, sets)
     if small.head(1):
-        more = kept(_small_blocks(small, nodes, percent), "candidates")
+        more = _small_blocks(small, nodes, percent)
         links = links.unionByName(_verified(more, nodes, docs, id_col, text_col, percent))
         forget(more)
     forget(open_)

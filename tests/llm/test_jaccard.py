@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -96,6 +97,39 @@ def test_shared_shingles():
     assert jaccard.shared_shingles(sets, sets[::-1], step=64).tolist() == [[len(np.intersect1d(a, b)) for b in sets[::-1]] for a in sets]
 
 
+def test_sample_grows_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SAMPLE_DOCUMENTS", 4)
+    passage = " ".join(f"p{k}" for k in range(12))
+    texts = [f"{' '.join(f'w{i}x{k}' for k in range(20))}{' ' + passage if i % 2 else ''}" for i in range(800)]
+    known, often = jaccard._common_shingles(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), "doc_id", "text")
+    assert set(jaccard.shingle_sets([passage])[0].tolist()) <= set(known.tolist()) and len(known) == len(often) < 20
+
+
+@pytest.mark.parametrize("others", [1, 40])
+def test_large_blocks_send_rows_where_they_may_link(spark, monkeypatch, others):
+    monkeypatch.setattr(jaccard, "TILE", 64)
+    rng = random.Random(others)
+    rows = [(7, k, -1 if k >= others else k, rng.randint(20, 400)) for k in range(600)]  # the commonest component and single nodes
+    got = jaccard._meetings(spark.createDataFrame(rows, "sig bigint, node bigint, label bigint, n bigint"), 75).collect()
+    units = {}
+    for r in got:
+        units.setdefault((r["sig"], r["i"], r["j"]), []).append((r["node"], r["label"], r["tile"] == r["i"], r["tile"] == r["j"]))
+    met = [(min(x, y), max(x, y)) for u in units.values() for x, a, i, _ in u for y, b, _, j in u if i and j and a != b and x != y]
+    size = {node: n for _, node, _, n in rows}
+    want = {(x, y) for x in range(others) for y in range(x + 1, 600) if 100 * size[x] >= 75 * size[y] and 100 * size[y] >= 75 * size[x]}
+    assert want <= set(met)
+    assert max(Counter((r["node"], r["i"], r["j"]) for r in got).values()) == 1
+    if others == 1:
+        assert len(got) <= 1 + sum(1 for _, node, _, n in rows if node and 100 * n >= 75 * size[0] and 100 * size[0] >= 75 * n) + len(units)
+    assert len(got) < 4 * len(rows)
+
+
+def test_small_blocks_send_rows_of_like_size(spark):
+    rows = [(1, 1, 1, 10), (1, 2, 2, 30), (1, 3, 3, 40), (1, 4, 4, 100), (2, 1, 1, 80), (2, 2, 1, 90), (2, 3, 3, 200), (3, 5, 5, 300), (3, 6, 6, 350), (3, 7, 5, 420)]
+    got = jaccard._of_like_size(spark.createDataFrame(rows, "sig bigint, node bigint, label bigint, n bigint"), 75).collect()
+    assert sorted((r["sig"], r["node"]) for r in got) == [(1, 2), (1, 3), (3, 5), (3, 6), (3, 7)]
+
+
 def test_files_of_earlier_steps_go(spark, monkeypatch, tmp_path):
     from furrow import session
 
