@@ -508,9 +508,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = _labelled(docs, id_col, text_col, percent)
     of_group = rows.where("n > 0").groupBy("label").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("at")).select("at.doc_id", "at.text_hash")
-    stay = of_group.unionByName(rows.where("n = 0").select("doc_id", "text_hash")).select(F.col("doc_id").alias("_keep"), F.col("text_hash").alias("_hash"))
-    whole = docs.select(F.struct("*").alias("_doc"), F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_text"))
-    found = whole.join(stay, (F.col("_text") == F.col("_hash")) & F.col("_id").eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates(["_id", "_text"])
+    stay = of_group.unionByName(rows.where("n = 0").select("doc_id", "text_hash")).select(F.struct(F.col("doc_id").alias("id")).alias("_id"), F.col("text_hash").alias("_text"))
+    # ids in a struct are equal where both are null, so the join and the removal of repeats take one exchange of the documents
+    whole = docs.select(F.struct("*").alias("_doc"), F.struct(F.col(id_col).alias("id")).alias("_id"), F.xxhash64(F.col(text_col)).alias("_text"))
+    found = whole.join(stay, ["_text", "_id"], "left_semi").dropDuplicates(["_text", "_id"])
     return found.select(*[F.col(f"_doc.`{c}`").alias(c) for c in columns])
 
 

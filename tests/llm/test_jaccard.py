@@ -81,6 +81,21 @@ def test_one_of_each_tells_rows_of_an_id_apart(spark):
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_one_of_each_sends_documents_once(spark):
+    rows = [(i, f"t{i % 7} " * 6) for i in range(40)] + [(None, "a b c"), (None, "a b c"), (None, None), (None, None)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted({*rows[:7], *rows[40:]}, key=repr)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    final = plan.partition("== Initial Plan ==")[0]
+    dealt = [line for line in final.splitlines() if "Exchange hashpartitioning(" in line and ("_text#" in line or "_hash#" in line)]
+    assert len(dealt) == 2, dealt  # the documents and those that stay
+
+
 def test_tree_keeps_every_pair_that_could_link():
     rng = np.random.default_rng(4)
     base = rng.poisson(3, (40, 32))
